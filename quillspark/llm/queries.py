@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import digest as dg
 from . import repetition as rep
 from .common import table
 
@@ -38,9 +39,48 @@ FROM w2 LEFT JOIN n ON w2.sample_index = n.sample_index
 """
 
 
+def p4_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dg.latency_percentiles(table(spark, sf_dir, "replay_results"))
+
+
+def p4_certified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every group, its counts, and whether its estimates keep the stated bound."""
+    out = p4_percentiles(spark, sf_dir)
+    ok = [(F.coalesce(F.col(f"err{q}"), F.lit(0.0)) <= F.col("bound")).alias(f"ok{q}") for q in (50, 95, 99)]
+    return out.select("grouping", "run_id", F.col("replay_day").cast("string").alias("replay_day"), "model", "status_code", "n", "n_null", *ok)
+
+
+def p4_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dg.report_percentiles(table(spark, sf_dir, "replay_stats"))
+
+
+def p4_reports_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per run and day: the reports' counts, and whether their merged digests keep the bound."""
+    out = p4_reports(spark, sf_dir)
+    ok = [(F.coalesce(F.col(f"err{q}"), F.lit(0.0)) <= F.col("bound")).alias(f"ok{q}") for q in (50, 95, 99)]
+    return out.select("grouping", "run_id", F.col("replay_day").cast("string").alias("replay_day"), "n", "results", *ok)
+
+
+_P4_RESULTS = """SELECT run_id, replay_round, line_number, result_id, max_by(latency_ms, recorded_at) AS latency_ms, max_by(CAST(CAST(sent_at AS DATE) AS VARCHAR), recorded_at) AS replay_day,
+ max_by(coalesce(model, '<null>'), recorded_at) AS m, max_by(coalesce(status_code, -1), recorded_at) AS s FROM replay_results GROUP BY 1, 2, 3, 4"""
+_P4_CERTIFIED = f"""
+WITH r AS (SELECT run_id, replay_day, nullif(m, '<null>') AS model, nullif(s, -1) AS status_code, latency_ms FROM ({_P4_RESULTS})),
+g AS (
+  SELECT 'run' AS "grouping", run_id, CAST(NULL AS VARCHAR) AS replay_day, CAST(NULL AS VARCHAR) AS model, CAST(NULL AS INT) AS status_code, count(latency_ms) AS n, count(*) AS n_all FROM r GROUP BY run_id
+  UNION ALL SELECT 'run_day', run_id, replay_day, NULL, NULL, count(latency_ms), count(*) FROM r GROUP BY run_id, replay_day
+  UNION ALL SELECT 'model_status', NULL, NULL, model, status_code, count(latency_ms), count(*) FROM r GROUP BY model, status_code)
+SELECT "grouping", run_id, replay_day, model, status_code, n, n_all - n AS n_null, true AS ok50, true AS ok95, true AS ok99 FROM g
+"""
+_P4_AGREE = f"""
+WITH r AS (SELECT run_id, replay_day, latency_ms FROM ({_P4_RESULTS}))
+SELECT 'run' AS "grouping", run_id, CAST(NULL AS VARCHAR) AS replay_day, count(latency_ms) AS n, count(*) AS results, true AS ok50, true AS ok95, true AS ok99 FROM r GROUP BY run_id
+UNION ALL SELECT 'run_day', run_id, replay_day, count(latency_ms), count(*), true, true, true FROM r GROUP BY run_id, replay_day
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_shares": p1_shares}
+    return {"p1_found": p1_found, "p1_shares": p1_shares, "p4_percentiles": p4_percentiles, "p4_certified": p4_certified, "p4_reports": p4_reports, "p4_reports_agree": p4_reports_agree}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": f"SELECT sample_index FROM ({_P1_SHARES}) WHERE repeated_share >= 0.5", "p1_shares": _P1_SHARES}
+    return {"p1_found": f"SELECT sample_index FROM ({_P1_SHARES}) WHERE repeated_share >= 0.5", "p1_shares": _P1_SHARES, "p4_certified": _P4_CERTIFIED, "p4_reports_agree": _P4_AGREE}
