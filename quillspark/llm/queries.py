@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import digest as dg
+from . import pairs
 from . import repetition as rep
 from .common import table
 
@@ -39,6 +40,10 @@ FROM w2 LEFT JOIN n ON w2.sample_index = n.sample_index
 """
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.broken_pairs(table(spark, sf_dir, "samples"))
+
+
 def p4_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dg.latency_percentiles(table(spark, sf_dir, "replay_results"))
 
@@ -79,7 +84,7 @@ UNION ALL SELECT 'run_day', run_id, replay_day, count(latency_ms), count(*), tru
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_shares": p1_shares, "p4_percentiles": p4_percentiles, "p4_certified": p4_certified, "p4_reports": p4_reports, "p4_reports_agree": p4_reports_agree}
+    return {"p1_found": p1_found, "p1_shares": p1_shares, "p3_found": p3_found, "p4_percentiles": p4_percentiles, "p4_certified": p4_certified, "p4_reports": p4_reports, "p4_reports_agree": p4_reports_agree}
 
 
 def oracle_sql() -> dict[str, str]:
