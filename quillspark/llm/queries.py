@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import digest as dg
 from . import pairs
 from . import repetition as rep
+from . import residue
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +67,10 @@ def p4_reports_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("grouping", "run_id", F.col("replay_day").cast("string").alias("replay_day"), "n", "results", *ok)
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue(table(spark, sf_dir, "documents")).select("doc_id")
+
+
 _P4_RESULTS = """SELECT run_id, replay_round, line_number, result_id, max_by(latency_ms, recorded_at) AS latency_ms, max_by(CAST(CAST(sent_at AS DATE) AS VARCHAR), recorded_at) AS replay_day,
  max_by(coalesce(model, '<null>'), recorded_at) AS m, max_by(coalesce(status_code, -1), recorded_at) AS s FROM replay_results GROUP BY 1, 2, 3, 4"""
 _P4_CERTIFIED = f"""
@@ -84,7 +89,7 @@ UNION ALL SELECT 'run_day', run_id, replay_day, count(latency_ms), count(*), tru
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_shares": p1_shares, "p3_found": p3_found, "p4_percentiles": p4_percentiles, "p4_certified": p4_certified, "p4_reports": p4_reports, "p4_reports_agree": p4_reports_agree}
+    return {"p1_found": p1_found, "p1_shares": p1_shares, "p3_found": p3_found, "p4_percentiles": p4_percentiles, "p4_certified": p4_certified, "p4_reports": p4_reports, "p4_reports_agree": p4_reports_agree, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
