@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import digest as dg
-from . import pairs
+from . import leaks, pairs
 from . import repetition as rep
 from . import residue
 from .common import table
@@ -41,6 +41,11 @@ FROM w2 LEFT JOIN n ON w2.sample_index = n.sample_index
 """
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = leaks.corpus_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "prompts"))
+    return leaks.leaked_items(texts, table(spark, sf_dir, "eval_items"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.broken_pairs(table(spark, sf_dir, "samples"))
 
@@ -89,7 +94,7 @@ UNION ALL SELECT 'run_day', run_id, replay_day, count(latency_ms), count(*), tru
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_shares": p1_shares, "p3_found": p3_found, "p4_percentiles": p4_percentiles, "p4_certified": p4_certified, "p4_reports": p4_reports, "p4_reports_agree": p4_reports_agree, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p1_shares": p1_shares, "p2_found": p2_found, "p3_found": p3_found, "p4_percentiles": p4_percentiles, "p4_certified": p4_certified, "p4_reports": p4_reports, "p4_reports_agree": p4_reports_agree, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
