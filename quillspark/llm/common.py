@@ -1,15 +1,15 @@
 """Shared helpers of the training-data operators."""
 
-from __future__ import annotations
-
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A word is a maximal run of letters; every Han character is a word of its own.
 WORD = regex.compile(r"[\p{Han}&&\p{L}]|[\p{L}--\p{Han}]+", regex.V1)
@@ -101,9 +101,6 @@ def tokenizer_path(name: str = "byte_bpe_50k.tiktoken") -> str:
 
 def with_token_count(df: DataFrame, text: str, out: str, path: str | None = None) -> DataFrame:
     """Size of a text in tokens of a public tokenizer; null and empty texts have 0."""
-    import pandas as pd
-    from pyspark.sql import functions as F
-
     file = path or tokenizer_path()
 
     @F.pandas_udf("int")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import digest as dg
-from . import leaks, pairs
+from . import leaks, mixing, packing, pairs
 from . import repetition as rep
 from . import residue
 from .common import table
@@ -72,6 +72,49 @@ def p4_reports_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("grouping", "run_id", F.col("replay_day").cast("string").alias("replay_day"), "n", "results", *ok)
 
 
+def p5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_sizes"))
+
+
+def p5_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.summary(p5_pack(spark, sf_dir))
+
+
+def p5_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per pack size: distinct documents packed, containers above the capacity, documents split though they fit."""
+    packed = p5_pack(spark, sf_dir)
+    keys = ["pack_id", "capacity_tokens"]
+    over = packed.groupBy(*keys, "container_id").agg(F.sum("piece_tokens").alias("t")).groupBy(*keys).agg(F.sum((F.col("t") > F.col("capacity_tokens")).cast("long")).alias("overfull"))
+    docs = packed.groupBy(*keys, "doc_id").agg(F.count(F.lit(1)).alias("k"), F.sum("piece_tokens").alias("t"))
+    docs = docs.groupBy(*keys).agg(F.count(F.lit(1)).alias("documents"), F.sum(((F.col("k") > 1) & (F.col("t") <= F.col("capacity_tokens"))).cast("long")).alias("wrongly_split"))
+    return docs.join(over, keys)
+
+
+def p6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_of(spark, sf_dir).uses().select(F.col("id").alias("doc_id"), "source", "n_tokens", "uses")
+
+
+def p6_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_of(spark, sf_dir).shares()
+
+
+def p6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_of(spark, sf_dir).shards()
+
+
+def p6_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per target: whether it has documents, keeps its cap and comes within 0.005 of its reachable share."""
+    out = p6_shares(spark, sf_dir)
+    return out.select("source", "target_share", (F.col("tokens") > 0).alias("used"), (F.col("most_uses") <= F.col("max_repeats")).alias("cap_kept"), (F.abs(F.col("actual_share") - F.col("reachable_share")) < 0.005).alias("share_kept"))
+
+
+_P5_VALID = "SELECT pack_id, capacity_tokens, (SELECT count(DISTINCT doc_id) FROM documents) AS documents, 0 AS overfull, 0 AS wrongly_split FROM pack_sizes"
+_P6_VALID = r"""
+WITH d AS (SELECT DISTINCT regexp_replace(lower(trim(source)), '[-\s]+', '_', 'g') AS source FROM documents WHERE length(text) > 0)
+SELECT m.source, target_share, d.source IS NOT NULL AS used, true AS cap_kept, true AS share_kept FROM mix_targets m LEFT JOIN d ON m.source = d.source
+"""
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(table(spark, sf_dir, "documents")).select("doc_id")
 
@@ -94,8 +137,8 @@ UNION ALL SELECT 'run_day', run_id, replay_day, count(latency_ms), count(*), tru
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_shares": p1_shares, "p2_found": p2_found, "p3_found": p3_found, "p4_percentiles": p4_percentiles, "p4_certified": p4_certified, "p4_reports": p4_reports, "p4_reports_agree": p4_reports_agree, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p1_shares": p1_shares, "p2_found": p2_found, "p3_found": p3_found, "p4_percentiles": p4_percentiles, "p4_certified": p4_certified, "p4_reports": p4_reports, "p4_reports_agree": p4_reports_agree, "p5_pack": p5_pack, "p5_summary": p5_summary, "p5_valid": p5_valid, "p6_mix": p6_mix, "p6_shares": p6_shares, "p6_shards": p6_shards, "p6_valid": p6_valid, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": f"SELECT sample_index FROM ({_P1_SHARES}) WHERE repeated_share >= 0.5", "p1_shares": _P1_SHARES, "p4_certified": _P4_CERTIFIED, "p4_reports_agree": _P4_AGREE}
+    return {"p1_found": f"SELECT sample_index FROM ({_P1_SHARES}) WHERE repeated_share >= 0.5", "p1_shares": _P1_SHARES, "p4_certified": _P4_CERTIFIED, "p4_reports_agree": _P4_AGREE, "p5_valid": _P5_VALID, "p6_valid": _P6_VALID}
