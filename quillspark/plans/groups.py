@@ -130,7 +130,7 @@ def f16(spark, d):
 
 @op("F17", r"SELECT doc_id, count(*) AS segments FROM (SELECT doc_id, trim(unnest(string_split(text, '...'))) AS seg FROM documents) WHERE len(string_split_regex(seg, ' +')) > 5 GROUP BY 1")
 def f17(spark, d):
-    seg = F.filter(F.transform(F.split("text", r"\.\.\."), F.trim), lambda s: F.size(F.split(s, " +")) > 5)
+    seg = F.filter(F.transform(F.split("text", r"\.\.\."), lambda x: F.trim(x)), lambda s: F.size(F.split(s, " +")) > 5)
     return table(spark, d, "documents").select("doc_id", F.size(seg).cast("long").alias("segments")).where("segments > 0")
 
 
