@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -16,6 +17,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quillspark-"))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """The frame, written to the shared checkpoint folder and read again: cuts lineage and gives true sizes to the planner.
+
+    ``checkpoint()`` keeps the size estimate of the plan it cuts, which squares with every join of a loop.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    path = f"{spark.conf.get('spark.checkpoint.dir', '') or spark.sparkContext.getCheckpointDir()}/quillspark-table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def row_index(df: DataFrame, *order: str | Column, name: str = "row") -> DataFrame:
     """Adds the 0-based position of each row in the given order.
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import ensure_checkpoint_dir
+from .ordering import materialize
 
 
 def infer_parents(events: DataFrame) -> DataFrame:
@@ -50,35 +50,36 @@ def pair_spans(events: DataFrame) -> DataFrame:
     return spans.unionByName(points)
 
 
-def depths(spans: DataFrame, rounds: int = 24) -> DataFrame:
-    """``trace, span_id, depth`` by pointer doubling: 2^k levels after k rounds; spans on a cycle get 0."""
-    ensure_checkpoint_dir(spans.sparkSession)
+def depths(spans: DataFrame) -> DataFrame:
+    """``trace, span_id, depth`` by pointer doubling: 2^k levels after k rounds; spans that lead into a cycle get 0."""
+    spans = materialize(spans.select("trace", "span_id", "parent_id"))
+    most = spans.groupBy("trace").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     ids = spans.select("trace", "span_id")
     known = spans.select("trace", F.col("span_id").alias("anc"))
     state = spans.select("trace", "span_id", F.col("parent_id").alias("anc")).join(known.withColumn("_k", F.lit(1)), ["trace", "anc"], "left")
-    state = state.select("trace", "span_id", F.when(F.col("_k") == 1, F.col("anc")).alias("anc"), F.coalesce("_k", F.lit(0)).cast("long").alias("depth")).checkpoint()
-    for _ in range(rounds):
+    state = materialize(state.select("trace", "span_id", F.when(F.col("_k") == 1, F.col("anc")).alias("anc"), F.coalesce("_k", F.lit(0)).cast("long").alias("depth")))
+    for _ in range(int(most).bit_length() + 1):
         if state.where("anc is not null").isEmpty():
             break
         up = state.select("trace", F.col("span_id").alias("anc"), F.col("anc").alias("next"), F.col("depth").alias("more"))
-        state = state.join(up, ["trace", "anc"], "left").select("trace", "span_id", F.col("next").alias("anc"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")).checkpoint()
+        state = materialize(state.join(up, ["trace", "anc"], "left").select("trace", "span_id", F.col("next").alias("anc"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
     return ids.join(state, ["trace", "span_id"]).select("trace", "span_id", F.when(F.col("anc").isNotNull(), F.lit(0)).otherwise(F.col("depth")).cast("long").alias("depth"))
 
 
 def close_open(spans: DataFrame, levels: int = 64) -> DataFrame:
     """Adds ``shown_end`` and ``clipped_by`` to open spans: the first of the trace's last time, the next sibling's start and the end of the
     nearest closed ancestor (searched over at most ``levels`` levels), never before the start."""
-    ensure_checkpoint_dir(spans.sparkSession)
+    spans = materialize(spans)
     whole = Window.partitionBy("trace")
     x = spans.withColumn("row_end", F.max(F.greatest("start", F.coalesce("end", "start"))).over(whole))
     x = x.where("state in ('closed_span', 'open_span')").withColumn("_s", F.unix_micros("start") if dict(spans.dtypes)["start"].startswith("timestamp") else F.col("start"))
     x = x.withColumn("sibling", F.min("start").over(Window.partitionBy("trace", "parent_id").orderBy("_s").rangeBetween(1, Window.unboundedFollowing)))
     up = x.select("trace", F.col("span_id").alias("cur"), F.col("parent_id").alias("next"), F.col("end").alias("found"))
-    walk = x.where("state = 'open_span'").select("trace", "span_id", F.col("parent_id").alias("cur"), F.lit(None).cast(dict(spans.dtypes)["end"]).alias("anc_end")).checkpoint()
+    walk = x.where("state = 'open_span'").select("trace", "span_id", F.col("parent_id").alias("cur"), F.lit(None).cast(dict(spans.dtypes)["end"]).alias("anc_end"))
     for _ in range(levels):
         if walk.where("cur is not null").isEmpty():
             break
-        walk = walk.join(up, ["trace", "cur"], "left").select("trace", "span_id", F.when(F.col("found").isNull(), F.col("next")).alias("cur"), F.coalesce("anc_end", "found").alias("anc_end")).checkpoint()
+        walk = materialize(walk.join(up, ["trace", "cur"], "left").select("trace", "span_id", F.when(F.col("found").isNull(), F.col("next")).alias("cur"), F.coalesce("anc_end", "found").alias("anc_end")))
     out = x.where("state = 'open_span'").join(walk.select("trace", "span_id", "anc_end"), ["trace", "span_id"])
     anc = F.when(F.col("anc_end") > F.col("start"), F.col("anc_end"))
     first = F.least("row_end", "sibling", anc)
