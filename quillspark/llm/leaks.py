@@ -33,7 +33,7 @@ BITS, BLOCK_BITS = 128, 8
 #: Fingerprints within this Hamming distance are compared exactly; measured on true leaks: 99.9% lie within 45, all within 48.
 RADIUS = 52
 #: Questions of one broadcast index; more questions are searched in several passes.
-INDEX_ITEMS = 20_000
+INDEX_ITEMS = 2_000
 
 _WORD = regex.compile(r"\p{Han}|[\p{L}\p{N}&&[^\p{Han}]]+", regex.V1)
 #: Cyrillic and Greek letters that look like Latin ones, and those.
