@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +46,8 @@ def write_lines(df: DataFrame, path: str, overwrite: bool = False) -> None:
 
 def cached(spark: SparkSession, source: str, path: str, build: Callable[[], DataFrame], version: int = 1) -> DataFrame:
     """A built table, reused while its source and its version are the same."""
-    stamp = int(os.stat(source).st_mtime_ns)
+    file = spark._jvm.org.apache.hadoop.fs.Path(source)
+    stamp = file.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(file).getModificationTime()
     at = f"{path}/v{version}-{stamp}"
     try:
         return spark.read.parquet(at)
