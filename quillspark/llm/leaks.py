@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, mix64, spread
-from .pairs import ANY_INSTRUCTION
+from .pairs import ANY_INSTRUCTION, LOOKALIKES
 
 #: Words of a shingle: the runs that count as shared have three words or more.
 SHINGLE = 3
@@ -36,8 +36,6 @@ RADIUS = 52
 INDEX_ITEMS = 2_000
 
 _WORD = regex.compile(r"\p{Han}|[\p{L}\p{N}&&[^\p{Han}]]+", regex.V1)
-#: Cyrillic and Greek letters that look like Latin ones, and those.
-LOOKALIKES = str.maketrans("аеорсухіјѕԁһԛԝАВЕКМНОРСТХІЅЈαοενικρτυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhqwABEKMHOPCTXISJaoevikptuxABEZHIKMNOPTYX")
 _TAG, _MARK = regex.compile(r"</?[a-zA-Z][^<>]{0,80}>"), regex.compile(r"[*_~`\\]")
 _HYPHEN = regex.compile(r"(?<=\p{L})[-‐]\s*\n[\s>#*|]*(?=\p{L})")
 _UNICODE, _ESCAPE, _PERCENT = regex.compile(r"\\u([0-9a-fA-F]{4})"), regex.compile(r"\\[ntr]"), regex.compile(r"%[0-9A-Fa-f]{2}(?:%[0-9A-Fa-f]{2})*")

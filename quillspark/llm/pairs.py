@@ -19,14 +19,20 @@ from .common import map_batches, spread
 
 # ---- fixed values: function words by language
 FUNCTION_WORDS = {
-    "en": "the of and to is in that it for on with as are this was be by at from or an not have but they you which when if will can all so there what one has its how than then while because before after does only we our no each".split(),
-    "de": "der die das und ist nicht den dem ein eine einer einen sich auf mit für von zu im als auch wird werden wenn dass wir sie es ich aber nach bei aus am ob nur noch durch wie kann sind oder man sobald weil danach dagegen bleibt was warum".split(),
-    "fr": "le la les des et est une un du dans que qui pour pas sur avec au aux ce cette ne se plus par sont il elle nous vous je mais ou si comme dès sans après avant car leur était être sous chaque pourquoi entre on ensuite cas".split(),
-    "es": "el los las y es una un del que para no por con se su como más pero al lo si porque cuando entre sin desde hasta este esta son ha muy ya también donde qué cada antes luego tras sobre está vimos conviene durante mientras cuanto".split(),
-    "it": "il lo gli della che di per non con una sono nel alla più anche come ma se quando perché dei delle questo questa è".split(),
-    "pt": "o os uma não com para por mais como mas ao dos das que em se quando porque foi são está também ele ela".split(),
-    "nl": "de het een en van niet dat op te zijn voor met die er maar ook als bij naar wordt om deze dit".split(),
+    "en": """the of and to is in that it for on with as are this was be by at from or an not have but they you which when if will can all so there what one has its how than then while because before after does
+ only we our no each why where who whose do did i my me him her his their them could would should may might just into over under out up down more most some any such nor too very both a been were these those write give tell explain""".split(),
+    "de": """der die das und ist nicht den dem ein eine einer einen sich auf mit für von zu im als auch wird werden wenn dass wir sie es ich aber nach bei aus am ob nur noch durch wie kann sind oder man sobald weil
+ danach dagegen bleibt was warum wann wo wer dann denn doch schon sehr mehr ihr ihre sein seine unter über vor beim zum zur vom hat haben war wurden soll sollte muss müssen geschieht dabei damit ohne jede jeder eines des daher erkläre kurz in bis""".split(),
+    "fr": """le la les des et est une un du dans que qui pour pas sur avec au aux ce cette ne se plus par sont il elle nous vous je mais ou si comme dès sans après avant car leur était être sous chaque pourquoi entre on
+ ensuite cas en quand comment afin lorsque dont où tout tous toute cela ces son sa ses leurs nos votre vos mon ma mes qu lui fait peut doit bref contraire passe à vu durant près""".split(),
+    "es": """el los las y es una un del que para no por con se su como más pero al lo si porque cuando entre sin desde hasta este esta son ha muy ya también donde dónde qué cada antes luego tras sobre está vimos conviene
+ durante mientras en la de cómo cuándo después entonces tiene puede pueden hay ni o sus les nos era estos estas esa ese aquí así tan poco mucho toda todo todos a breve explica ocurre cambio""".split(),
+    "it": "il lo gli della che di per non con una sono nel alla più anche come ma se quando perché dei delle questo questa è e i le un in da".split(),
+    "pt": "o os uma não com para por mais como mas ao dos das que em se quando porque foi são está também ele ela e a um de do da".split(),
+    "nl": "het een van niet dat zijn voor met maar ook als bij naar wordt deze dit de en in op te is die er om".split(),
 }
+#: Letters that mark a language, where they occur.
+MARKED_LETTERS = {"de": "äöüß", "fr": "èêëçàùœîïôû", "es": "ñ¿¡áíóú", "pt": "ãõ"}
 # ---- fixed values: how a prompt asks for a language
 LANGUAGE_NAMES = {
     "en": "english|englisch|anglais|inglés|英文|英语", "de": "german|deutsch|allemand|alemán|德文|德语", "fr": "french|französisch|français|francés|法文|法语",
@@ -39,18 +45,18 @@ i cannot go into this topic|i do not feel comfortable answering|i'd rather not r
 i have to decline|i must decline|i won't be giving an answer here|i will not answer this|no answer can be given by me|my guidelines keep me from replying|it is beyond what i may discuss|this falls outside what i am allowed to do
 i am not allowed to answer|i'm not permitted to discuss this|i cannot provide that|i can't comply with this request|i cannot fulfill this request|i refuse to answer this|i can't discuss that|answering this is not something i can do
 dabei kann ich nicht helfen|das muss ich ablehnen|darauf kann ich nicht antworten|ich kann diese frage nicht beantworten|dazu darf ich nichts sagen|ich werde diese frage nicht beantworten|zu diesem thema darf ich mich nicht äußern|das darf ich nicht beantworten
-je ne peux pas vous aider|je ne répondrai pas à cette question|ce sujet m'est interdit|je ne peux pas répondre à cette question|je dois refuser cette demande|je ne suis pas en mesure de répondre|je dois décliner
-no puedo ayudarle con eso|no puedo ayudar con eso|no voy a responder a esta pregunta|este tema no me está permitido|no puedo responder a esta pregunta|debo rechazar esta solicitud|tengo que rechazar esta petición
-我无法回答这个问题|我必须拒绝这个请求|这个话题我不能谈论|我不能回答这个问题|我无法提供帮助|我不能帮助你|我无法满足这个请求|我不能讨论这个话题
+je ne peux pas vous aider|je ne répondrai pas à cette question|ce sujet m'est interdit|je ne peux pas répondre à cette question|je dois refuser cette demande|je ne suis pas en mesure de répondre|je dois décliner|je dois refuser|je refuse de répondre|je ne puis répondre
+no puedo ayudarle con eso|no puedo ayudar con eso|no voy a responder a esta pregunta|este tema no me está permitido|no puedo responder a esta pregunta|debo rechazar esta solicitud|debo negarme|tengo que negarme|me niego a responder|tengo que rechazar esta petición
+我无法回答这个问题|我必须拒绝这个请求|这个话题我不能谈论|我不能回答这个问题|我无法提供帮助|我不能帮助你|我无法满足这个请求|我不能讨论这个话题|我不能提供这方面的帮助|这超出了我的允许范围|我无法提供这方面的帮助|我不便回答
 я не могу ответить на этот вопрос|я не могу помочь с этим|я вынужден отказаться|я не буду отвечать на этот вопрос|эту тему мне нельзя обсуждать""".replace("\n", "|").split("|")
 # ---- fixed values: what is said around a refusal
 COURTESIES = """i'm sorry|sorry|my apologies|i apologize|unfortunately|with respect|hm|after some thought|thanks for asking however|that is a fair question but|i understand the request yet|i must be honest|to stay within my rules|as an assistant|as an ai language model
 let me know if i can do anything else for you|feel free to try a different question|my training does not cover it|is there another topic you would like to talk about|i don't have access to that kind of knowledge|i hope you understand|it could be against the usage policy
-please ask something else|please ask a professional|thank you for your understanding|i am happy to help with something else|please try another question|ask me something else
+please ask something else|a qualified person may know more|there is too little context to go on|please ask a professional|thank you for your understanding|i am happy to help with something else|please try another question|ask me something else
 leider|es tut mir leid|entschuldigung|bitte stellen sie eine andere frage|ich hoffe auf ihr verständnis|fragen sie am besten eine fachkraft|danke für ihr verständnis|bitte um verständnis
-malheureusement|navré|désolé|je suis désolé mais|posez-moi une autre question|merci de votre compréhension|demandez plutôt à un spécialiste|je regrette
-lo siento pero|lo lamento|por desgracia|haga otra pregunta por favor|gracias por su comprensión|consulte mejor a un especialista|perdone
-对不起|很抱歉|抱歉|不好意思|请换一个问题|感谢您的理解|谢谢理解|建议咨询专业人士|作为助手
+malheureusement|navré|pardon|j'ai le regret de dire que|désolé|je suis désolé mais|posez-moi une autre question|merci de votre compréhension|un expert saura mieux|demandez plutôt à un spécialiste|je regrette
+lo siento pero|lamento decir que|perdón|lo lamento|por desgracia|haga otra pregunta por favor|gracias por su comprensión|consulte mejor a un especialista|perdone
+对不起|很抱歉|抱歉|不好意思|请换一个问题|感谢您的理解|谢谢理解|建议咨询专业人士|作为助手|遗憾的是|希望您能理解|感谢您的谅解|请见谅
 извините|к сожалению|простите|задайте другой вопрос|спасибо за понимание|надеюсь на ваше понимание|обратитесь к специалисту""".replace("\n", "|").split("|")
 # ---- fixed values: stand-ins for no value, and frames around an answer
 NO_VALUE = {"none", "null", "nil", "nan", "n/a", "na", "undefined", "empty", "no output", "no answer", "no response", "no content", "blank", "无", "空", "keine", "aucun", "aucune", "ninguno", "nichts", "void", "missing", "tbd", "not available", "keine ausgabe", "sin respuesta", "pas de réponse", "keine antwort", "无输出", "没有回答"}
@@ -60,6 +66,8 @@ THINK = regex.compile(r"(?is)<(think|thinking|reasoning|scratchpad)>.*?</\1>")
 INVISIBLE = regex.compile(r"[\p{Cf}\p{Cc}\p{Zs}\p{Zl}\p{Zp}\uFFFD]+")
 TOKEN = regex.compile(r"[\p{Han}]|[\p{L}\p{M}&&[^\p{Han}]]+|\p{N}+", regex.V1)
 SENTENCE = regex.compile(r"(?<=[.!?。！？…])[\s\"'”’*_)]*|\n+|(?<=[:：])\s+")
+#: What a remark beside a refusal must not hold: digits, names, options, code or an answer frame.
+REMARK = regex.compile(r"\p{N}|[`\\\\$<>{}|:：(]|(?<=\p{L}\s)\p{Lu}\p{Ll}|(?i:\banswer\b|\bit (?:is|was)\b)")
 #: Words that only introduce a repeated question.
 WRAPPERS = set("user role content assistant system message messages prompt question q you asked ask here is the your request input task query text repeat repeating quote said says i see understood frage question pregunta 问题 提问 用户".split())
 
@@ -114,10 +122,10 @@ def _strip_courtesy(words: list[str]) -> list[str]:
 
 
 def is_refusal(answer: str) -> bool:
-    """Every sentence declines or is a courtesy, and at least one declines."""
+    """At least one sentence declines, and the others are courtesies or short remarks without a number, name or answer frame."""
     if len(answer) > 600:
         return False
-    declined = False
+    declined, remarks = False, 0
     refusals, courtesies = _templates()
     for s in SENTENCE.split(answer):
         words = _strip_courtesy(tokens(s or ""))
@@ -126,8 +134,10 @@ def is_refusal(answer: str) -> bool:
         if _aligned(words, refusals):
             declined = True
         elif not _aligned(words, courtesies):
-            return False
-    return declined
+            if REMARK.search(s):
+                return False
+            remarks += len(words)
+    return declined and remarks <= 12
 
 
 def split_reasoning(text: str) -> tuple[str, bool, bool]:
@@ -188,6 +198,10 @@ def question_tokens(prompt: str) -> list[str]:
 
 
 NOT_PROSE = regex.compile(r"```.*?(?:```|$)|`[^`]*`|\\boxed\{[^}]*\}|\$[^$]*\$|</?[a-zA-Z|][^<>]*>|[\w.-]*[_\d][\w.-]*|--?\w[\w-]*", regex.S)
+ELISION = regex.compile(r"\b(?:l|d|qu|n|s|c|j|m)['’]\p{Latin}")
+MIXED = regex.compile(r"[\p{Latin}](?=[\p{Cyrillic}\p{Greek}])|[\p{Cyrillic}\p{Greek}](?=\p{Latin})")
+#: Cyrillic and Greek letters that look like Latin ones, and those.
+LOOKALIKES = str.maketrans("аеорсухіјѕԁһԛԝАВЕКМНОРСТХІЅЈαοενικρτυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhqwABEKMHOPCTXISJaoevikptuxABEZHIKMNOPTYX")
 LATIN = regex.compile(r"\p{Latin}+")
 SCRIPTS = {k: regex.compile(rf"\p{{{v}}}+") for k, v in (("ru", "Cyrillic"), ("ar", "Arabic"), ("el", "Greek"), ("hi", "Devanagari"), ("he", "Hebrew"), ("th", "Thai"))}
 HAN, KANA, HANGUL = regex.compile(r"\p{Han}"), regex.compile(r"[\p{Hiragana}\p{Katakana}]"), regex.compile(r"\p{Hangul}")
@@ -196,15 +210,24 @@ HAN, KANA, HANGUL = regex.compile(r"\p{Han}"), regex.compile(r"[\p{Hiragana}\p{K
 def language(text: str) -> tuple[str | None, float]:
     """Language of the prose and the evidence for it; None where there is too little of it."""
     t = NOT_PROSE.sub(" ", text.lower())
+    if len(MIXED.findall(t)) >= 3:  # look-alike letters inside words
+        t = t.translate(LOOKALIKES)
     latin = LATIN.findall(t)
     weight: dict[str, float] = {"en": 0.0}
     if not t.isascii():
         han, kana, hangul = len(HAN.findall(t)), len(KANA.findall(t)), len(HANGUL.findall(t))
         weight |= {"zh": han / 1.7 if kana < 0.1 * han else 0, "ja": (han + kana) / 1.7 if kana and kana >= 0.1 * han else 0, "ko": hangul / 2}
         weight |= {k: len(v.findall(t)) for k, v in SCRIPTS.items()}
-    hits = sorted(((sum(w in v for w in latin), k) for k, v in _function_sets().items()), reverse=True)
-    if hits[0][0] > hits[1][0]:
-        weight[hits[0][1]] = weight.get(hits[0][1], 0) + len(latin)
+    hits = {k: float(sum(w in v for w in latin)) for k, v in _function_sets().items()}
+    hits["fr"] += len(ELISION.findall(t))
+    if not t.isascii():
+        for k, letters in MARKED_LETTERS.items():
+            hits[k] += 0.7 * min(4, sum(t.count(x) for x in letters))
+    for k in ("it", "pt", "nl"):  # close relatives of the others: only where they explain clearly more
+        hits[k] *= 0.6
+    order = sorted(hits, key=hits.get, reverse=True)
+    if hits[order[0]] > hits[order[1]]:
+        weight[order[0]] = weight.get(order[0], 0) + len(latin)
     top = max(weight, key=weight.get)
     return (top, weight[top]) if weight[top] >= 3 else (None, weight[top])
 
