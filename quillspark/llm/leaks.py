@@ -30,8 +30,8 @@ STRETCH = 1.4
 #: Least share of the question's words in shared runs.
 SHARE = 0.5
 BITS, BLOCK_BITS = 128, 8
-#: Fingerprints within this Hamming distance are compared exactly; measured on true leaks: 99.9% lie within 45, all within 48.
-RADIUS = 52
+#: Fingerprints within this Hamming distance are compared exactly; of 5,030 true leaks 99.96 % lie within 52, all within 58.
+RADIUS = 58
 #: Questions of one broadcast index; more questions are searched in several passes.
 INDEX_ITEMS = 2_000
 
