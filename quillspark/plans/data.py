@@ -307,6 +307,14 @@ def r24(spark, d):
     return bl.per_group(steps(spark, d), ["step"], "sample_index", "len", lambda v: bl.chunks_by_size(v, 1024))
 
 
+@op("R26", sql("SELECT step, count(*) AS n, count(*) // 8 AS least, (count(*) + 7) // 8 AS most FROM x GROUP BY 1 HAVING count(*) >= 8", _STEP))
+def r26(spark, d):
+    """Requests of equal weight, each to the least loaded of eight ranks."""
+    x = bl.per_group(steps(spark, d).withColumn("one", F.lit(1)), ["step"], "sample_index", "one", lambda v: bl.least_loaded(v, 8))
+    k = x.groupBy("step", "part").agg(F.count(F.lit(1)).alias("k")).groupBy("step").agg(F.sum("k").alias("n"), F.min("k").alias("least"), F.max("k").alias("most"))
+    return k.where("n >= 8")
+
+
 # ---- conversation masks -------------------------------------------------------------------------------------------
 M = """m AS (SELECT prompt_id, unnest(messages) AS m, generate_subscripts(messages, 1) - 1 AS turn FROM prompts WHERE messages IS NOT NULL),
  n AS (SELECT prompt_id, turn, m.role AS role, length(coalesce(m.content, '')) AS len, 13 + length(m.role) AS pre, m.role = 'assistant' AND coalesce(m.step_loss_mask, 1) = 1 AS trained FROM m),
@@ -374,6 +382,18 @@ def x2(spark, d):
     return _buffered(spark, d).groupBy("group_index").agg(F.count_distinct("emission").alias("emissions"), F.count(F.lit(1)).alias("rows"))
 
 
+@op("X3", "SELECT group_index, count(*) AS n FROM samples GROUP BY 1 HAVING count(*) < 4 AND max(arrived_at) < (SELECT max(arrived_at) FROM samples) - INTERVAL 1 DAY")
+def x3(spark, d):
+    """Time-out, an option: groups still incomplete a day after their last member, at the time of the last arrival.
+
+    In a stream ``group_buffer(wait_ms=...)`` does the same by processing time.
+    """
+    s = table(spark, d, "samples")
+    now = s.agg(F.max("arrived_at").alias("now"))
+    g = s.groupBy("group_index").agg(F.count(F.lit(1)).alias("n"), F.max("arrived_at").alias("last")).where("n < 4")
+    return g.crossJoin(F.broadcast(now)).where(F.col("last") < F.col("now") - F.expr("INTERVAL 1 DAY")).select("group_index", "n")  # one row
+
+
 @op("X4", "SELECT arrived_at::DATE::VARCHAR AS day, count(*) AS samples, count(DISTINCT group_index) AS groups FROM samples GROUP BY 1")
 def x4(spark, d):
     """Meta data since the last reading; a reading closes with each day."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import grading as gr
 from quillspark.functions import scoring as sc
+from quillspark.functions.remote import remote_reward
 from quillspark.plans.registry import op, table
 from quillspark.plans.tokens import r6
 
@@ -31,6 +32,25 @@ _C = "c AS (SELECT *, list_sum(list_transform(list_distinct(g), lambda w: least(
 _F1 = "CASE WHEN label IS NULL OR coalesce(same, 0) = 0 OR ((np IN ('yes', 'no', 'noanswer') OR ng IN ('yes', 'no', 'noanswer')) AND np <> ng) THEN 0 ELSE 2 * (same / len(p)) * (same / len(g)) / (same / len(p) + same / len(g)) END"
 
 
+def flaky_client():
+    """Stands in for a service: every third call fails once; the score is the label's length."""
+    calls = {"n": 0}
+
+    def call(payload: dict) -> float:
+        calls["n"] += 1
+        if calls["n"] % 3 == 0:
+            raise ConnectionError
+        return float(len(payload["label"] or ""))
+
+    return call
+
+
+@op("U3", q("SELECT sample_index, CAST(coalesce(length(label), 0) AS DOUBLE) AS reward FROM t"))
+def u3(spark, d):
+    """A remote scorer with retries."""
+    return remote_reward(texts(spark, d, "prompt", "response", "label"), "sample_index", flaky_client, sleep=lambda s: None)
+
+
 @op("U4", q("SELECT sample_index, np AS normalized FROM n", _N))
 def u4(spark, d):
     return texts(spark, d, "response").select("sample_index", sc.normalize_answer(F.col("response")).alias("normalized"))

@@ -14,6 +14,7 @@ from quillspark.functions import grading as gr
 from quillspark.functions import masks as mk
 from quillspark.functions import scoring as sc
 from quillspark.functions import tokens as tk
+from quillspark.functions.remote import with_retries
 from quillspark.operators import balance as bl
 from quillspark.operators import groups as gp
 from quillspark.operators import trace as tr
@@ -196,6 +197,21 @@ def test_masks(spark):
         assert text[r["start"] : r["end"]] in ("hi", "yo", "no") and r["trained"] == (text[r["start"] : r["end"]] == "yo")
 
 
+def test_remote_retries():
+    waits, left = [], [3]
+
+    def call(p):
+        left[0] -= 1
+        if left[0] >= 0:
+            raise ConnectionError
+        return 1.0
+
+    assert with_retries(call, {}, sleep=waits.append) == 1.0
+    assert [int(w) for w in waits] == [1, 2, 4] or all(a <= b + 1 for a, b in zip(waits, [1, 2, 4], strict=True))
+    with pytest.raises(ConnectionError):
+        with_retries(lambda p: (_ for _ in ()).throw(ConnectionError()), {}, tries=2, sleep=lambda s: None)
+
+
 def test_hooks(spark):
     with pytest.raises(ValueError):
         Hooks(nonsense=len)
