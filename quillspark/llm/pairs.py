@@ -72,6 +72,12 @@ REMARK = regex.compile(r"\p{N}|[`\\\\$<>{}|:：(]|(?<=\p{L}\s)\p{Lu}\p{Ll}|(?i:\
 WRAPPERS = set("user role content assistant system message messages prompt question q you asked ask here is the your request input task query text repeat repeating quote said says i see understood frage question pregunta 问题 提问 用户".split())
 
 
+@lru_cache(maxsize=256)
+def rx(pattern: str) -> regex.Pattern:
+    """Compiled once; the library's own cache costs more than most searches here."""
+    return regex.compile(pattern)
+
+
 def tokens(text: str) -> list[str]:
     return TOKEN.findall(unicodedata.normalize("NFKC", INVISIBLE.sub(" ", text)).lower().replace("’", "'").replace("'", ""))
 
@@ -93,6 +99,11 @@ def lcs(a: list[str], b: list[str]) -> tuple[int, int]:
     return best, end
 
 
+@lru_cache(maxsize=1)
+def _word_sets() -> list[tuple[frozenset[str], float]]:
+    return [(frozenset(t), 0.8 * len(t) - (len(t) - len(set(t)))) for t in _templates()[0]]
+
+
 @lru_cache(maxsize=1)
 def _templates() -> tuple[list[list[str]], list[list[str]]]:
     return [tokens(t) for t in REFUSALS], [tokens(t) for t in COURTESIES]
@@ -125,6 +136,9 @@ def is_refusal(answer: str) -> bool:
     """At least one sentence declines, and the others are courtesies or short remarks without a number, name or answer frame."""
     if len(answer) > 600:
         return False
+    have = set(tokens(answer))
+    if not any(len(w & have) >= least for w, least in _word_sets()):
+        return False  # no template can be aligned with any sentence
     declined, remarks = False, 0
     refusals, courtesies = _templates()
     for s in SENTENCE.split(answer):
@@ -137,33 +151,47 @@ def is_refusal(answer: str) -> bool:
             if REMARK.search(s):
                 return False
             remarks += len(words)
-    return declined and remarks <= 12
+            if remarks > 12:
+                return False
+    return declined
 
 
 def split_reasoning(text: str) -> tuple[str, bool, bool]:
     """The part after finished reasoning; whether there was reasoning; whether it is unfinished."""
     rest, n = THINK.subn("\n", text)
-    if n == 0 and (m := regex.search(r"(?i)</(?:think|thinking|reasoning|scratchpad)>", rest)):
+    if n == 0 and (m := rx(r"(?i)</(?:think|thinking|reasoning|scratchpad)>").search(rest)):
         rest, n = rest[m.end() :], 1
-    open_ = regex.search(r"(?i)<(?:think|thinking|reasoning|scratchpad)>", rest)
+    open_ = rx(r"(?i)<(?:think|thinking|reasoning|scratchpad)>").search(rest)
     return rest, n > 0, bool(open_)
 
 
 def is_empty(answer: str) -> bool:
     """Nothing but blanks, invisible characters, punctuation, markup, an answer frame or a stand-in for no value."""
     t = SPECIAL.sub(" ", answer)
-    t = regex.sub(r"</?[A-Za-z][^<>]{0,60}>|```[a-zA-Z]*|&nbsp;|\\boxed|\\text|\\n|\\(?=[\[\]()])", " ", t)
+    t = rx(r"</?[A-Za-z][^<>]{0,60}>|```[a-zA-Z]*|&nbsp;|\\boxed|\\text|\\n|\\(?=[\[\]()])").sub(" ", t)
     t = INVISIBLE.sub(" ", t).strip().lower()
-    bare = regex.sub(r"^[\p{P}\p{S}\s]+|[\p{P}\p{S}\s]+$", "", t)
-    if not regex.search(r"[\p{L}\p{N}]", bare) or bare in NO_VALUE:
+    bare = rx(r"^[\p{P}\p{S}\s]+|[\p{P}\p{S}\s]+$").sub("", t)
+    if not rx(r"[\p{L}\p{N}]").search(bare) or bare in NO_VALUE:
         return True
-    inner = regex.sub(r"^[\p{P}\p{S}\s]+", "", regex.sub(rf"^(?:{FRAME.pattern[4:]})(?=[^\p{{L}}\p{{N}}]|$)", "", bare))
-    return inner != bare and (not regex.search(r"[\p{L}\p{N}]", inner) or inner.strip(" .*_") in NO_VALUE)
+    inner = rx(r"^[\p{P}\p{S}\s]+").sub("", rx(rf"^(?:{FRAME.pattern[4:]})(?=[^\p{{L}}\p{{N}}]|$)").sub("", bare))
+    return inner != bare and (not rx(r"[\p{L}\p{N}]").search(inner) or inner.strip(" .*_") in NO_VALUE)
+
+
+@lru_cache(maxsize=1024)
+def _prompt_tokens(prompt: str) -> tuple[list[str], int]:
+    """A prompt's words and the number of its question's; prompts recur for every sample of a group."""
+    return tokens(prompt), len(question_tokens(prompt))
+
+
+@lru_cache(maxsize=1024)
+def wanted_language(prompt: str) -> str | None:
+    """The language a prompt asks for, else its own."""
+    return asked_language(prompt) or language(question_of(prompt))[0]
 
 
 def is_copy(prompt: str, answer: str, share: float = 0.8) -> bool:
     """The response is the prompt's question, wholly or nearly, and holds no answer beside it."""
-    p = tokens(prompt)
+    p, question = _prompt_tokens(prompt)
     r = tokens(SPECIAL.sub(" ", answer))
     if len(r) < 3 or not p or len(r) > 1.3 * len(p) + 12:
         return False
@@ -179,7 +207,7 @@ def is_copy(prompt: str, answer: str, share: float = 0.8) -> bool:
         inside, end = lcs(p, r)
     if inside < share * len(r) or len(r) - end > max(1, 0.04 * len(r)):
         return False
-    return inside >= 0.7 * len(question_tokens(prompt))
+    return inside >= 0.7 * question
 
 
 #: Answer-format instructions around a question.
@@ -258,49 +286,49 @@ def is_truncated(prompt: str, text: str) -> bool:
     t = INVISIBLE.sub(lambda m: "\n" if "\n" in m.group() else " ", answer).strip()
     if not t:
         return False
-    if t.count("```") % 2 or regex.search(r"</?[A-Za-z]{0,12}$", t):
+    if t.count("```") % 2 or rx(r"</?[A-Za-z]{0,12}$").search(t):
         return True
     for tag in ("answer", "search", "information", "tool_call", "code"):
-        if len(regex.findall(rf"<{tag}>", t)) > len(regex.findall(rf"</{tag}>", t)):
+        if len(rx(rf"<{tag}>").findall(t)) > len(rx(rf"</{tag}>").findall(t)):
             return True
     box = t.rfind("\\boxed")
     if box >= 0 and t[box:].count("{") > t[box:].count("}") or t.endswith("\\boxed"):
         return True
-    if t.count("$") % 2 and regex.search(r"\$[^$\s\d][^$]*$|\$\s*$", t):
+    if t.count("$") % 2 and rx(r"\$[^$\s\d][^$]*$|\$\s*$").search(t):
         return True
     lines = t.split("\n")
     last = lines[-1].strip()
     if t.endswith("```"):
         return False
-    if regex.search(r"\\[a-zA-Z]*$", t):
+    if rx(r"\\[a-zA-Z]*$").search(t):
         return True
     if last.startswith("|"):
         first = next((x.strip() for x in lines if x.strip().startswith("|")), last)
         return last.count("|") < first.count("|") or not last.endswith("|")
-    if regex.fullmatch(r"(?:\d+[.)]|[-*+•]|#+)", last):
+    if rx(r"(?:\d+[.)]|[-*+•]|#+)").fullmatch(last):
         return True
     if any(last.count(a) > last.count(b) for a, b in (("(", ")"), ("[", "]"), ("{", "}"), ("（", "）"))) or last.count('"') % 2:
         return True
-    if regex.search(r"[:：,，、;；(\[{=\-–—/&+]$", last):
+    if rx(r"[:：,，、;；(\[{=\-–—/&+]$").search(last):
         return True
-    bare = regex.sub(r"[\"'”’»)\]}*_`>$\s]+$", "", last)
-    if not bare or regex.search(r"[.!?。！？…]$", bare) or bare != last and regex.search(r"[)}\]`*_>$]$", last):
+    bare = rx(r"[\"'”’»)\]}*_`>$\s]+$").sub("", last)
+    if not bare or rx(r"[.!?。！？…]$").search(bare) or bare != last and rx(r"[)}\]`*_>$]$").search(last):
         return False
     words = last.split()
     if LAST_WORDS_COMPLETE.search(last):
         return False
-    item = regex.match(r"(?:\d+[.)]|[-*+•])\s+", last)
+    item = rx(r"(?:\d+[.)]|[-*+•])\s+").match(last)
     if item:
-        marked = [x.strip() for x in lines[:-1] if regex.match(r"\s*(?:\d+[.)]|[-*+•])\s+", x)]
-        if marked and all(regex.search(r"[.!?。！？]$", x) for x in marked):
+        marked = [x.strip() for x in lines[:-1] if rx(r"\s*(?:\d+[.)]|[-*+•])\s+").match(x)]
+        if marked and all(rx(r"[.!?。！？]$").search(x) for x in marked):
             return True
         if item.group()[0].isdigit():
-            return not (marked and regex.search(r"\d$", last))
-        return not (len(words) <= 3 and regex.search(r"\b[\w-]*[_.\d-][\w-]*$", last))
+            return not (marked and rx(r"\d$").search(last))
+        return not (len(words) <= 3 and rx(r"\b[\w-]*[_.\d-][\w-]*$").search(last))
     if len(lines) == 1 or len(words) <= 4:
-        if len(words) == 1 and len(HAN.findall(last)) <= 8 or len(words) <= 8 and regex.match(r"\([A-Za-z0-9]\)|[A-Za-z]$|[-\d.,/% ]+$", last):
+        if len(words) == 1 and len(HAN.findall(last)) <= 8 or len(words) <= 8 and rx(r"\([A-Za-z0-9]\)|[A-Za-z]$|[-\d.,/% ]+$").match(last):
             return False
-        if len(words) <= 6 and all(regex.match(r"[\p{Lu}\d(]", w) for w in words):
+        if len(words) <= 6 and all(rx(r"[\p{Lu}\d(]").match(w) for w in words):
             return False
         if len(words) <= 6 and len(lines) == 1 and " ".join(words).lower() in prompt.lower():
             return False
@@ -318,7 +346,7 @@ def defect(prompt: str | None, response: str | None) -> str | None:
         return "refusal"
     if copied or ask and not unfinished and is_copy(ask, answer):
         return "copy"
-    want = asked_language(ask) or language(question_of(ask))[0]
+    want = wanted_language(ask)
     got = language(answer)[0] or language(text)[0]
     if want and got and want != got:
         return "other_language"
