@@ -1,6 +1,5 @@
 """Shared helpers of the training-data operators."""
 
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -29,12 +28,6 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the cluster's shared folder; only where none is named (tests) use a local one."""
-    if not spark.conf.get("spark.checkpoint.dir", "") and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quillspark-"))
-
-
 def words(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 

@@ -14,7 +14,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ensure_checkpoint_dir, spread, table, with_token_count
+from quillspark.operators.ordering import ensure_checkpoint_dir
+
+from .common import spread, table, with_token_count
 
 #: Hash buckets of a source; only the buckets in which its quota ends are sorted.
 BUCKETS = 512

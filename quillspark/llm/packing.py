@@ -105,7 +105,7 @@ def pack(documents: DataFrame, packs: DataFrame, id_col: str = "doc_id", text_co
     wanted = F.explode(F.array(*[F.struct(F.lit(p).cast("int").alias("pack_id"), F.lit(c).cast("int").alias("capacity")) for p, c in sizes]))
     jobs = items.select("item", "n_tokens", "shard", wanted.alias("w")).select("item", "n_tokens", "shard", "w.*")
 
-    def fill(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         shard, pack_id, capacity = (int(k) for k in key)
         rows = rows.sort_values(["n_tokens", "item"], ascending=[False, True], kind="stable", na_position="last")
         item, piece, size = split(rows["n_tokens"].to_numpy(), capacity)

@@ -78,6 +78,7 @@ def rx(pattern: str) -> regex.Pattern:
     return regex.compile(pattern)
 
 
+@lru_cache(maxsize=8)
 def tokens(text: str) -> list[str]:
     return TOKEN.findall(unicodedata.normalize("NFKC", INVISIBLE.sub(" ", text)).lower().replace("’", "'").replace("'", ""))
 
@@ -225,7 +226,7 @@ def question_tokens(prompt: str) -> list[str]:
     return own[1:] if own[:1] == ["question"] else own
 
 
-NOT_PROSE = regex.compile(r"```.*?(?:```|$)|`[^`]*`|\\boxed\{[^}]*\}|\$[^$]*\$|</?[a-zA-Z|][^<>]*>|[\w.-]*[_\d][\w.-]*|--?\w[\w-]*", regex.S)
+NOT_PROSE = regex.compile(r"```.*?(?:```|$)|`[^`]*`|\\boxed\{[^}]*\}|\$[^$]*\$|</?[a-zA-Z|][^<>]*>|(?<![\w.-])[\w.-]*[_\d][\w.-]*|--?\w[\w-]*", regex.S)
 ELISION = regex.compile(r"\b(?:l|d|qu|n|s|c|j|m)['’]\p{Latin}")
 MIXED = regex.compile(r"[\p{Latin}](?=[\p{Cyrillic}\p{Greek}])|[\p{Cyrillic}\p{Greek}](?=\p{Latin})")
 #: Cyrillic and Greek letters that look like Latin ones, and those.
@@ -246,7 +247,10 @@ def language(text: str) -> tuple[str | None, float]:
         han, kana, hangul = len(HAN.findall(t)), len(KANA.findall(t)), len(HANGUL.findall(t))
         weight |= {"zh": han / 1.7 if kana < 0.1 * han else 0, "ja": (han + kana) / 1.7 if kana and kana >= 0.1 * han else 0, "ko": hangul / 2}
         weight |= {k: len(v.findall(t)) for k, v in SCRIPTS.items()}
-    hits = {k: float(sum(w in v for w in latin)) for k, v in _function_sets().items()}
+    hits, spoken = dict.fromkeys(FUNCTION_WORDS, 0.0), _speakers()
+    for w in latin:
+        for k in spoken.get(w, ()):
+            hits[k] += 1
     hits["fr"] += len(ELISION.findall(t))
     if not t.isascii():
         for k, letters in MARKED_LETTERS.items():
@@ -261,8 +265,13 @@ def language(text: str) -> tuple[str | None, float]:
 
 
 @lru_cache(maxsize=1)
-def _function_sets() -> dict[str, set[str]]:
-    return {k: set(v) for k, v in FUNCTION_WORDS.items()}
+def _speakers() -> dict[str, list[str]]:
+    """The languages of each function word."""
+    out: dict[str, list[str]] = {}
+    for k, v in FUNCTION_WORDS.items():
+        for w in set(v):
+            out.setdefault(w, []).append(k)
+    return out
 
 
 ASKED = {k: regex.compile(rf"\b(?:in|auf|en|into)\s+(?:{v})\b|(?:only|nur|seulement|solo)\s+(?:{v})\b|[用请以](?:{v})") for k, v in LANGUAGE_NAMES.items()}
@@ -283,7 +292,7 @@ def is_truncated(prompt: str, text: str) -> bool:
     answer, _, unfinished = split_reasoning(whole)
     if unfinished:
         return True
-    t = INVISIBLE.sub(lambda m: "\n" if "\n" in m.group() else " ", answer).strip()
+    t = rx(r"(?V1)[[\p{Cf}\p{Cc}\p{Zs}\p{Zl}\p{Zp}\uFFFD]--[\n]]+").sub(" ", answer).strip()
     if not t:
         return False
     if t.count("```") % 2 or rx(r"</?[A-Za-z]{0,12}$").search(t):
