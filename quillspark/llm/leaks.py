@@ -32,6 +32,8 @@ SHARE = 0.5
 BITS, BLOCK_BITS = 128, 8
 #: Fingerprints within this Hamming distance are compared exactly; of 5,030 true leaks 99.96 % lie within 52, all within 58.
 RADIUS = 58
+#: Windows of a text that are held at once.
+SEGMENT = 16_384
 #: Questions of one broadcast index; more questions are searched in several passes.
 INDEX_ITEMS = 2_000
 
@@ -42,6 +44,9 @@ _UNICODE, _ESCAPE, _PERCENT = regex.compile(r"\\u([0-9a-fA-F]{4})"), regex.compi
 _FORMAT, _COMBINING = regex.compile(r"\p{Cf}"), regex.compile(r"\p{M}")
 
 
+_ONES = np.array([i.bit_count() for i in range(256)], dtype=np.uint8)
+
+
 def leak_words(text: str | None) -> list[str]:
     """Words after undoing case, spacing, line breaks, punctuation, markup, escapes and character forms."""
     if not text:
@@ -116,7 +121,6 @@ class Index:
 
     def _sizes(self) -> list[Size]:
         out, order = [], sorted(range(len(self.ids)), key=lambda k: len(self.words[k]))
-        ones = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
         radii = pigeonhole(self.radius, BITS // BLOCK_BITS)
         while order:
             low = len(self.words[order[0]])
@@ -124,19 +128,29 @@ class Index:
             order = order[len(own) :]
             v = np.stack([self.vectors[np.searchsorted(self.keys, np.unique(self.grams[k]))].sum(axis=0) for k in own])
             prints = np.packbits(v > 0, axis=1)
-            near = [ones[np.arange(256, dtype=np.uint8)[:, None] ^ prints[None, :, b]] <= r for b, r in enumerate(radii)]
+            near = [_ONES[np.arange(256, dtype=np.uint8)[:, None] ^ prints[None, :, b]] <= r for b, r in enumerate(radii)]
             high = max(len(self.words[k]) for k in own)
             out.append(Size(np.array(own), int(STRETCH * high), math.ceil(SHARE * low / SHINGLE), prints, near))
         return out
 
     def candidates(self, at: np.ndarray, known: np.ndarray) -> set[int]:
-        """Questions within the radius of any window; ``at`` are the positions of the known shingles ``known``."""
+        """Questions within the radius of any window; ``at`` are the positions of the known shingles ``known``.
+
+        Windows are taken in segments with their overlap, so that a text of any length needs little memory.
+        """
         out: set[int] = set()
+        reach = max(s.window for s in self.sizes)
+        for a in range(0, len(at), SEGMENT):
+            last = min(a + SEGMENT, len(at))
+            until = int(np.searchsorted(at, at[last - 1] + reach, side="right"))
+            self._segment(at[a:until], known[a:until], last - a, out)
+        return out
+
+    def _segment(self, at: np.ndarray, known: np.ndarray, starts: int, out: set[int]) -> None:
         total = None
-        ones = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
         for s in self.sizes:
-            end = np.searchsorted(at, at + s.window - SHINGLE, side="right")
-            start = np.flatnonzero(end - np.arange(len(at)) >= s.least)
+            end = np.searchsorted(at, at[:starts] + s.window - SHINGLE, side="right")
+            start = np.flatnonzero(end - np.arange(starts) >= s.least)
             if not len(start):
                 continue
             if total is None:
@@ -148,9 +162,8 @@ class Index:
                 for b, near in enumerate(s.near):
                     hit |= near[prints[:, b]]
                 w, i = np.nonzero(hit)
-                good = ones[prints[w] ^ s.prints[i]].sum(axis=1) <= self.radius
+                good = _ONES[prints[w] ^ s.prints[i]].sum(axis=1) <= self.radius
                 out.update(s.items[np.unique(i[good])].tolist())
-        return out
 
     def share(self, k: int, at: np.ndarray, grams: np.ndarray) -> float:
         """Exact: the largest share of the question's words in runs shared within one stretch of the allowed length."""

@@ -95,6 +95,15 @@ def test_operator(spark, monkeypatch):
     assert lk.corpus_texts(docs, prompts).count() == 4
 
 
+def test_segments_change_nothing(monkeypatch):
+    ix, rng = index(), random.Random(5)
+    text = " ".join(" ".join(alter(lk.question_words(rng.choice(ITEMS[:3])[1]), rng, 0.3)) for _ in range(40))
+    whole = sorted(ix.find(text))
+    monkeypatch.setattr(lk, "SEGMENT", 7)
+    assert sorted(ix.find(text)) == whole == [1, 2, 3]
+    assert ix.find(" ".join([ITEMS[0][1]] * 3000)) == [1]
+
+
 def test_fingerprints_are_stable():
     a, b = index(), index()
     assert all(np.array_equal(x.prints, y.prints) for x, y in zip(a.sizes, b.sizes, strict=True))
