@@ -17,6 +17,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quillspark-"))
 
 
+_WRITTEN: list[str] = []
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Deletes the tables that :func:`materialize` wrote in this process; frames that read them are no longer usable."""
+    while _WRITTEN:
+        at = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """The frame, written to the shared checkpoint folder and read again: cuts lineage and gives true sizes to the planner.
 
@@ -26,6 +36,7 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{spark.conf.get('spark.checkpoint.dir', '') or spark.sparkContext.getCheckpointDir()}/quillspark-table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -18,7 +18,7 @@ from quillspark.functions.remote import with_retries
 from quillspark.operators import balance as bl
 from quillspark.operators import groups as gp
 from quillspark.operators import trace as tr
-from quillspark.operators.ordering import row_index
+from quillspark.operators.ordering import drop_tables, materialize, row_index
 from quillspark.plans.registry import Hooks, load_hook
 from quillspark.sources import configs, pull, readers, sinks
 from quillspark.streaming import buffer as bf
@@ -127,6 +127,14 @@ def test_row_index(spark):
     assert row_index(df.limit(0), "x").count() == 0
 
 
+def test_written_tables(spark):
+    df = materialize(spark.range(5))
+    assert df.count() == 5
+    drop_tables(spark)
+    with pytest.raises(Exception, match="(?i)not.*(exist|found)"):
+        df.count()
+
+
 def test_tag_scores(spark):
     ok = "<think>a</think><search>q</search><information>Paris it is</information><think>b</think> <answer>Paris</answer>"
     rows = [(ok,), ("<answer>Paris</answer>",), ("<think>a</think> x <answer>Paris</answer>",), ("",)]
