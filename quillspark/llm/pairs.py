@@ -2,7 +2,7 @@
 
 Each pair gets at most one defect, tested in this order: ``empty``, ``refusal``, ``copy``, ``other_language``, ``truncated``.
 Copies are found by aligning the response's words with the prompt's (five-word shingle containment, else the longest
-common subsequence); refusals by aligning every sentence with refusal and courtesy templates.
+common subsequence, else the share of words in stretches of the prompt, in any order and number); refusals by aligning every sentence with refusal and courtesy templates.
 """
 
 from __future__ import annotations
@@ -190,25 +190,60 @@ def wanted_language(prompt: str) -> str | None:
     return asked_language(prompt) or language(question_of(prompt))[0]
 
 
+def _given_back(p: list[str], r: list[str], question: int, share: float) -> bool:
+    """The response consists of stretches of the prompt, in any order and any number of times, without words that could be an answer."""
+    n = max(3, min(5, question, len(p)))
+    at: dict[tuple[str, ...], list[int]] = {}
+    for i in range(len(p) - n + 1):
+        at.setdefault(tuple(p[i : i + n]), []).append(i)
+    place, before = [-1] * len(r), -2
+    for i in range(len(r) - n + 1):
+        found = at.get(tuple(r[i : i + n]))
+        if found:
+            before = before + 1 if before + 1 in found else found[0]
+            place[i : i + n] = range(before, before + n)
+        else:
+            before = before + 1 if before >= 0 else before
+    inside = [k for k, j in enumerate(place) if j >= 0]
+    if len(inside) < share * len(r) or len({place[k] for k in inside}) < 0.7 * question:
+        return False
+    most = max(1, 0.04 * len(p))
+    ends = [(-1, -1), *((k, place[k]) for k in inside), (len(r), len(p))]
+    for (k, j), (k2, j2) in zip(ends, ends[1:], strict=False):
+        gap = r[k + 1 : k2]
+        if not gap or 0 <= k and k2 < len(r) and j < j2 and len(gap) <= j2 - j:
+            continue  # altered words inside a stretch
+        free = [w for w in gap if w not in WRAPPERS]
+        missing = j2 - j - 1 if j2 > j else len(p) - 1 - j + j2
+        if free and (len(free) > min(missing, most) or any(w.isnumeric() or len(w) == 1 and w.isascii() for w in free)):
+            return False
+    return True
+
+
 def is_copy(prompt: str, answer: str, share: float = 0.8) -> bool:
-    """The response is the prompt's question, wholly or nearly, and holds no answer beside it."""
+    """The response is the prompt's question, wholly or nearly, once or more often, and holds no answer beside it."""
     p, question = _prompt_tokens(prompt)
     r = tokens(SPECIAL.sub(" ", answer))
-    if len(r) < 3 or not p or len(r) > 1.3 * len(p) + 12:
+    if len(r) < 3 or not p:
         return False
     while r and r[0] in WRAPPERS and (r[0] not in p[:3]):
         r = r[1:]
     if len(r) < 3:
         return False
+    have = set(p)
+    if sum(w in have or w in WRAPPERS for w in r) < share * len(r):
+        return False  # too many words that the prompt does not have
     shingles = {tuple(p[i : i + 5]) for i in range(len(p) - 4)}
     own = [tuple(r[i : i + 5]) for i in range(len(r) - 4)]
-    if own and sum(s in shingles for s in own) == len(own):
+    if len(r) <= 1.3 * len(p) + 12 and own and sum(s in shingles for s in own) == len(own):
         inside = end = len(r)
-    else:
+    elif share * len(r) <= len(p):
         inside, end = lcs(p, r)
-    if inside < share * len(r) or len(r) - end > max(1, 0.04 * len(r)):
-        return False
-    return inside >= 0.7 * question
+    else:
+        inside = end = 0  # a subsequence can't be as long
+    if inside >= share * len(r) and len(r) - end <= max(1, 0.04 * len(r)) and inside >= 0.7 * question:
+        return True
+    return _given_back(p, r, question, share)
 
 
 #: Answer-format instructions around a question.

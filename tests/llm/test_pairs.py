@@ -47,3 +47,16 @@ def test_operator(spark):
     got = sorted((str(r[0]), r[1]) for r in pr.broken_pairs(df).collect())
     assert got == [("1", "empty"), ("4", "copy"), ("None", "empty")]
     assert pr.broken_pairs(df.limit(0)).count() == 0
+
+
+SHORT = "Why does the retry loop wait before it reads the next span record?"
+OPTIONS = "Which of the four parts keeps the running sum of all the waiting times in the log? (A) the early reader of the long table (B) the late writer of the short table"
+
+
+@pytest.mark.parametrize(("prompt", "response", "want"), [
+    (Q, f"{Q}\n{Q}", "copy"), (Q, f"{Q} " * 50, "copy"), (SHORT, f"{SHORT} {SHORT}", "copy"), (SHORT, f"{SHORT} {SHORT} {SHORT}", "copy"), (Q, f"user: {Q}\nassistant: {Q}\nuser: {Q}", "copy"), (Q, (Q.replace("gain", "gian") + " ") * 3, "copy"),
+    (OPTIONS, "(A) the early reader of the long table (B) the late writer of the short table Which of the four parts keeps the running sum of all the waiting times in the log?", "copy"),
+    (Q, f"{Q} {Q} It is 231.", None), (Q, f"{Q} It is 231. {Q}", None), (Q, f"{Q} {Q} 231.", None), (OPTIONS, f"{OPTIONS} {OPTIONS} B.", None), (Q, f"{Q} " * 50 + "Each sale brings 21 cents.", None), (Q, f"{Q} 231 {Q} 231.", None),
+])
+def test_questions_given_back_repeatedly_or_in_another_order(prompt, response, want):
+    assert pr.defect(prompt, response) == want
