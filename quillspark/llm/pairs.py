@@ -135,23 +135,23 @@ def _strip_courtesy(words: list[str]) -> list[str]:
 
 def is_refusal(answer: str) -> bool:
     """At least one sentence declines, and the others are courtesies or short remarks without a number, name or answer frame."""
-    if len(answer) > 600:
-        return False
     have = set(tokens(answer))
     if not any(len(w & have) >= least for w, least in _word_sets()):
         return False  # no template can be aligned with any sentence
     declined, remarks = False, 0
     refusals, courtesies = _templates()
+    kinds: dict[str, tuple[str, int]] = {}  # looped sentences are aligned once
     for s in SENTENCE.split(answer):
-        words = _strip_courtesy(tokens(s or ""))
-        if not words:
-            continue
-        if _aligned(words, refusals):
+        if s not in kinds:
+            words = _strip_courtesy(tokens(s or ""))
+            kinds[s] = ("none" if not words else "refusal" if _aligned(words, refusals) else "courtesy" if _aligned(words, courtesies) else "remark", len(words))
+        kind, size = kinds[s]
+        if kind == "refusal":
             declined = True
-        elif not _aligned(words, courtesies):
+        elif kind == "remark":
             if REMARK.search(s):
                 return False
-            remarks += len(words)
+            remarks += size
             if remarks > 12:
                 return False
     return declined

@@ -60,3 +60,13 @@ OPTIONS = "Which of the four parts keeps the running sum of all the waiting time
 ])
 def test_questions_given_back_repeatedly_or_in_another_order(prompt, response, want):
     assert pr.defect(prompt, response) == want
+
+
+NO, KIND = "I'm sorry, but I can't help with that. ", "Thank you for your understanding. I hope you understand. "
+
+
+@pytest.mark.parametrize(("response", "want"), [
+    (NO * 50, "refusal"), (NO + KIND * 20, "refusal"), (NO + "\u200b" * 700, "refusal"), (" " * 700 + NO, "refusal"), (NO + KIND * 20 + "It is 231.", None), (NO + "The gain is the sum of all sales, as each of them brings the same. " * 20, None), (("The filter waits for the data and it is stable. " * 40) + NO, None),
+])
+def test_long_refusals(response, want):
+    assert pr.defect(Q, response) == want
