@@ -16,21 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_batches, spread
+from .lexicon import FUNCTION_WORDS
 
-# ---- fixed values: function words by language
-FUNCTION_WORDS = {
-    "en": """the of and to is in that it for on with as are this was be by at from or an not have but they you which when if will can all so there what one has its how than then while because before after does
- only we our no each why where who whose do did i my me him her his their them could would should may might just into over under out up down more most some any such nor too very both a been were these those write give tell explain""".split(),
-    "de": """der die das und ist nicht den dem ein eine einer einen sich auf mit für von zu im als auch wird werden wenn dass wir sie es ich aber nach bei aus am ob nur noch durch wie kann sind oder man sobald weil
- danach dagegen bleibt was warum wann wo wer dann denn doch schon sehr mehr ihr ihre sein seine unter über vor beim zum zur vom hat haben war wurden soll sollte muss müssen geschieht dabei damit ohne jede jeder eines des daher erkläre kurz in bis""".split(),
-    "fr": """le la les des et est une un du dans que qui pour pas sur avec au aux ce cette ne se plus par sont il elle nous vous je mais ou si comme dès sans après avant car leur était être sous chaque pourquoi entre on
- ensuite cas en quand comment afin lorsque dont où tout tous toute cela ces son sa ses leurs nos votre vos mon ma mes qu lui fait peut doit bref contraire passe à vu durant près""".split(),
-    "es": """el los las y es una un del que para no por con se su como más pero al lo si porque cuando entre sin desde hasta este esta son ha muy ya también donde dónde qué cada antes luego tras sobre está vimos conviene
- durante mientras en la de cómo cuándo después entonces tiene puede pueden hay ni o sus les nos era estos estas esa ese aquí así tan poco mucho toda todo todos a breve explica ocurre cambio""".split(),
-    "it": "il lo gli della che di per non con una sono nel alla più anche come ma se quando perché dei delle questo questa è e i le un in da".split(),
-    "pt": "o os uma não com para por mais como mas ao dos das que em se quando porque foi são está também ele ela e a um de do da".split(),
-    "nl": "het een van niet dat zijn voor met maar ook als bij naar wordt deze dit de en in op te is die er om".split(),
-}
 #: Letters that mark a language, where they occur.
 MARKED_LETTERS = {"de": "äöüß", "fr": "èêëçàùœîïôû", "es": "ñ¿¡áíóú", "pt": "ãõ"}
 # ---- fixed values: how a prompt asks for a language
