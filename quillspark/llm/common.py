@@ -102,3 +102,36 @@ def with_token_count(df: DataFrame, text: str, out: str, path: str | None = None
         return pd.Series([len(enc.encode_ordinary(x)) if x else 0 for x in s], dtype="int32")
 
     return df.withColumn(out, size(F.col(text)))
+
+
+#: An answer-format instruction stands before or after at least this share of all distinct prompts, and at least so many.
+INSTRUCTION_SHARE, INSTRUCTION_LEAST = 0.01, 5
+#: Never matches: no instructions are known.
+NO_INSTRUCTIONS = regex.compile(r"(?!)")
+
+
+def standing_instructions(prompts: DataFrame, share: float = INSTRUCTION_SHARE, least: int = INSTRUCTION_LEAST) -> list[str]:
+    """The one to three sentences that stand both before and after many distinct prompts (one column), longest first.
+
+    At most ``2 / share`` come back, whatever the number of prompts.
+    """
+    text = prompts.columns[0]
+    cut = F.filter(F.split(F.col(text), r"(?<=[.!?。！？])\s+|\n+"), lambda x: F.trim(x) != "")
+    distinct = prompts.where(F.col(text).isNotNull()).select(text).distinct().select(F.transform(cut, lambda x: F.lower(F.trim(F.regexp_replace(x, r"\s+", " ")))).alias("s"))
+    n = F.size("s")
+    ends = [F.when(n > k, F.struct(F.lit(side).alias("side"), F.concat_ws(" ", F.slice("s", at, k)).alias("t"))) for k in (1, 2, 3) for side, at in (("pre", F.lit(1)), ("post", n - k + 1))]
+    counts = distinct.select(F.explode(F.array(*[F.when(n > k, e) for k, e in zip((1, 1, 2, 2, 3, 3), ends, strict=True)])).alias("e")).where("e is not null")
+    both = counts.groupBy("e.t").agg(F.sum((F.col("e.side") == "pre").cast("long")).alias("pre"), F.sum((F.col("e.side") == "post").cast("long")).alias("post"))
+    total = distinct.agg(F.count(F.lit(1)).alias("n"))  # one row
+    often = both.crossJoin(F.broadcast(total)).where((F.col("pre") + F.col("post") >= F.greatest(F.lit(least), share * F.col("n"))) & (F.least("pre", "post") >= 0.2 * F.greatest("pre", "post")))
+    return sorted((r[0] for r in often.select("t").collect()), key=lambda t: (-len(t), t))
+
+
+@lru_cache(maxsize=8)
+def _pattern_of(instructions: tuple[str, ...]) -> regex.Pattern:
+    return regex.compile("|".join(r"\s+".join(map(regex.escape, t.split())) for t in instructions), regex.I) if instructions else NO_INSTRUCTIONS
+
+
+def instruction_pattern(instructions: list[str]) -> regex.Pattern:
+    """Finds the instructions in any case and spacing; compiled once per worker."""
+    return _pattern_of(tuple(instructions))

@@ -42,8 +42,8 @@ FROM w2 LEFT JOIN n ON w2.sample_index = n.sample_index
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = leaks.corpus_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "prompts"))
-    return leaks.leaked_items(texts, table(spark, sf_dir, "eval_items"))
+    prompts = table(spark, sf_dir, "prompts")
+    return leaks.leaked_items(leaks.corpus_texts(table(spark, sf_dir, "documents"), prompts), table(spark, sf_dir, "eval_items"), prompts)
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
