@@ -2,11 +2,13 @@
 
 Each pair gets at most one defect, tested in this order: ``empty``, ``refusal``, ``copy``, ``other_language``, ``truncated``.
 Copies are found by aligning the response's words with the prompt's (five-word shingle containment, else the longest
-common subsequence, else the share of words in stretches of the prompt, in any order and number); refusals by aligning every sentence with refusal and courtesy templates.
+common subsequence, else the share of words in stretches of the prompt, in any order and number); refusals by aligning the concepts of every sentence with refusal templates (``refusals``). Answer-format instructions are
+the sentences that stand before and after many prompts.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from functools import lru_cache
 
@@ -15,7 +17,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, spread
+from . import refusals
+from .common import NO_INSTRUCTIONS, instruction_pattern, map_batches, spread, standing_instructions
 from .lexicon import FUNCTION_WORDS
 
 #: Letters that mark a language, where they occur.
@@ -26,35 +29,19 @@ LANGUAGE_NAMES = {
     "es": "spanish|spanisch|espagnol|español|西班牙文|西班牙语", "zh": "chinese|mandarin|chinesisch|chinois|chino|中文|汉语|普通话", "ru": "russian|russisch|russe|ruso|俄文|俄语",
     "it": "italian|italienisch|italien|italiano", "pt": "portuguese|portugiesisch|portugais|portugués", "ja": "japanese|japanisch|japonais|japonés|日文|日语", "ko": "korean|koreanisch|coréen|coreano|韩文|韩语",
 }
-# ---- fixed values: sentences that decline
-REFUSALS = """i cannot help with that|i can't help with that|i cannot assist with that|i'm unable to assist with such a request|i am not able to answer this|i am unable to answer|i cannot answer that
-i cannot go into this topic|i do not feel comfortable answering|i'd rather not respond to that|i would rather not answer|i have to pass on this one|i must turn this down|this is something i have to decline
-i have to decline|i must decline|i won't be giving an answer here|i will not answer this|no answer can be given by me|my guidelines keep me from replying|it is beyond what i may discuss|this falls outside what i am allowed to do
-i am not allowed to answer|i'm not permitted to discuss this|i cannot provide that|i can't comply with this request|i cannot fulfill this request|i refuse to answer this|i can't discuss that|answering this is not something i can do
-dabei kann ich nicht helfen|das muss ich ablehnen|darauf kann ich nicht antworten|ich kann diese frage nicht beantworten|dazu darf ich nichts sagen|ich werde diese frage nicht beantworten|zu diesem thema darf ich mich nicht äußern|das darf ich nicht beantworten
-je ne peux pas vous aider|je ne répondrai pas à cette question|ce sujet m'est interdit|je ne peux pas répondre à cette question|je dois refuser cette demande|je ne suis pas en mesure de répondre|je dois décliner|je dois refuser|je refuse de répondre|je ne puis répondre
-no puedo ayudarle con eso|no puedo ayudar con eso|no voy a responder a esta pregunta|este tema no me está permitido|no puedo responder a esta pregunta|debo rechazar esta solicitud|debo negarme|tengo que negarme|me niego a responder|tengo que rechazar esta petición
-我无法回答这个问题|我必须拒绝这个请求|这个话题我不能谈论|我不能回答这个问题|我无法提供帮助|我不能帮助你|我无法满足这个请求|我不能讨论这个话题|我不能提供这方面的帮助|这超出了我的允许范围|我无法提供这方面的帮助|我不便回答
-я не могу ответить на этот вопрос|я не могу помочь с этим|я вынужден отказаться|я не буду отвечать на этот вопрос|эту тему мне нельзя обсуждать""".replace("\n", "|").split("|")
-# ---- fixed values: what is said around a refusal
-COURTESIES = """i'm sorry|sorry|my apologies|i apologize|unfortunately|with respect|hm|after some thought|thanks for asking however|that is a fair question but|i understand the request yet|i must be honest|to stay within my rules|as an assistant|as an ai language model
-let me know if i can do anything else for you|feel free to try a different question|my training does not cover it|is there another topic you would like to talk about|i don't have access to that kind of knowledge|i hope you understand|it could be against the usage policy
-please ask something else|a qualified person may know more|there is too little context to go on|please ask a professional|thank you for your understanding|i am happy to help with something else|please try another question|ask me something else
-leider|es tut mir leid|entschuldigung|bitte stellen sie eine andere frage|ich hoffe auf ihr verständnis|fragen sie am besten eine fachkraft|danke für ihr verständnis|bitte um verständnis
-malheureusement|navré|pardon|j'ai le regret de dire que|désolé|je suis désolé mais|posez-moi une autre question|merci de votre compréhension|un expert saura mieux|demandez plutôt à un spécialiste|je regrette
-lo siento pero|lamento decir que|perdón|lo lamento|por desgracia|haga otra pregunta por favor|gracias por su comprensión|consulte mejor a un especialista|perdone
-对不起|很抱歉|抱歉|不好意思|请换一个问题|感谢您的理解|谢谢理解|建议咨询专业人士|作为助手|遗憾的是|希望您能理解|感谢您的谅解|请见谅
-извините|к сожалению|простите|задайте другой вопрос|спасибо за понимание|надеюсь на ваше понимание|обратитесь к специалисту""".replace("\n", "|").split("|")
 # ---- fixed values: stand-ins for no value, and frames around an answer
 NO_VALUE = {"none", "null", "nil", "nan", "n/a", "na", "undefined", "empty", "no output", "no answer", "no response", "no content", "blank", "无", "空", "keine", "aucun", "aucune", "ninguno", "nichts", "void", "missing", "tbd", "not available", "keine ausgabe", "sin respuesta", "pas de réponse", "keine antwort", "无输出", "没有回答"}
 FRAME = regex.compile(r"(?i)(?:final |short |my )?(?:answer|result|response|output|antwort|réponse|respuesta|答案|回答)(?: is)?|assistant|boxed|text|the answer is")
 SPECIAL = regex.compile(r"</?s>|<\|[^|>]{1,40}\|>|\[/?(?:INST|PAD|EOS|BOS)\]|<(?:eos|bos|pad|unk)>")
+MARKED = re.compile(r"[<&\\`\[]")
 THINK = regex.compile(r"(?is)<(think|thinking|reasoning|scratchpad)>.*?</\1>")
 INVISIBLE = regex.compile(r"[\p{Cf}\p{Cc}\p{Zs}\p{Zl}\p{Zp}\uFFFD]+")
 TOKEN = regex.compile(r"[\p{Han}]|[\p{L}\p{M}&&[^\p{Han}]]+|\p{N}+", regex.V1)
+ASCII_TOKEN = re.compile(r"[a-z]+|[0-9]+")
 SENTENCE = regex.compile(r"(?<=[.!?。！？…])[\s\"'”’*_)]*|\n+|(?<=[:：])\s+")
-#: What a remark beside a refusal must not hold: digits, names, options, code or an answer frame.
-REMARK = regex.compile(r"\p{N}|[`\\\\$<>{}|:：(]|(?<=\p{L}\s)\p{Lu}\p{Ll}|(?i:\banswer\b|\bit (?:is|was)\b)")
+#: What a remark beside a refusal must not hold: options, code or an answer frame; and digits and names that the prompt does not have.
+OPTION = regex.compile(r"[`\\\\$<>{}|:：(=]|(?i:\banswer is\b|\bit (?:is|was)\b)")
+NAMED = regex.compile(r"\p{N}+|(?<=\p{L}\s)\p{Lu}\p{Ll}+")
 #: Words that only introduce a repeated question.
 WRAPPERS = set("user role content assistant system message messages prompt question q you asked ask here is the your request input task query text repeat repeating quote said says i see understood frage question pregunta 问题 提问 用户".split())
 
@@ -67,9 +54,16 @@ def rx(pattern: str) -> regex.Pattern:
 
 @lru_cache(maxsize=8)
 def tokens(text: str) -> list[str]:
+    if text.isascii():  # nothing to normalise, and what is no letter or digit separates
+        return ASCII_TOKEN.findall(text.lower().replace("'", ""))
     return TOKEN.findall(unicodedata.normalize("NFKC", INVISIBLE.sub(" ", text)).lower().replace("’", "'").replace("'", ""))
 
 
+def plain(text: str) -> str:
+    """Without the marks of a chat format."""
+    return SPECIAL.sub(" ", text) if "<" in text or "[" in text else text
+
+
 def lcs(a: list[str], b: list[str]) -> tuple[int, int]:
     """Length of the longest common subsequence (bit-parallel) and the end, in ``b``, of its earliest full alignment."""
     place: dict[str, int] = {}
@@ -87,65 +81,37 @@ def lcs(a: list[str], b: list[str]) -> tuple[int, int]:
     return best, end
 
 
-@lru_cache(maxsize=1)
-def _word_sets() -> list[tuple[frozenset[str], float]]:
-    return [(frozenset(t), 0.8 * len(t) - (len(t) - len(set(t)))) for t in _templates()[0]]
-
+def is_refusal(answer: str, prompt: str = "") -> bool:
+    """At least one sentence declines, and the others are courtesies or remarks that give no number, name, option, code or answer frame but the prompt's.
 
-@lru_cache(maxsize=1)
-def _templates() -> tuple[list[list[str]], list[list[str]]]:
-    return [tokens(t) for t in REFUSALS], [tokens(t) for t in COURTESIES]
-
-
-def _aligned(words: list[str], templates: list[list[str]], share: float = 0.8) -> bool:
-    have = set(words)
-    for t in templates:
-        if sum(w in have for w in t) >= share * len(t) and lcs(t, words)[0] >= max(1, share * len(t)):
-            if len(words) <= len(t) / share + 1:
-                return True
-    return False
-
-
-def _strip_courtesy(words: list[str]) -> list[str]:
-    """Without the courtesies at the beginning, longest first."""
-    changed = True
-    while changed and words:
-        changed = False
-        for t in sorted(_templates()[1], key=len, reverse=True):
-            if t and words[: len(t)] == t:
-                words, changed = words[len(t) :], True
-                break
-        if not changed and words[0] in ("but", "however", "yet", "and", "so", "aber", "mais", "pero", "但", "但是", "но"):
-            words, changed = words[1:], True
-    return words
-
-
-def is_refusal(answer: str) -> bool:
-    """At least one sentence declines, and the others are courtesies or short remarks without a number, name or answer frame."""
-    have = set(tokens(answer))
-    if not any(len(w & have) >= least for w, least in _word_sets()):
-        return False  # no template can be aligned with any sentence
-    declined, remarks = False, 0
-    refusals, courtesies = _templates()
-    kinds: dict[str, tuple[str, int]] = {}  # looped sentences are aligned once
+    Remarks may be as long as what is declined and the courtesies (twelve words at least), however long the answer is.
+    """
+    if not refusals.may_refuse(tokens(answer), answer):
+        return False
+    declined, polite, remarks, left = False, 0, 0, len(answer)
+    known = None
     for s in SENTENCE.split(answer):
-        if s not in kinds:
-            words = _strip_courtesy(tokens(s or ""))
-            kinds[s] = ("none" if not words else "refusal" if _aligned(words, refusals) else "courtesy" if _aligned(words, courtesies) else "remark", len(words))
-        kind, size = kinds[s]
-        if kind == "refusal":
-            declined = True
+        left -= len(s or "")
+        kind, size = refusals.judge(s or "")
+        declined |= kind == "refusal"
+        if kind in ("refusal", "courtesy"):
+            polite += size
         elif kind == "remark":
-            if REMARK.search(s):
+            if any(True for _ in OPTION.finditer(s)):
                 return False
-            remarks += size
-            if remarks > 12:
+            known = set(tokens(prompt)) if known is None else known
+            if any(m.group().lower() not in known for m in NAMED.finditer(s)):
                 return False
-    return declined
+            remarks += size
+            if remarks > max(12, polite + left):
+                return False  # what follows can't make up for it
+    return declined and remarks <= max(12, polite)
 
 
 def split_reasoning(text: str) -> tuple[str, bool, bool]:
     """The part after finished reasoning; whether there was reasoning; whether it is unfinished."""
+    if "<" not in text:
+        return text, False, False
     rest, n = THINK.subn("\n", text)
     if n == 0 and (m := rx(r"(?i)</(?:think|thinking|reasoning|scratchpad)>").search(rest)):
         rest, n = rest[m.end() :], 1
@@ -155,6 +121,8 @@ def split_reasoning(text: str) -> tuple[str, bool, bool]:
 
 def is_empty(answer: str) -> bool:
     """Nothing but blanks, invisible characters, punctuation, markup, an answer frame or a stand-in for no value."""
+    if not MARKED.search(answer) and len(ASCII_TOKEN.findall(answer[:400].lower())) > 20:
+        return False  # without markup, neither frames nor stand-ins have so many words
     t = SPECIAL.sub(" ", answer)
     t = rx(r"</?[A-Za-z][^<>]{0,60}>|```[a-zA-Z]*|&nbsp;|\\boxed|\\text|\\n|\\(?=[\[\]()])").sub(" ", t)
     t = INVISIBLE.sub(" ", t).strip().lower()
@@ -166,15 +134,15 @@ def is_empty(answer: str) -> bool:
 
 
 @lru_cache(maxsize=1024)
-def _prompt_tokens(prompt: str) -> tuple[list[str], int]:
+def _prompt_tokens(prompt: str, instructions: regex.Pattern) -> tuple[list[str], int]:
     """A prompt's words and the number of its question's; prompts recur for every sample of a group."""
-    return tokens(prompt), len(question_tokens(prompt))
+    return tokens(prompt), len(question_tokens(prompt, instructions))
 
 
 @lru_cache(maxsize=1024)
-def wanted_language(prompt: str) -> str | None:
+def wanted_language(prompt: str, instructions: regex.Pattern) -> str | None:
     """The language a prompt asks for, else its own."""
-    return asked_language(prompt) or language(question_of(prompt))[0]
+    return asked_language(prompt) or language(instructions.sub(" ", prompt))[0]
 
 
 def _given_back(p: list[str], r: list[str], question: int, share: float) -> bool:
@@ -207,10 +175,10 @@ def _given_back(p: list[str], r: list[str], question: int, share: float) -> bool
     return True
 
 
-def is_copy(prompt: str, answer: str, share: float = 0.8) -> bool:
+def is_copy(prompt: str, answer: str, instructions: regex.Pattern = NO_INSTRUCTIONS, share: float = 0.8) -> bool:
     """The response is the prompt's question, wholly or nearly, once or more often, and holds no answer beside it."""
-    p, question = _prompt_tokens(prompt)
-    r = tokens(SPECIAL.sub(" ", answer))
+    p, question = _prompt_tokens(prompt, instructions)
+    r = tokens(plain(answer))
     if len(r) < 3 or not p:
         return False
     while r and r[0] in WRAPPERS and (r[0] not in p[:3]):
@@ -222,8 +190,8 @@ def is_copy(prompt: str, answer: str, share: float = 0.8) -> bool:
         return False  # too many words that the prompt does not have
     shingles = {tuple(p[i : i + 5]) for i in range(len(p) - 4)}
     own = [tuple(r[i : i + 5]) for i in range(len(r) - 4)]
-    if len(r) <= 1.3 * len(p) + 12 and own and sum(s in shingles for s in own) == len(own):
-        inside = end = len(r)
+    if own and len(own) - len(set(own)) <= 0.3 * len(own) and all(s in shingles for s in own):
+        inside = end = len(r)  # one stretch of the prompt, not the same one again and again
     elif share * len(r) <= len(p):
         inside, end = lcs(p, r)
     else:
@@ -233,27 +201,18 @@ def is_copy(prompt: str, answer: str, share: float = 0.8) -> bool:
     return _given_back(p, r, question, share)
 
 
-#: Answer-format instructions around a question.
-INSTRUCTIONS = [
-    r"please reason step by step, and put your final answer within \boxed{}.", "think first inside <think> tags and give the result inside <answer> tags.", "solve the following task. the last line must read 'answer: x'.",
-    "answer with the letter of the right option only.", "give a short and direct reply.", "you may call the search tool before you answer.",
-]
-
-
-ANY_INSTRUCTION = regex.compile("|".join(regex.escape(i) for i in INSTRUCTIONS), regex.I)
-
-
-def question_tokens(prompt: str) -> list[str]:
-    own = tokens(ANY_INSTRUCTION.sub(" ", prompt))
+def question_tokens(prompt: str, instructions: regex.Pattern = NO_INSTRUCTIONS) -> list[str]:
+    own = tokens(instructions.sub(" ", prompt))
     return own[1:] if own[:1] == ["question"] else own
 
 
-NOT_PROSE = regex.compile(r"```.*?(?:```|$)|`[^`]*`|\\boxed\{[^}]*\}|\$[^$]*\$|</?[a-zA-Z|][^<>]*>|(?<![\w.-])[\w.-]*[_\d][\w.-]*|--?\w[\w-]*", regex.S)
+NOT_PROSE = re.compile(r"```.*?(?:```|$)|`[^`]*`|\\boxed\{[^}]*\}|\$[^$]*\$|</?[a-zA-Z|][^<>]*>|(?<![\w.-])[\w.-]*[_\d][\w.-]*|--?\w[\w-]*", re.S)
 ELISION = regex.compile(r"\b(?:l|d|qu|n|s|c|j|m)['’]\p{Latin}")
 MIXED = regex.compile(r"[\p{Latin}](?=[\p{Cyrillic}\p{Greek}])|[\p{Cyrillic}\p{Greek}](?=\p{Latin})")
 #: Cyrillic and Greek letters that look like Latin ones, and those.
 LOOKALIKES = str.maketrans("аеорсухіјѕԁһԛԝАВЕКМНОРСТХІЅЈαοενικρτυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijsdhqwABEKMHOPCTXISJaoevikptuxABEZHIKMNOPTYX")
 LATIN = regex.compile(r"\p{Latin}+")
+ASCII_WORD = re.compile(r"[a-z]+")
 SCRIPTS = {k: regex.compile(rf"\p{{{v}}}+") for k, v in (("ru", "Cyrillic"), ("ar", "Arabic"), ("el", "Greek"), ("hi", "Devanagari"), ("he", "Hebrew"), ("th", "Thai"))}
 HAN, KANA, HANGUL = regex.compile(r"\p{Han}"), regex.compile(r"[\p{Hiragana}\p{Katakana}]"), regex.compile(r"\p{Hangul}")
 
@@ -261,24 +220,27 @@ HAN, KANA, HANGUL = regex.compile(r"\p{Han}"), regex.compile(r"[\p{Hiragana}\p{K
 def language(text: str) -> tuple[str | None, float]:
     """Language of the prose and the evidence for it; None where there is too little of it."""
     t = NOT_PROSE.sub(" ", text.lower())
-    if len(MIXED.findall(t)) >= 3:  # look-alike letters inside words
+    if not t.isascii() and len(MIXED.findall(t)) >= 3:  # look-alike letters inside words
         t = t.translate(LOOKALIKES)
-    latin = LATIN.findall(t)
+    latin = ASCII_WORD.findall(t) if t.isascii() else LATIN.findall(t)
     weight: dict[str, float] = {"en": 0.0}
     if not t.isascii():
         han, kana, hangul = len(HAN.findall(t)), len(KANA.findall(t)), len(HANGUL.findall(t))
         weight |= {"zh": han / 1.7 if kana < 0.1 * han else 0, "ja": (han + kana) / 1.7 if kana and kana >= 0.1 * han else 0, "ko": hangul / 2}
         weight |= {k: len(v.findall(t)) for k, v in SCRIPTS.items()}
     hits, spoken = dict.fromkeys(FUNCTION_WORDS, 0.0), _speakers()
+    distinct: dict[str, set[str]] = {k: set() for k in FUNCTION_WORDS}
     for w in latin:
         for k in spoken.get(w, ()):
             hits[k] += 1
-    hits["fr"] += len(ELISION.findall(t))
+            distinct[k].add(w)
+    hits["fr"] += len(ELISION.findall(t)) if "'" in t or "’" in t else 0
     if not t.isascii():
         for k, letters in MARKED_LETTERS.items():
             hits[k] += 0.7 * min(4, sum(t.count(x) for x in letters))
-    for k in ("it", "pt", "nl"):  # close relatives of the others: only where they explain clearly more
-        hits[k] *= 0.6
+    for k in hits:  # close relatives of the others: only where they explain clearly more, by several words
+        if k not in ("en", "de", "fr", "es"):
+            hits[k] = 0.6 * hits[k] if len(distinct[k]) >= 3 else 0
     order = sorted(hits, key=hits.get, reverse=True)
     if hits[order[0]] > hits[order[1]]:
         weight[order[0]] = weight.get(order[0], 0) + len(latin)
@@ -310,7 +272,7 @@ LAST_WORDS_COMPLETE = regex.compile(r"(?i)(?:^|[.!?\s])(?:final answer|answer|so
 
 def is_truncated(prompt: str, text: str) -> bool:
     """Breaks off inside a word, sentence, list, code, table, tag or formula; a bare short answer is complete."""
-    whole = SPECIAL.sub("", text)
+    whole = SPECIAL.sub("", text) if "<" in text or "[" in text else text
     answer, _, unfinished = split_reasoning(whole)
     if unfinished:
         return True
@@ -366,28 +328,24 @@ def is_truncated(prompt: str, text: str) -> bool:
     return True
 
 
-def defect(prompt: str | None, response: str | None) -> str | None:
+def defect(prompt: str | None, response: str | None, instructions: regex.Pattern = NO_INSTRUCTIONS) -> str | None:
     """The pair's defect, or None. A null response is empty; a null prompt has no question, so only the response is judged."""
     text, ask = response or "", prompt or ""
-    answer, reasoned, unfinished = split_reasoning(SPECIAL.sub(" ", text))
-    copied = bool(ask) and is_copy(ask, text)
+    answer, reasoned, unfinished = split_reasoning(plain(text))
+    copied = bool(ask) and is_copy(ask, text, instructions)
     if not copied and not unfinished and is_empty(answer):
         return "empty"
-    if not unfinished and is_refusal(answer):
+    if not unfinished and is_refusal(answer, ask):
         return "refusal"
-    if copied or ask and not unfinished and is_copy(ask, answer):
+    if copied or ask and not unfinished and is_copy(ask, answer, instructions):
         return "copy"
-    want = wanted_language(ask)
+    want = wanted_language(ask, instructions)
     got = language(answer)[0] or language(text)[0]
     if want and got and want != got:
         return "other_language"
     return "truncated" if is_truncated(ask, text) else None
 
 
-def question_of(prompt: str) -> str:
-    return ANY_INSTRUCTION.sub(" ", prompt)
-
-
 def broken_pairs(samples: DataFrame, skip: tuple[str, ...] = ("pending", "aborted")) -> DataFrame:
     """``sample_index, defect`` of every distinct defective sample.
 
@@ -395,8 +353,11 @@ def broken_pairs(samples: DataFrame, skip: tuple[str, ...] = ("pending", "aborte
     are ignored; an empty table gives an empty result.
     """
 
+    fixed = standing_instructions(samples.select("prompt"))
+
     def judge(batch: pa.RecordBatch):
-        found = [defect(p, r) for p, r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        pattern = instruction_pattern(fixed)
+        found = [defect(p, r, pattern) for p, r in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
         out = pa.table({"sample_index": batch.column(0), "defect": pa.array(found, pa.string())})
         yield out.filter(pa.compute.is_valid(out["defect"]))
 

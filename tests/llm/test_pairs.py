@@ -70,3 +70,53 @@ NO, KIND = "I'm sorry, but I can't help with that. ", "Thank you for your unders
 ])
 def test_long_refusals(response, want):
     assert pr.defect(Q, response) == want
+
+
+# wordings that were not used for the concepts and templates
+UNSEEN = [
+    "Regrettably this is not a subject on which I am willing to comment.", "I am not in a position to help here.", "That is a topic I would prefer to stay away from.", "My instructions do not let me talk about this.",
+    "I can't engage with this request.", "I'd prefer not to say.", "Sorry, no comment from me on that.", "This question goes beyond what I can discuss.", "I'm afraid I can't do that.",
+    "I won't be able to assist you with this.", "Unfortunately, I don't have permission to answer questions of this kind.", "It would not be right for me to respond.", "Please understand that I have to refuse.",
+    "We do not provide help with such matters.", "I shall not reply to this.", "I must abstain from giving an answer.", "Answering that would go against my principles.", "Ich möchte mich dazu nicht äußern.",
+    "Es ist mir nicht gestattet, darüber zu sprechen.", "Hierzu gebe ich keine Auskunft.", "Tut mir leid, dabei kann ich Ihnen nicht weiterhelfen.", "Ich lehne diese Anfrage ab.", "Je préfère ne pas répondre.",
+    "Il m'est impossible de traiter cette demande.", "Je ne suis pas autorisé à parler de ce sujet.", "Désolé, je décline cette requête.", "Prefiero no hablar de este asunto.", "No estoy autorizado a responder.",
+    "Lo siento, me abstengo de opinar.", "No me es posible atender esta petición.", "抱歉,我没办法回答这类问题。", "这个请求我不能满足。", "我不方便谈论这个主题。", "很遗憾,我拒绝回答。",
+]
+ORDINARY = [
+    "I can't be sure, but the gain is large.", "It does not rain there.", "The filter does not read the table.", "No, it is not allowed to cross the bridge.", "We cannot divide by zero, so x is not zero.",
+    "I would say the river lies to the north.", "Nobody knows who built it.", "The rule does not apply to short prompts.", "Es gibt keinen Unterschied zwischen den beiden.", "Il n'y a pas de différence.",
+    "No hay ninguna diferencia entre los dos.", "没有区别。", "You should not answer before the search tool returns.", "The limit is not reached.", "He refused to sell the mill.", "The council declined the offer.",
+    "It can not exceed the limit of the queue.", "The model can not keep up.", "You may not use this option.",
+]
+
+
+def test_refusals_in_unseen_wordings():
+    assert sum(map(pr.is_refusal, UNSEEN)) >= 0.9 * len(UNSEEN)
+    assert not any(map(pr.is_refusal, ORDINARY))
+
+
+def test_remarks_beside_refusals():
+    assert pr.is_refusal("I cannot answer that. The choir of Merdas is a delicate matter.", "Who leads the choir of Merdas?")
+    assert not pr.is_refusal("I cannot answer that. The choir is led by Ossnel Vora.", "Who leads the choir of Merdas?")
+    long = "I'm sorry. " + "I cannot help with that. " * 30
+    assert pr.is_refusal(long) and len(long) > 600
+
+
+def test_standing_instructions(spark):
+    from quillspark.llm.common import instruction_pattern, standing_instructions
+
+    rows = [(f"Say it in one word. How many {i} are there?",) for i in range(6)] + [(f"How many {i} are there? Who keeps them? SAY it  in one word.",) for i in range(6, 12)]
+    rows += [(f"What is {i}? How is it kept?",) for i in range(20)] + [(None,), ("",)] + [("One prompt. Often repeated.",)] * 100
+    df = spark.createDataFrame(rows, "text string")
+    got = standing_instructions(df)
+    assert got == ["say it in one word."]
+    assert pr.question_tokens(rows[7][0], instruction_pattern(got)) == "how many 7 are there who keeps them".split()
+    assert standing_instructions(df.limit(0)) == []
+
+
+@pytest.mark.parametrize(("response", "want"), [
+    ("Filtr czyta dane i nie jest to szybkie, ale można go użyć przed pętlą.", "other_language"), ("Bu filtre veri için çok önemli ve daha hızlı, ama her zaman değil.", "other_language"), ("Filtret läser data och det är inte snabbt, men kan vara bra för alla.", "other_language"),
+    ("Il filtro legge i dati e non è veloce, ma può essere usato anche per questo.", "other_language"), ("word " * 500 + "end.", None),
+])
+def test_more_languages(response, want):
+    assert pr.defect(Q, response) == want
