@@ -1,8 +1,8 @@
 """Problem 6: mixing sources to target weights.
 
-Every source gets an exact token quota: each record is used a whole number of times, and a part of the records, first in a hash order,
-once more. The uses form blocks (source, repeat, hash bucket). A multivariate-hypergeometric splitting tree divides the blocks of all
-sources among the output shards, blocks are dealt in a random order without overlap, and each shard is shuffled locally.
+Every source gets an exact token quota: each record is used a whole number of times, and the records that come first in a hash order once more. The uses of a
+source form blocks (use number, range of the hash). A multivariate-hypergeometric splitting tree divides the blocks of all sources among the output shards,
+each shard draws its blocks from a permuted list, without overlap, and is shuffled locally.
 """
 
 from __future__ import annotations
@@ -18,13 +18,16 @@ from quillspark.operators.ordering import ensure_checkpoint_dir
 
 from .common import spread, table, with_token_count
 
-#: Hash buckets of a source; only the buckets in which its quota ends are sorted.
-BUCKETS = 512
+#: Bits of the order's hash, and bits by which the end of a quota is narrowed down at a time.
+HASH_BITS, STEP_BITS = 54, 9
+#: Records among which the end of a quota is looked for row by row; a larger range is narrowed down further.
+EDGE_ROWS = 8192
 #: Records before and after the end of a quota among which its last tokens are made up exactly.
 FILL = 64
-#: Most sources of a mix; the plan on the driver has sources x buckets entries.
+#: Most sources of a mix.
 MOST_SOURCES = 2000
-SHARD_TOKENS = 50_000_000
+#: Tokens of a shard, and bounds of their number; blocks of a shard. Sources and shards bound the table of blocks that is broadcast.
+SHARD_TOKENS, LEAST_SHARDS, MOST_SHARDS, SHARD_BLOCKS = 50_000_000, 32, 8192, 16
 SEED = 20240
 
 
@@ -35,40 +38,57 @@ def clean_source(c: Column) -> Column:
 
 
 @dataclass
-class Plan:
-    """Mix size and, per source, ``source, share, reachable share, cap, whole uses, first and last bucket of the quota's end,
-    tokens before that, tokens wanted beside the whole uses``."""
-
-    total: float
-    rows: list[tuple[str, float, float, int, int, int, int, float, float]]
-
-
-def quotas(stats: dict[str, np.ndarray], counts: dict[str, np.ndarray], targets: list[tuple[str, float, int]], total: float | None = None) -> Plan:
-    """Largest mix in which no source exceeds its repeats; ``stats`` and ``counts`` have the tokens and records of each source's buckets.
+class Quota:
+    """What a source gives: each record ``whole`` times, and once more those with a hash below ``low`` and some of those in [``low``, ``high``),
+    which are to add up to ``wanted`` tokens together with the ``before`` tokens below ``low``."""
+
+    source: str
+    target: float
+    reachable: float
+    cap: int
+    tokens: float
+    records: int
+    whole: int = 0
+    wanted: float = 0.0
+    low: int = 0
+    high: int = 0
+    before: float = 0.0
+
+
+def quotas(sizes: dict[str, tuple[float, int]], targets: list[tuple[str, float, int]], total: float | None = None) -> tuple[float, list[Quota]]:
+    """Size of the largest mix in which no source exceeds its repeats, and the quotas; ``sizes`` has tokens and records of each source.
 
     Sources without tokens can't be reached: the others keep their proportions and share the whole.
     """
-    have = {s: float(stats[s].sum()) for s, w, _ in targets if s in stats and w > 0 and stats[s].sum() > 0}
+    have = {s: sizes[s] for s, w, _ in targets if s in sizes and w > 0 and sizes[s][0] > 0}
     weight = sum(w for s, w, _ in targets if s in have)
-    most = min((have[s] * m * weight / w for s, w, m in targets if s in have), default=0.0)
+    most = min((have[s][0] * m * weight / w for s, w, m in targets if s in have), default=0.0)
     size = most if total is None else min(total, most)
-    rows = []
+    out = []
     for s, w, m in targets:
-        if s not in have:
-            continue
-        quota = size * w / weight
-        whole = min(m, int(quota / have[s] + 1e-9))
-        left = quota - whole * have[s] if whole < m else 0.0
-        until = np.cumsum(stats[s])
-        edge = int(np.searchsorted(until, left, side="right")) if left > 0 else -1
-        edge = min(edge, len(until) - 1)
-        last = -1
-        if edge >= 0:  # widened until FILL records stand on either side
-            last = edge + min(int(np.searchsorted(np.cumsum(counts[s][edge + 1 :]), FILL)) + 1, len(until) - 1 - edge)
-            edge -= min(int(np.searchsorted(np.cumsum(counts[s][:edge][::-1]), FILL)) + 1, edge)
-        before = float(until[edge - 1]) if edge > 0 else 0.0
-        rows.append((s, float(w), w / weight, int(m), whole, edge, last, before, left))
-    return Plan(size, rows)
+        if s in have:
+            tokens, records = have[s]
+            quota = size * w / weight
+            whole = min(m, int(quota / tokens + 1e-9))
+            out.append(Quota(s, float(w), w / weight, int(m), float(tokens), int(records), whole, float(quota - whole * tokens) if whole < m else 0.0))
+    return float(size), out
+
+
+def narrow(q: Quota, level: int, tokens: np.ndarray, records: np.ndarray) -> bool:
+    """Moves the quota's range to the part of it in which the quota ends; True if that part must be narrowed down further.
+
+    ``tokens`` and ``records`` are those of the parts. The last range is widened by parts on either side until ``FILL`` records stand there.
+    """
+    width = 1 << (HASH_BITS - STEP_BITS * level)
+    until = q.before + np.cumsum(tokens)
+    edge = min(int(np.searchsorted(until, q.wanted, side="right")), len(tokens) - 1)
+    last, more = edge, records[edge] > EDGE_ROWS and width > 1
+    if not more:
+        last = edge + min(int(np.searchsorted(np.cumsum(records[edge + 1 :]), FILL)) + 1, len(tokens) - 1 - edge)
+        edge -= min(int(np.searchsorted(np.cumsum(records[:edge][::-1]), FILL)) + 1, edge)
+    q.before = float(until[edge - 1]) if edge > 0 else q.before
+    q.low, q.high = q.low + edge * width, q.low + (last + 1) * width
+    return bool(more)
 
 
 def best_subset(sizes: list[int], gap: int) -> list[int]:
@@ -112,39 +132,75 @@ class Mix:
     Repeated rows count one by one. No documents or no targets give an empty mix.
     """
 
-    def __init__(self, documents: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", total: float | None = None, tokenizer: str | None = None, buckets: int = BUCKETS, shard_tokens: int = SHARD_TOKENS, seed: int = SEED):
-        spark = documents.sparkSession
-        ensure_checkpoint_dir(spark)
-        self.id, self.buckets, self.seed, self.shard_tokens = id_col, buckets, seed, shard_tokens
+    def __init__(self, documents: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", total: float | None = None, tokenizer: str | None = None, shard_tokens: int = SHARD_TOKENS, least_shards: int = LEAST_SHARDS, seed: int = SEED):
+        self.spark = documents.sparkSession
+        ensure_checkpoint_dir(self.spark)
+        self.id, self.seed = id_col, seed
         self.wanted = _targets(targets)
         base = spread(documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), clean_source(F.col(source_col)).alias("source")))
-        order = F.xxhash64(F.lit(seed), "id")
-        self.sized = with_token_count(base, "text", "n_tokens", tokenizer).select("id", "source", "n_tokens", order.alias("h"), F.pmod(F.shiftright(order, 20), F.lit(buckets)).cast("int").alias("bucket")).checkpoint()
+        self.sized = with_token_count(base, "text", "n_tokens", tokenizer).select("id", "source", "n_tokens", F.shiftrightunsigned(F.xxhash64(F.lit(seed), "id", "text"), 64 - HASH_BITS).alias("h")).checkpoint()
         names = [s for s, _, _ in self.wanted]
-        sums = self.sized.where(F.col("source").isin(names)).groupBy("source", "bucket").agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("k")).collect() if names else []  # at most sources x buckets rows
-        stats: dict[str, np.ndarray] = {}
-        counts: dict[str, np.ndarray] = {}
-        for r in sums:
-            stats.setdefault(r["source"], np.zeros(buckets))[r["bucket"]] = r["t"]
-            counts.setdefault(r["source"], np.zeros(buckets))[r["bucket"]] = r["k"]
-        self.plan = quotas(stats, counts, self.wanted, total)
+        self.mixed = self.sized.where(F.col("source").isin(names)) if names else self.sized.limit(0)
+        parts = self._parts(self.mixed.withColumn("low", F.lit(0).cast("long")), 1)
+        self.total, self.quotas = quotas({s: (t.sum(), n.sum()) for s, (t, n) in parts.items()}, self.wanted, total)
+        open_ = {q.source: q for q in self.quotas if q.wanted > 0}
+        level = 1
+        while open_:
+            open_ = {s: q for s, q in open_.items() if narrow(q, level, *parts[s])}
+            level += 1
+            if open_:  # at most MOST_SOURCES rows
+                ranges = F.broadcast(self.spark.createDataFrame([(q.source, q.low, q.high) for q in open_.values()], "source string, low long, high long"))
+                parts = self._parts(self.mixed.join(ranges, "source").where("h >= low and h < high"), level)
+        self._deal(shard_tokens, least_shards)
+
+    def _parts(self, rows: DataFrame, level: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+        """Tokens and records of the parts of each source's range; at most sources x 2 ** STEP_BITS rows come to the driver."""
+        part = F.shiftright(F.col("h") - F.col("low"), HASH_BITS - STEP_BITS * level).cast("int").alias("part")
+        out: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        for r in rows.groupBy("source", part).agg(F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("n")).collect():
+            own = out.setdefault(r["source"], (np.zeros(1 << STEP_BITS), np.zeros(1 << STEP_BITS, dtype=np.int64)))
+            own[0][r["part"]], own[1][r["part"]] = r["t"], r["n"]
+        return out
+
+    def _deal(self, shard_tokens: int, least_shards: int) -> None:
+        """Blocks of every source in number as its uses' tokens are, and the shard of each use of each block."""
+        rng = np.random.default_rng(self.seed)
+        shards = int(min(MOST_SHARDS, max(least_shards, math.ceil(self.total / shard_tokens))))
+        size = max(1.0, self.total / (shards * SHARD_BLOCKS))
+        self.bits = {q.source: min(20, max(0, math.ceil(math.log2(max(1.0, min(q.tokens / size, q.records / 4)))))) for q in self.quotas}
+        blocks, counts = [], []
+        for q in self.quotas:
+            shift = HASH_BITS - self.bits[q.source]
+            own = [(r, b) for r in range(q.whole) for b in range(1 << self.bits[q.source])]
+            own += [(q.whole, b) for b in range(((q.high - 1) >> shift) + 1)] if q.high else []
+            blocks.append(own), counts.append(len(own))
+        self.shard_count = max(1, min(shards, sum(counts) // 4))
+        deal = splitting_tree(np.array(counts, dtype=np.int64), self.shard_count, rng) if counts else np.zeros((self.shard_count, 0), dtype=np.int64)
+        rows = []
+        for j, (q, own) in enumerate(zip(self.quotas, blocks, strict=True)):
+            shard = np.empty(len(own), dtype=np.int64)
+            shard[rng.permutation(len(own))] = np.repeat(np.arange(self.shard_count), deal[:, j])
+            by: dict[int, list[int]] = {}
+            for (_, b), k in zip(own, shard.tolist(), strict=True):
+                by.setdefault(b, []).append(k)  # in the order of uses
+            rows += [(q.source, b, ks) for b, ks in by.items()]
+        self.places = self.spark.createDataFrame(rows, "source string, block int, dealt array<int>")
         self.chosen = self._fill()
 
     def _planned(self) -> DataFrame:
-        spark = self.sized.sparkSession
-        plan = spark.createDataFrame([(s, whole, edge, last, before, left) for s, _, _, _, whole, edge, last, before, left in self.plan.rows], "source string, whole int, edge int, last int, before double, wanted double")
-        return self.sized.join(F.broadcast(plan), "source", "left")  # at most MOST_SOURCES rows
+        plan = [(q.source, q.whole, q.low, q.high, q.before, q.wanted, HASH_BITS - self.bits[q.source]) for q in self.quotas]
+        return self.sized.join(F.broadcast(self.spark.createDataFrame(plan, "source string, whole int, low long, high long, before double, wanted double, shift int")), "source", "left")  # at most MOST_SOURCES rows
 
     def _end(self, rows: DataFrame) -> DataFrame:
-        """The records about the end of each quota; ``rank`` is at most 0 in its prefix and 1 to 2 FILL about its end."""
-        w = Window.partitionBy("source").orderBy("bucket", "h", "id")
-        end = rows.where(F.col("bucket").between(F.col("edge"), F.col("last"))).withColumn("until", F.col("before") + F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        """The records about the end of each quota, a bounded number; ``rank`` is at most 0 in its prefix and 1 to 2 FILL about its end."""
+        w = Window.partitionBy("source").orderBy("h", "id", "n_tokens")
+        end = rows.where("h >= low and h < high").withColumn("until", F.col("before") + F.sum("n_tokens").over(w.rowsBetween(Window.unboundedPreceding, 0)))
         fits = F.sum((F.col("until") <= F.col("wanted")).cast("int")).over(Window.partitionBy("source"))
         return end.withColumn("rank", F.row_number().over(w) - (fits - FILL))
 
     def _fill(self) -> list[tuple[str, int]]:
         """Ranks that make up the end of each quota; at most 2 FILL records of each source are looked at."""
-        near = self._end(self._planned()).where(F.col("rank").between(1, 2 * FILL)).select("source", "rank", "n_tokens", "until", "wanted").collect() if self.plan.rows else []
+        near = self._end(self._planned()).where(F.col("rank").between(1, 2 * FILL)).select("source", "rank", "n_tokens", "until", "wanted").collect() if self.quotas else []
         out, by = [], {}
         for r in near:
             by.setdefault(r["source"], []).append(r)
@@ -155,43 +211,30 @@ class Mix:
         return out
 
     def uses(self) -> DataFrame:
-        """``id, source, n_tokens, bucket, whole, uses`` of every record."""
+        """``id, source, n_tokens, uses, shards`` of every record; ``shards`` has the shard of each use."""
         rows = self._planned()
-        inside = rows.where(F.col("edge").isNull() | (F.col("edge") < 0) | ~F.col("bucket").between(F.col("edge"), F.col("last")))
-        inside = inside.withColumn("uses", F.coalesce(F.col("whole") + F.when(F.col("bucket") < F.col("edge"), 1).otherwise(0), F.lit(0)))
-        picked = self.sized.sparkSession.createDataFrame(self.chosen, "source string, rank bigint").withColumn("more", F.lit(1))
-        end = self._end(rows.where("edge >= 0")).join(F.broadcast(picked), ["source", "rank"], "left")  # at most 2 FILL rows for each source
+        edge = F.col("high").isNotNull() & (F.col("h") >= F.col("low")) & (F.col("h") < F.col("high"))
+        inside = rows.where(~F.coalesce(edge, F.lit(False))).withColumn("uses", F.coalesce(F.col("whole") + (F.col("h") < F.col("low")).cast("int"), F.lit(0)))
+        picked = self.spark.createDataFrame(self.chosen, "source string, rank bigint").withColumn("more", F.lit(1))
+        end = self._end(rows).join(F.broadcast(picked), ["source", "rank"], "left")  # at most 2 FILL rows for each source
         end = end.withColumn("uses", F.col("whole") + F.when((F.col("rank") <= 0) | F.col("more").isNotNull(), 1).otherwise(0))
-        keep = ["id", "source", "n_tokens", "bucket", "whole", "uses"]
-        return inside.select(*keep).unionByName(end.select(*keep))
+        keep = ["id", "source", "n_tokens", "uses", F.expr("cast(shiftright(h, shift) as int)").alias("block")]
+        both = inside.select(*keep).unionByName(end.select(*keep)).join(F.broadcast(self.places), ["source", "block"], "left")  # MOST_SHARDS x SHARD_BLOCKS blocks, and some for each source
+        return both.select("id", "source", "n_tokens", "uses", F.when(F.col("uses") > 0, F.slice("dealt", F.lit(1), F.col("uses"))).otherwise(F.array().cast("array<int>")).alias("shards"))
 
     def shares(self) -> DataFrame:
         """Target and actual share of each source; ``reachable_share`` is the target among sources that have documents."""
-        spark = self.sized.sparkSession
         caps = {s: m for s, _, m in self.wanted}
-        near = {s: r for s, _, r, *_ in self.plan.rows}
+        near = {q.source: q.reachable for q in self.quotas}
         rows = [(s, float(w), near.get(s, 0.0), caps[s]) for s, w, _ in self.wanted]
         used = self.uses().where("uses > 0").groupBy("source").agg(F.sum(F.col("uses").cast("long") * F.col("n_tokens")).alias("tokens"), F.count(F.lit(1)).alias("records"), F.max("uses").alias("most_uses"))
-        out = spark.createDataFrame(rows, "source string, target_share double, reachable_share double, max_repeats int").join(used, "source", "left").na.fill(0, ["tokens", "records", "most_uses"])
+        out = self.spark.createDataFrame(rows, "source string, target_share double, reachable_share double, max_repeats int").join(used, "source", "left").na.fill(0, ["tokens", "records", "most_uses"])
         whole = Window.partitionBy()  # one row for each target
         return out.withColumn("actual_share", F.when(F.sum("tokens").over(whole) > 0, F.col("tokens") / F.sum("tokens").over(whole)).otherwise(F.lit(0.0)))
 
     def shards(self) -> DataFrame:
         """``shard, position, id, use_no, source, n_tokens``: every use of every record in its place in the mix."""
-        spark = self.sized.sparkSession
-        rng = np.random.default_rng(self.seed)
-        n = max(1, math.ceil(self.plan.total / self.shard_tokens))
-        blocks = {s: [(r, b) for r in range(whole + (edge >= 0)) for b in range(self.buckets) if r < whole or b <= last] for s, _, _, _, whole, edge, last, _, _ in self.plan.rows}
-        counts = np.array([len(b) for b in blocks.values()], dtype=np.int64)
-        deal = splitting_tree(counts, n, rng) if len(counts) else np.zeros((n, 0), dtype=np.int64)
-        rows = []
-        for j, (s, own) in enumerate(blocks.items()):
-            order = rng.permutation(len(own))
-            shard = np.repeat(np.arange(n), deal[:, j])
-            rows += [(s, own[o][0], own[o][1], int(k)) for o, k in zip(order.tolist(), shard.tolist(), strict=True)]
-        where = spark.createDataFrame(rows, "source string, use_no int, bucket int, shard int")
-        uses = self.uses().where("uses > 0").withColumn("use_no", F.explode(F.sequence(F.lit(0), F.col("uses") - 1)))
-        placed = uses.join(where, ["source", "use_no", "bucket"])
+        placed = self.uses().select("id", "source", "n_tokens", F.posexplode("shards").alias("use_no", "shard"))
         local = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(self.seed), "id", "use_no"), "id", "use_no")
         return placed.select("shard", F.row_number().over(local).alias("position"), F.col("id").alias(self.id), "use_no", "source", "n_tokens")
 

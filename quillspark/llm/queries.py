@@ -91,7 +91,7 @@ def p5_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_of(spark, sf_dir).uses().select(F.col("id").alias("doc_id"), "source", "n_tokens", "uses")
+    return mixing.mix_of(spark, sf_dir).uses().select(F.col("id").alias("doc_id"), "source", "n_tokens", "uses", "shards")
 
 
 def p6_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
