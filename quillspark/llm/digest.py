@@ -17,8 +17,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import spread
-
 DELTA = 500
 #: Stated bound of the rank error, as a share of the group's values.
 BOUND = 0.005
@@ -67,7 +65,7 @@ class _Groups:
         self.nulls: dict[int, int] = {}
         self.rows: dict[int, int] = {}
         self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.held = 0
+        self.held, self.limit = 0, _COMPACT
 
     def codes(self, keys: pd.DataFrame) -> np.ndarray:
         code = np.zeros(len(keys), dtype=np.int64)
@@ -88,9 +86,10 @@ class _Groups:
     def add(self, code: np.ndarray, value: np.ndarray, weight: np.ndarray) -> None:
         self.parts.append((code, value, weight))
         self.held += len(code)
-        if self.held > _COMPACT:
+        if self.held > self.limit:
             self.parts = [self.done()]
             self.held = len(self.parts[0][0])
+            self.limit = max(_COMPACT, 2 * self.held)  # many groups don't cluster again with each batch
 
     def count(self, code: np.ndarray, rows: np.ndarray, nulls: np.ndarray) -> None:
         r = np.bincount(code, weights=rows, minlength=len(self.keys))
@@ -158,10 +157,26 @@ def digests(df: DataFrame, groupings: dict[str, list[str]], value: str, delta: i
     return df.select(*columns, value).mapInArrow(build, f"grouping string, {_ddl(df, columns)}, n long, n_null long, means array<double>, weights array<double>")
 
 
-def merge(parts: DataFrame, columns: list[str], qs: tuple[float, ...] = QUANTILES, delta: int = DELTA) -> DataFrame:
-    """Merges digests of equal groups and reads the quantiles off: ``grouping``, keys, ``n``, ``n_null``, ``p50`` ..."""
+#: Digests of one group that a task merges; of more, parts are merged first.
+FAN_IN = 256
+
+
+def merge(parts: DataFrame, columns: list[str], qs: tuple[float, ...] = QUANTILES, delta: int = DELTA, fan_in: int = FAN_IN) -> DataFrame:
+    """Merges digests of equal groups and reads the quantiles off: ``grouping``, keys, ``n``, ``n_null``, ``p50`` ...
+
+    A group has at most one digest for each task; where there may be more tasks than ``fan_in``, digests meet in salted parts of a group first.
+    """
+    salts = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions")) // fan_in
+    if salts > 1:
+        parts = parts.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts))).repartition("grouping", *columns, "_salt").drop("_salt")
+        parts = _merged(parts, columns, None, delta)
+    return _merged(parts.repartition("grouping", *columns), columns, qs, delta)
+
+
+def _merged(parts: DataFrame, columns: list[str], qs: tuple[float, ...] | None, delta: int) -> DataFrame:
+    """One row for each group of a partition: its quantiles, or its digest where ``qs`` is None."""
     kinds = [pa.string(), *_kinds(parts, columns)]
-    names = [f"p{round(q * 100)}" for q in qs]
+    names = [f"p{round(q * 100)}" for q in qs or ()]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _Groups(delta)
@@ -171,12 +186,20 @@ def merge(parts: DataFrame, columns: list[str], qs: tuple[float, ...] = QUANTILE
             own.count(code, batch.column("n").to_numpy(), batch.column("n_null").to_numpy())
             row = pa.compute.list_parent_indices(batch.column("means")).to_numpy()
             own.add(code[row], batch.column("means").flatten().to_numpy(), batch.column("weights").flatten().to_numpy())
-        if own.keys:
-            found = quantiles(*own.done(), len(own.keys), qs)
-            cols = own.frame(["grouping", *columns], kinds) | {c: pa.array(found[:, i], mask=np.isnan(found[:, i])) for i, c in enumerate(names)}
-            yield from pa.table(cols).to_batches(max_chunksize=4096)
-
-    return parts.repartition("grouping", *columns).mapInArrow(build, f"grouping string, {_ddl(parts, columns)}, n long, n_null long, " + ", ".join(f"{c} double" for c in names))
+        if not own.keys:
+            return
+        code, mean, weight = own.done()
+        cols = own.frame(["grouping", *columns], kinds)
+        if qs is None:
+            at = np.searchsorted(code, np.arange(len(own.keys) + 1)).astype(np.int32)
+            cols |= {"means": pa.ListArray.from_arrays(at, mean), "weights": pa.ListArray.from_arrays(at, weight)}
+        else:
+            found = quantiles(code, mean, weight, len(own.keys), qs)
+            cols |= {c: pa.array(found[:, i], mask=np.isnan(found[:, i])) for i, c in enumerate(names)}
+        yield from pa.table(cols).to_batches(max_chunksize=2048)
+
+    last = "means array<double>, weights array<double>" if qs is None else ", ".join(f"{c} double" for c in names)
+    return parts.mapInArrow(build, f"grouping string, {_ddl(parts, columns)}, n long, n_null long, {last}")
 
 
 def rank_error(q: float, n: Column, below: Column, upto: Column) -> Column:
@@ -236,7 +259,10 @@ def latency_percentiles(results: DataFrame, delta: int = DELTA, bound: float = B
 def distinct_reports(stats: DataFrame) -> DataFrame:
     """Each report once, as last reported."""
     keep = F.struct("run_id", "replay_day", "worker", "completed", "status_counts", "latencies_ms")
-    return stats.groupBy("stats_id").agg(F.max_by(keep, F.coalesce("reported_at", F.lit("1970-01-01").cast("timestamp"))).alias("r")).select("stats_id", "r.*")
+    spark = stats.sparkSession
+    # a number of its own keeps the parts apart, few bytes stand for much work
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return stats.repartition(parts, "stats_id").groupBy("stats_id").agg(F.max_by(keep, F.coalesce("reported_at", F.lit("1970-01-01").cast("timestamp"))).alias("r")).select("stats_id", "r.*")
 
 
 def _less(c: str):
@@ -256,7 +282,7 @@ def report_percentiles(stats: DataFrame, delta: int = DELTA, bound: float = BOUN
     reports = distinct_reports(stats)
     groupings = {g: GROUPINGS[g] for g in ("run", "run_day")}
     keys = ["run_id", "replay_day"]
-    est = merge(digests(spread(reports), groupings, "latencies_ms", delta), keys, delta=delta)
+    est = merge(digests(reports, groupings, "latencies_ms", delta), keys, delta=delta)
     names = [f"p{round(q * 100)}" for q in QUANTILES]
     total = F.aggregate(F.map_values("status_counts"), F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x, F.lit(0).cast("long")))
     out = None

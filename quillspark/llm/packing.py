@@ -8,6 +8,7 @@ packed by itself, and every shard wastes at most its last containers.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,20 +21,26 @@ from .common import encoder, map_batches, spread, tokenizer_path
 
 #: Items of one shard, on average.
 SHARD_ITEMS = 16_384
+#: Most pack sizes; more are an error.
+MOST_PACKS = 1000
 
 
 @dataclass(frozen=True)
 class Limits:
     """``documents`` is the most pieces in a container; ``attention`` caps the sum of squared lengths as a share of
-    capacity squared (at 1 a single full piece just fits, so the cap excludes nothing that fits by tokens)."""
+    capacity squared (at 1 a single full piece just fits, so the cap excludes nothing that fits by tokens). A piece is never larger than a container takes under every limit."""
 
     documents: int = 512
     attention: float = 1.0
     weights: tuple[float, float, float] = (1.0, 0.05, 0.05)
 
+    def largest(self, capacity: int) -> int:
+        """Tokens of the largest piece: the capacity, or what the attention cap allows by itself."""
+        return max(1, min(capacity, math.isqrt(int(self.attention * capacity**2))))
+
 
 def best_fit(sizes: np.ndarray, capacity: int, limits: Limits = Limits()) -> np.ndarray:  # noqa: B008
-    """Container number of each piece; no piece is larger than the capacity."""
+    """Container number of each piece; no piece is larger than ``limits.largest(capacity)``."""
     n = len(sizes)
     out = np.full(n, -1, dtype=np.int64)
     cost_cap = limits.attention * float(capacity) ** 2
@@ -77,38 +84,46 @@ def split(n_tokens: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def sized(documents: DataFrame, id_col: str, text_col: str, tokenizer: str | None = None) -> DataFrame:
-    """``item, n_tokens, row``: sizes in tokens of a public tokenizer, and a running number inside the task."""
+    """``item, n_tokens, copy``: sizes in tokens of a public tokenizer; repeated rows of one size are numbered.
+
+    The numbers don't depend on the order of rows, so that a repeated task puts the same rows into the same shards.
+    """
     file, kind = tokenizer or tokenizer_path(), dict(documents.dtypes)[id_col]
 
     def count(batch: pa.RecordBatch):
         enc = encoder(file)
         n = [len(enc.encode_ordinary(t)) if t else 0 for t in batch.column(1).to_pylist()]
-        yield pa.table({"item": batch.column(0), "n_tokens": pa.array(n, pa.int64()), "row": pa.array(range(len(n)), pa.int32())})
+        yield pa.table({"item": batch.column(0), "n_tokens": pa.array(n, pa.int64())})
 
-    return map_batches(spread(documents.select(id_col, text_col)), count, f"item {kind}, n_tokens bigint, row int")
+    rows = map_batches(spread(documents.select(id_col, text_col)), count, f"item {kind}, n_tokens bigint")
+    same = rows.groupBy("item", "n_tokens").agg(F.count(F.lit(1)).alias("k"))
+    return same.select("item", "n_tokens", F.explode(F.sequence(F.lit(1).cast("long"), F.col("k"))).alias("copy"))
 
 
 def pack(documents: DataFrame, packs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, limits: Limits = Limits(), shard_items: int = SHARD_ITEMS) -> DataFrame:  # noqa: B008
     """``pack_id, capacity_tokens, container_id, doc_id, piece_no, piece_tokens`` for every piece and pack size.
 
-    A document larger than the capacity becomes full pieces and one rest; no other document is split. Null and empty texts
+    A document larger than the capacity, or than the attention limit lets a container take, becomes full pieces and one rest; no other document is split. Null and empty texts
     have 0 tokens and stand in a container as well. Repeated rows are packed as often as they occur. Capacities below 1 and null
-    capacities are left out; no documents or no capacities give an empty result. ``packs`` is a short configuration table.
+    capacities are left out, more than ``MOST_PACKS`` are an error; no documents or no capacities give an empty result. ``packs`` is a short configuration table.
     """
-    sizes = [(r[0], int(r[1])) for r in packs.select("pack_id", "capacity_tokens").distinct().orderBy("pack_id", "capacity_tokens").limit(1000).collect() if r[1] and r[1] > 0]
+    wanted = packs.select("pack_id", "capacity_tokens").where("capacity_tokens > 0").distinct().orderBy("pack_id", "capacity_tokens").limit(MOST_PACKS + 1).collect()
+    if len(wanted) > MOST_PACKS:
+        raise ValueError(f"more than {MOST_PACKS} pack sizes")
+    sizes = [(r[0], int(r[1])) for r in wanted]
     kind = dict(documents.dtypes)[id_col]
     schema = f"pack_id int, capacity_tokens int, container_id bigint, {id_col} {kind}, piece_no int, piece_tokens int"
     if not sizes:
         return documents.sparkSession.createDataFrame([], schema)
     shards = max(1, round(documents.count() / shard_items))
-    items = sized(documents, id_col, text_col, tokenizer).withColumn("shard", F.pmod(F.xxhash64("item", "row"), F.lit(shards)).cast("int"))
-    wanted = F.explode(F.array(*[F.struct(F.lit(p).cast("int").alias("pack_id"), F.lit(c).cast("int").alias("capacity")) for p, c in sizes]))
-    jobs = items.select("item", "n_tokens", "shard", wanted.alias("w")).select("item", "n_tokens", "shard", "w.*")
+    items = sized(documents, id_col, text_col, tokenizer).withColumn("shard", F.pmod(F.xxhash64("item", "n_tokens", "copy"), F.lit(shards)).cast("int"))
+    each = F.explode(F.array(*[F.struct(F.lit(p).cast("int").alias("pack_id"), F.lit(c).cast("int").alias("capacity")) for p, c in sizes]))
+    jobs = items.select("item", "n_tokens", "shard", each.alias("w")).select("item", "n_tokens", "shard", "w.*")
 
     def fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         shard, pack_id, capacity = (int(k) for k in key)
         rows = rows.sort_values(["n_tokens", "item"], ascending=[False, True], kind="stable", na_position="last")
-        item, piece, size = split(rows["n_tokens"].to_numpy(), capacity)
+        item, piece, size = split(rows["n_tokens"].to_numpy(), limits.largest(capacity))
         box = best_fit(size, capacity, limits)
         return pd.DataFrame({"pack_id": pack_id, "capacity_tokens": capacity, "container_id": shard * (1 << 32) + box, id_col: rows["item"].to_numpy()[item], "piece_no": piece, "piece_tokens": size})
 

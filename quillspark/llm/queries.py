@@ -61,6 +61,12 @@ def p4_certified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("grouping", "run_id", F.col("replay_day").cast("string").alias("replay_day"), "model", "status_code", "n", "n_null", *ok)
 
 
+def p4_small_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The percentiles of the groups with up to 200 values: digests hold those one by one, so they are the interpolated percentiles themselves."""
+    out = p4_percentiles(spark, sf_dir).where("n between 1 and 200")
+    return out.select("grouping", "run_id", F.col("replay_day").cast("string").alias("replay_day"), "model", "status_code", "n", *[F.round(F.col(f"p{q}") + 0.000001, 4).alias(f"p{q}") for q in (50, 95, 99)])
+
+
 def p4_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dg.report_percentiles(table(spark, sf_dir, "replay_stats"))
 
@@ -90,6 +96,18 @@ def p5_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(over, keys)
 
 
+def p5_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packing under limits that bind: at most 8 pieces and half of the attention cost; what the containers hold at most, and the unused share."""
+    limits = packing.Limits(documents=8, attention=0.5)
+    packed = packing.pack(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pack_sizes"), limits=limits)
+    boxes = packed.groupBy("pack_id", "capacity_tokens", "container_id").agg(F.count(F.lit(1)).alias("pieces"), F.sum("piece_tokens").alias("tokens"), F.sum(F.col("piece_tokens").cast("double") * F.col("piece_tokens")).alias("cost"))
+    share = F.max(F.col("cost") / (F.col("capacity_tokens").cast("double") * F.col("capacity_tokens")))
+    return boxes.groupBy("pack_id", "capacity_tokens").agg(
+        F.count(F.lit(1)).alias("containers"), F.sum("tokens").alias("tokens"), F.max("pieces").alias("most_pieces"), F.round(share, 4).alias("most_attention"),
+        (1 - F.sum("tokens") / (F.count(F.lit(1)) * F.col("capacity_tokens"))).alias("unused_share"),
+    )
+
+
 def p6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_of(spark, sf_dir).uses().select(F.col("id").alias("doc_id"), "source", "n_tokens", "uses", "shards")
 
@@ -129,6 +147,16 @@ g AS (
   UNION ALL SELECT 'model_status', NULL, NULL, model, status_code, count(latency_ms), count(*) FROM r GROUP BY model, status_code)
 SELECT "grouping", run_id, replay_day, model, status_code, n, n_all - n AS n_null, true AS ok50, true AS ok95, true AS ok99 FROM g
 """
+_P4_SMALL = f"""
+WITH r AS (SELECT run_id, replay_day, nullif(m, '<null>') AS model, nullif(s, -1) AS status_code, latency_ms FROM ({_P4_RESULTS})),
+g AS (
+  SELECT 'run' AS "grouping", run_id, CAST(NULL AS VARCHAR) AS replay_day, CAST(NULL AS VARCHAR) AS model, CAST(NULL AS INT) AS status_code, latency_ms FROM r
+  UNION ALL SELECT 'run_day', run_id, replay_day, NULL, NULL, latency_ms FROM r
+  UNION ALL SELECT 'model_status', NULL, NULL, model, status_code, latency_ms FROM r)
+SELECT "grouping", run_id, replay_day, model, status_code, count(latency_ms) AS n,
+ round(quantile_cont(latency_ms, 0.5) + 0.000001, 4) AS p50, round(quantile_cont(latency_ms, 0.95) + 0.000001, 4) AS p95, round(quantile_cont(latency_ms, 0.99) + 0.000001, 4) AS p99
+FROM g GROUP BY 1, 2, 3, 4, 5 HAVING count(latency_ms) BETWEEN 1 AND 200
+"""
 _P4_AGREE = f"""
 WITH r AS (SELECT run_id, replay_day, latency_ms FROM ({_P4_RESULTS}))
 SELECT 'run' AS "grouping", run_id, CAST(NULL AS VARCHAR) AS replay_day, count(latency_ms) AS n, count(*) AS results, true AS ok50, true AS ok95, true AS ok99 FROM r GROUP BY run_id
@@ -137,8 +165,8 @@ UNION ALL SELECT 'run_day', run_id, replay_day, count(latency_ms), count(*), tru
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_shares": p1_shares, "p2_found": p2_found, "p3_found": p3_found, "p4_percentiles": p4_percentiles, "p4_certified": p4_certified, "p4_reports": p4_reports, "p4_reports_agree": p4_reports_agree, "p5_pack": p5_pack, "p5_summary": p5_summary, "p5_valid": p5_valid, "p6_mix": p6_mix, "p6_shares": p6_shares, "p6_shards": p6_shards, "p6_valid": p6_valid, "p7_found": p7_found}
+    return {"p1_found": p1_found, "p1_shares": p1_shares, "p2_found": p2_found, "p3_found": p3_found, "p4_percentiles": p4_percentiles, "p4_certified": p4_certified, "p4_small_groups": p4_small_groups, "p4_reports": p4_reports, "p4_reports_agree": p4_reports_agree, "p5_pack": p5_pack, "p5_summary": p5_summary, "p5_valid": p5_valid, "p5_limited": p5_limited, "p6_mix": p6_mix, "p6_shares": p6_shares, "p6_shards": p6_shards, "p6_valid": p6_valid, "p7_found": p7_found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": f"SELECT sample_index FROM ({_P1_SHARES}) WHERE repeated_share >= 0.5", "p1_shares": _P1_SHARES, "p4_certified": _P4_CERTIFIED, "p4_reports_agree": _P4_AGREE, "p5_valid": _P5_VALID, "p6_valid": _P6_VALID}
+    return {"p1_found": f"SELECT sample_index FROM ({_P1_SHARES}) WHERE repeated_share >= 0.5", "p1_shares": _P1_SHARES, "p4_certified": _P4_CERTIFIED, "p4_small_groups": _P4_SMALL, "p4_reports_agree": _P4_AGREE, "p5_valid": _P5_VALID, "p6_valid": _P6_VALID}

@@ -80,3 +80,36 @@ def test_combination_equals_direct(spark):
     for k in range(5):
         v = np.array([(i * 7919) % 5000 for i in range(k, 5000, 5)], dtype=float)
         assert true_error(v, got[str(k)], 0.95) <= dg.BOUND
+
+
+def test_merging_in_two_levels(spark):
+    df = spark.range(8000).select((F.col("id") % 2).cast("string").alias("run_id"), F.when(F.col("id") % 9 > 0, F.col("id").cast("double")).alias("v"))
+    parts = dg.digests(df.repartition(12), {"run": ["run_id"]}, "v")
+    one, two = ({r["run_id"]: r for r in dg.merge(parts, ["run_id"], fan_in=k).collect()} for k in (256, 2))
+    for k in ("0", "1"):
+        v = np.array([i for i in range(8000) if i % 2 == int(k) and i % 9], dtype=float)
+        assert (one[k]["n"], one[k]["n_null"]) == (two[k]["n"], two[k]["n_null"]) == (len(v), 4000 - len(v))
+        assert true_error(v, two[k]["p95"], 0.95) <= dg.BOUND
+
+
+def test_many_groups_are_clustered_seldom(monkeypatch):
+    calls = []
+    real = dg.recluster
+    monkeypatch.setattr(dg, "recluster", lambda *a: calls.append(1) or real(*a))
+    monkeypatch.setattr(dg, "_COMPACT", 100)
+    own = dg._Groups(dg.DELTA)
+    for i in range(200):
+        own.add(np.arange(50) + 50 * i, np.ones(50), np.ones(50))
+    assert len(own.done()[0]) == 10000 and len(calls) < 15
+
+
+def test_estimates_against_sorted_values(spark):
+    t = dt.datetime(2025, 3, 1)
+    rng = np.random.default_rng(4)
+    v = {f"r{k}": rng.lognormal(2, 1.5, 4000) for k in range(3)}
+    rows = [(i, r, 0, i, 200, float(x), "m", t, t) for r, xs in v.items() for i, x in enumerate(xs)]
+    for r in dg.latency_percentiles(frame(spark, rows)).where("grouping = 'run'").collect():
+        for q, name in zip(dg.QUANTILES, ("50", "95", "99"), strict=True):
+            low, high = np.quantile(v[r["run_id"]], [max(0, q - dg.BOUND), min(1, q + dg.BOUND)])
+            assert low <= r[f"p{name}"] <= high
+            assert abs(true_error(v[r["run_id"]], r[f"p{name}"], q) - r[f"err{name}"]) < 1e-9

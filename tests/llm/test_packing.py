@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -10,13 +11,13 @@ from quillspark.llm.common import encoder, tokenizer_path
 @given(st.lists(st.integers(0, 64), max_size=400), st.integers(1, 8), st.floats(0.3, 1.0))
 def test_every_constraint_holds(sizes, docs, attention):
     limits = pk.Limits(documents=docs, attention=attention)
-    sizes = np.array(sizes, dtype=np.int64)
+    sizes = pk.split(np.array(sizes, dtype=np.int64), limits.largest(64))[2]
     box = pk.best_fit(sizes, 64, limits)
     assert (box >= 0).all() if len(sizes) else len(box) == 0
     for b in np.unique(box):
         own = sizes[box == b]
         assert own.sum() <= 64 and len(own) <= docs
-        assert len(own) == 1 or (own.astype(float) ** 2).sum() <= attention * 64**2 + 1e-9
+        assert (own.astype(float) ** 2).sum() <= attention * 64**2 + 1e-9
     if docs >= 8 and attention == 1.0 and sizes.sum():
         assert len(np.unique(box)) <= 2 * max(1, -(-sizes.sum() // 64)) + len(sizes) // docs + 1
 
@@ -50,3 +51,20 @@ def test_operator(spark):
     assert pk.pack(docs.limit(0), packs).count() == 0 and pk.pack(docs, packs.limit(0)).count() == 0
     s = {r["pack_id"]: r for r in pk.summary(pk.pack(docs, packs)).collect()}
     assert s[1]["tokens"] == sum(want) and 0 <= s[1]["unused_share"] < 0.1
+
+
+def test_limits_that_bind(spark):
+    docs = spark.createDataFrame([(i, "word " * (i % 90)) for i in range(400)], "doc_id long, text string")
+    packs = spark.createDataFrame([(1, 128)], "pack_id int, capacity_tokens int")
+    limits = pk.Limits(documents=3, attention=0.25)
+    got = pk.pack(docs, packs, limits=limits).toPandas()
+    boxes = got.groupby("container_id")["piece_tokens"]
+    assert boxes.size().max() == 3 and (boxes.apply(lambda s: (s.astype(float) ** 2).sum()) <= 0.25 * 128**2).all()
+    assert got["piece_tokens"].max() == limits.largest(128) == 64
+    assert got["piece_tokens"].sum() == sum(len(encoder(tokenizer_path()).encode_ordinary("word " * (i % 90))) for i in range(400))
+
+
+def test_too_many_sizes_are_an_error(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="pack sizes"):
+        pk.pack(docs, spark.range(1, 1002).selectExpr("cast(id as int) AS pack_id", "cast(id as int) AS capacity_tokens"))
