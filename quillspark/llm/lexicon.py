@@ -49,7 +49,7 @@ CONCEPTS = {
         "F": "error fail fault crash broke wrong unavailab unreachab inaccessib denied deny refus forbidden unauthori prohibit missing gone$ expired timeout timed$ busy overload down$ offline exceed exhaust outage maintenance moved$ removed$ deleted$ suspend restrict disconnect corrupt dead$ discontinued decommissioned hiccup snag lack$ lacks$ unable oops whoops exception malfunction mistyped",
         "f": "not$ no$ nothing cannot can't couldn't doesn't didn't isn't wasn't won't never unexpected bad$ internal temporar unknown closed$ reset$ lost$ old$ quota invalid limit interrupt too$ long$ longer$ yet$ hit$ unsupported incomplete never suspend stopped$",
         "A": "load open view display show shown render find found$ exist availab accessib reach process complet handl fetch get$ reply respond response look ask serve start stop stopped use$ used$ enter type perform connect happen occur appear visit receiv took$ take$ download upload save play$ edit verify submit follow current momentar early went$ gave$ give$ given$ something$ closed made$ try$",
-        "H": "try$ again$ later retry reload refresh check spelling contact support admin webmaster help home$ homepage back$ go$ return please report notif team$ engineer staff apolog sorry inconvenien reference code$ minute moment soon$ shortly wait problem persist keep keeps$ tell write quote below hour issue technical difficult thank patience search instead box$ number end$ side$ sign$ log$ in$ attempt once contacting resolve fix$ working$ know$",
+        "H": "try$ again$ later retry reload refresh check spelling contact support admin webmaster help home$ homepage back$ go$ return please report notif team$ engineer staff apolog sorry inconvenien reference code$ minute moment soon$ shortly wait problem persist keep keeps$ tell write quote below hour issue technical difficult thank patience search instead box$ number end$ side$ sign$ attempt once contacting resolve fix$ working$ know$",
         "R": "support need requir comment see$ interface feature modern compatible enabl turn$ turned$ switch allow activat disabl on$ off$ block without must support setting work run$ runs$ continu blank appear seem seems$ drawn$ board$",
         "P": "placeholder dummy filler blah xxx tbd tba todo insert coming lipsum", "p": "sample example your$ here$ goes$ soon$ replace add$ added$ adding written$ fill$ enter type$ follow follows$  more$ some$ to$",
         "N": "text copy content paragraph title heading block word description body caption section sentence summary subtitle",
@@ -131,3 +131,29 @@ def han_concepts(message: str) -> list[tuple[str, int]]:
 def is_key_run(word: str) -> bool:
     """Keys beside each other on one row, or one key again and again."""
     return len(word) >= 4 and (len(set(word)) == 1 or any(word in row or word[::-1] in row for row in KEY_ROWS))
+
+
+_BIT = {c: 1 << k for k, c in enumerate("TFfAHRPpNS-")}
+#: Words of the usual filler and runs of keys.
+MARK = 1 << 62
+
+
+@lru_cache(maxsize=200_000)
+def bits(word: str) -> int:
+    """The word's concepts in all alphabetic languages as one number, eleven bits each."""
+    out = MARK if word in LATIN_MARKS or is_key_run(word) else 0
+    for i, kinds in enumerate(concepts(word)):
+        for c in kinds:
+            out |= _BIT[c] << 11 * i
+    return out
+
+
+def decisive(found: int) -> bool:
+    """Whether words with these bits together can have a verdict: without certain concepts in one language there is none."""
+    if found & MARK:
+        return True
+    for i in range(len(ALPHABETIC)):
+        b = found >> 11 * i & 0x7FF
+        if b & 64 or b & 2 or b & 16 or b & 512 and b & 32 or b & 128 and b & 256 or b & 4 and b & 9:
+            return True
+    return False
