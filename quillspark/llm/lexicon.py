@@ -138,22 +138,34 @@ _BIT = {c: 1 << k for k, c in enumerate("TFfAHRPpNS-")}
 MARK = 1 << 62
 
 
-@lru_cache(maxsize=200_000)
-def bits(word: str) -> int:
-    """The word's concepts in all alphabetic languages as one number, eleven bits each."""
-    out = MARK if word in LATIN_MARKS or is_key_run(word) else 0
-    for i, kinds in enumerate(concepts(word)):
-        for c in kinds:
-            out |= _BIT[c] << 11 * i
-    return out
-
-
-def decisive(found: int) -> bool:
-    """Whether words with these bits together can have a verdict: without certain concepts in one language there is none."""
-    if found & MARK:
+class _Bits(dict):
+    """A word's concepts in all alphabetic languages as one number, eleven bits each; kept for the words seen last."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        out = MARK if word in LATIN_MARKS or is_key_run(word) else 0
+        for i, kinds in enumerate(concepts(word)):
+            for c in kinds:
+                out |= _BIT[c] << 11 * i
+        self[word] = out
+        return out
+
+
+BITS = _Bits()
+
+
+def decisive(found: list[int], share: float) -> bool:
+    """Whether words with these bits can have a verdict: one language must know ``share`` of them, with certain concepts among them."""
+    whole = 0
+    for b in found:
+        whole |= b
+    if whole & MARK:
         return True
     for i in range(len(ALPHABETIC)):
-        b = found >> 11 * i & 0x7FF
+        b = whole >> 11 * i & 0x7FF
         if b & 64 or b & 2 or b & 16 or b & 512 and b & 32 or b & 128 and b & 256 or b & 4 and b & 9:
-            return True
+            mine = 0x7FF << 11 * i
+            if sum(1 for x in found if x & mine) >= share * len(found):
+                return True
     return False
