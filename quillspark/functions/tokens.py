@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scans import CHUNK, reverse_scan
+
 
 def zero() -> Column:
     return F.lit(0.0)
@@ -149,6 +151,29 @@ def mismatch_metrics(df: DataFrame) -> DataFrame:
     )
 
 
+def policy_loss_report(df: DataFrame, eps: tuple[float, float], opsm_delta: float | None = None, tis: tuple[float, float] | None = None, entropy_coef: float = 0.0, kl_coef: float = 0.0, kl_kind: str = "k3", unbiased_kl: bool = False) -> DataFrame:
+    """One row: the policy loss of a batch and the metrics beside it, each the mean over sequences of its masked mean.
+
+    ``df`` has ``seq, train`` (new policy), ``rollout`` (old policy), ``ref, adv, mask``. With ``opsm_delta`` tokens of negative advantage in sequences that drifted
+    further lose their part in the loss; ``opsm_clipfrac`` sums their number over the sequence's mask over all sequences. With ``tis`` the loss is
+    weighted by the ratio of new to reference policy, clamped to those bounds.
+    """
+    t, r, ref, m = F.col("train"), F.col("rollout"), F.col("ref"), F.col("mask").cast("double")
+    kl = r - t
+    loss, clipped = policy_loss(kl, F.col("adv"), *eps)
+    off = ((F.col("adv") < 0) & (masked_over("mean", kl, m, "seq") > opsm_delta)).cast("double") if opsm_delta is not None else zero()
+    weight, cut, distance = truncated_importance(t, ref, *tis) if tis else (F.lit(1.0), zero(), zero())
+    x = df.withColumn("_off", off)
+    terms = {
+        "pg_loss": loss * (1 - F.col("_off")) * weight, "pg_clipfrac": clipped, "ppo_kl": kl, "ois": F.exp(-kl), "tis": F.exp(t - ref), "tis_clipfrac": cut, "tis_abs": distance,
+        "kl_loss": approx_kl(t, ref, kl_kind, F.exp(-kl) if unbiased_kl else None), "entropy": -t, "logprob_abs_diff": F.abs(r - ref),
+    }
+    n = F.greatest(F.sum(m), F.lit(1.0))
+    s = x.groupBy("seq").agg((F.sum("_off") / n).alias("opsm_clipfrac"), *[masked("mean", c, m).alias(k) for k, c in terms.items()])
+    total = F.avg("pg_loss") - entropy_coef * F.avg("entropy") + kl_coef * F.avg("kl_loss")
+    return s.agg(*[F.round(F.avg(k), 6).alias(k) for k in terms], F.round(F.sum("opsm_clipfrac"), 6).alias("opsm_clipfrac"), F.round(total, 6).alias("loss"))
+
+
 def whiten(df: DataFrame, x: str, mask: str, out: str, shift_mean: bool = True) -> DataFrame:
     """Whitens over all masked tokens of the table: one aggregate row, joined back. Unmasked tokens are transformed too."""
     m = F.col(mask).cast("double")
@@ -161,27 +186,16 @@ def whiten(df: DataFrame, x: str, mask: str, out: str, shift_mean: bool = True)
 
 
 # ---- scans over packed arrays -------------------------------------------------------------------------------------
-def reverse_scan(x: Column, decay: float) -> Column:
-    """y_t = x_t + decay * y_{t+1}; an empty array stays empty."""
-    start = F.struct(F.array().cast("array<double>").alias("out"), F.lit(0.0).alias("s"))
-
-    def step(acc: Column, v: Column) -> Column:
-        s = v + decay * acc["s"]
-        return F.struct(F.array_append(acc["out"], s).alias("out"), s.alias("s"))
-
-    return F.reverse(F.aggregate(F.reverse(x), start, step, lambda acc: acc["out"]))
-
-
 def next_values(v: Column) -> Column:
     """V_{t+1}, with 0 after the last token."""
     return F.when(F.size(v) > 0, F.array_append(F.slice(v, F.lit(2), F.greatest(F.size(v) - 1, F.lit(0))), F.lit(0.0))).otherwise(v)
 
 
-def gae(rewards: Column, values: Column, gamma: float, lam: float) -> tuple[Column, Column]:
-    """Generalized advantages and returns of one sequence."""
+def gae(rewards: Column, values: Column, gamma: float, lam: float, chunk: int = CHUNK) -> tuple[Column, Column]:
+    """Generalized advantages and returns of one sequence, scanned in chunks; linear in its length."""
     nxt = next_values(values)
     delta = F.zip_with(F.zip_with(rewards, nxt, lambda r, n: r + gamma * n), values, lambda d, v: d - v)
-    adv = reverse_scan(delta, gamma * lam)
+    adv = reverse_scan(delta, gamma * lam, chunk)
     return adv, F.zip_with(adv, values, lambda a, v: a + v)
 
 

@@ -66,20 +66,24 @@ def depths(spans: DataFrame) -> DataFrame:
     return ids.join(state, ["trace", "span_id"]).select("trace", "span_id", F.when(F.col("anc").isNotNull(), F.lit(0)).otherwise(F.col("depth")).cast("long").alias("depth"))
 
 
-def close_open(spans: DataFrame, levels: int = 64) -> DataFrame:
+def close_open(spans: DataFrame) -> DataFrame:
     """Adds ``shown_end`` and ``clipped_by`` to open spans: the first of the trace's last time, the next sibling's start and the end of the
-    nearest closed ancestor (searched over at most ``levels`` levels), never before the start."""
+    nearest closed ancestor (by pointer doubling, however deep; a cycle has none), never before the start."""
     spans = materialize(spans)
     whole = Window.partitionBy("trace")
     x = spans.withColumn("row_end", F.max(F.greatest("start", F.coalesce("end", "start"))).over(whole))
     x = x.where("state in ('closed_span', 'open_span')").withColumn("_s", F.unix_micros("start") if dict(spans.dtypes)["start"].startswith("timestamp") else F.col("start"))
     x = x.withColumn("sibling", F.min("start").over(Window.partitionBy("trace", "parent_id").orderBy("_s").rangeBetween(1, Window.unboundedFollowing)))
-    up = x.select("trace", F.col("span_id").alias("cur"), F.col("parent_id").alias("next"), F.col("end").alias("found"))
-    walk = x.where("state = 'open_span'").select("trace", "span_id", F.col("parent_id").alias("cur"), F.lit(None).cast(dict(spans.dtypes)["end"]).alias("anc_end"))
-    for _ in range(levels):
-        if walk.where("cur is not null").isEmpty():
+    most = x.groupBy("trace").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    up = x.select("trace", F.col("span_id").alias("hop"), F.col("end").alias("found"), F.lit(1).alias("_k"))
+    # the end of a closed parent, else the open parent to look on from
+    walk = x.select("trace", "span_id", F.col("parent_id").alias("hop"), "state").join(up, ["trace", "hop"], "left")
+    walk = materialize(walk.select("trace", "span_id", "state", F.col("found").alias("anc_end"), F.when((F.col("_k") == 1) & F.col("found").isNull(), F.col("hop")).alias("hop")))
+    for _ in range(int(most).bit_length() + 1):
+        if walk.where("hop is not null and state = 'open_span'").isEmpty():
             break
-        walk = materialize(walk.join(up, ["trace", "cur"], "left").select("trace", "span_id", F.when(F.col("found").isNull(), F.col("next")).alias("cur"), F.coalesce("anc_end", "found").alias("anc_end")))
+        ahead = walk.select("trace", F.col("span_id").alias("hop"), F.col("anc_end").alias("found"), F.col("hop").alias("next"))
+        walk = materialize(walk.join(ahead, ["trace", "hop"], "left").select("trace", "span_id", "state", F.coalesce("anc_end", "found").alias("anc_end"), F.when(F.coalesce("anc_end", "found").isNull(), F.col("next")).alias("hop")))
     out = x.where("state = 'open_span'").join(walk.select("trace", "span_id", "anc_end"), ["trace", "span_id"])
     anc = F.when(F.col("anc_end") > F.col("start"), F.col("anc_end"))
     first = F.least("row_end", "sibling", anc)
@@ -105,19 +109,90 @@ def top(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_rn") <= k).drop("_rn")
 
 
-#: Kernel labels by the first rule whose words all stand in the lower-case name (alternatives by |).
+#: Kernel labels by the first rule of whose words all, or any, stand in the lower-case name.
 KERNELS = [
-    ("nccl", "NCCL Communication"), ("deep_ep&dispatch", "DeepEP Dispatch (MoE)"), ("deep_ep&combine", "DeepEP Combine (MoE)"), ("deep_ep&clean", "DeepEP Buffer Clean"), ("deep_ep", "DeepEP (other)"), ("flash&attn", "Flash Attention"),
-    ("sparse_attn", "Sparse Attention (MLA)"), ("paged_mqa", "Paged MQA/MLA Logits"), ("attention|fmha", "Attention (other)"), ("deep_gemm|sm90_fp8_gemm", "DeepGEMM (FP8)"), ("nvjet", "NvJet GEMM"), ("gemm|cutlass|matmul|cublas", "GEMM/MatMul (other)"),
-    ("topk", "TopK / MoE Routing"), ("quant", "Quantization (FP8)"), ("norm", "Normalization"), ("triton|fused", "Fused/Triton Kernels"), ("elementwise", "Elementwise Ops"), ("reduce|softmax", "Reduce/Softmax"), ("embedding", "Embedding"),
-    ("memcpy|memset", "Memory Ops"), ("index|scatter|gather", "Index/Gather/Scatter"), ("cat&batched", "Concat/Cat"),
-]
+    ("any", ("nccl",), "NCCL Communication"),
+    ("all", ("deep_ep", "dispatch",), "DeepEP Dispatch (MoE)"),
+    ("all", ("deep_ep", "combine",), "DeepEP Combine (MoE)"),
+    ("all", ("deep_ep", "clean",), "DeepEP Buffer Clean"),
+    ("any", ("deep_ep",), "DeepEP (other)"),
+    ("all", ("flash", "attn",), "Flash Attention"),
+    ("any", ("sparse_attn",), "Sparse Attention (MLA)"),
+    ("any", ("paged_mqa",), "Paged MQA/MLA Logits"),
+    ("any", ("attention", "fmha",), "Attention (other)"),
+    ("any", ("deep_gemm", "sm90_fp8_gemm",), "DeepGEMM (FP8)"),
+    ("any", ("nvjet",), "NvJet GEMM"),
+    ("any", ("gemm", "cutlass", "matmul", "cublas",), "GEMM/MatMul (other)"),
+    ("any", ("topk",), "TopK / MoE Routing"),
+    ("any", ("quant",), "Quantization (FP8)"),
+    ("any", ("norm",), "Normalization"),
+    ("any", ("triton", "fused",), "Fused/Triton Kernels"),
+    ("any", ("elementwise",), "Elementwise Ops"),
+    ("any", ("reduce", "softmax",), "Reduce/Softmax"),
+    ("any", ("embedding",), "Embedding"),
+    ("any", ("memcpy", "memset",), "Memory Ops"),
+    ("any", ("index", "scatter", "gather",), "Index/Gather/Scatter"),
+    ("all", ("cat", "batched",), "Concat/Cat"),
+]
+#: Entries of a server's reply that a trace keeps where they are set, beside ``finish_reason``.
+META_KEYS = [
+    "prompt_tokens",
+    "completion_tokens",
+    "cached_tokens",
+    "pd_prefill_bootstrap_queue_duration",
+    "pd_prefill_forward_duration",
+    "pd_prefill_transfer_queue_duration",
+    "pd_prefill_retry_count",
+    "pd_decode_prealloc_duration",
+    "pd_decode_transfer_duration",
+    "pd_decode_forward_duration",
+    "pd_bootstrap_duration",
+    "pd_alloc_waiting_duration",
+    "pd_transfer_speed_gb_s",
+    "pd_transfer_total_mb",
+]
 
 
 def kernel_class(name: Column) -> Column:
     low, out = F.lower(name), F.lit("Other Compute")
-    for words, label in reversed(KERNELS):
-        parts = words.split("&")
-        test = low.contains(parts[0]) & low.contains(parts[1]) if len(parts) == 2 else low.rlike(words)
+    for how, words, label in reversed(KERNELS):
+        tests = [low.contains(w) for w in words]
+        test = tests[0]
+        for t in tests[1:]:
+            test = test & t if how == "all" else test | t
         out = F.when(test, label).otherwise(out)
     return out
+
+
+def reply_attributes(meta: Column, finish_reason: Column) -> Column:
+    """Map of the kept entries of a reply that are set, and why it ended."""
+    kept = F.map_filter(meta, lambda k, v: k.isin(*META_KEYS) & v.isNotNull())
+    reason = F.when(finish_reason.isNotNull(), F.create_map(F.lit("finish_reason"), finish_reason)).otherwise(F.create_map().cast("map<string,string>"))
+    return F.map_concat(F.map_filter(kept, lambda k, v: k != "finish_reason"), reason)
+
+
+def bottlenecks(kernels: DataFrame, util: DataFrame, by: str, launch: str = "cudaGraphLaunch", copy: str = "aten::copy_", host: tuple[str, ...] = ("cudaGraphLaunch", "aten::copy_")) -> DataFrame:
+    """``by, issue, severity`` of each profile (``by, name, label, dur`` in microseconds; ``util`` has ``by, util`` in percent).
+
+    Rules: less than 90 % busy (less than 80 % is severe), launches of 5 ms or more, dispatch above 15 % and routing above 5 % of the kernels' time, more than
+    100 ms of copies, more than five of the 30 kernels with most time below 3 microseconds on average.
+    """
+    device = ~F.col("name").isin(*host)
+    k = kernels.withColumn("_dev", F.when(device, F.col("dur")).otherwise(0))
+
+    def part(c: Column) -> Column:
+        return F.sum(F.when(c, F.col("dur")).otherwise(0))
+
+    sums = k.groupBy(by).agg(
+        F.sum("_dev").alias("total"), F.count(F.when((F.col("name") == launch) & (F.col("dur") >= 5000), 1)).alias("launches"), part(device & (F.col("label") == "DeepEP Dispatch (MoE)")).alias("dispatch"),
+        part(device & (F.col("label") == "TopK / MoE Routing")).alias("routing"), part(F.col("name") == copy).alias("copies"),
+    )
+    names = k.where(device).groupBy(by, "name").agg(F.sum("dur").alias("t"), F.avg("dur").alias("mean"))
+    tiny = top(names, [by], [F.desc("t"), F.col("name")], 30).groupBy(by).agg(F.count(F.when(F.col("mean") < 3, 1)).alias("tiny"))
+    x = sums.join(util, by, "left").join(tiny, by, "left")
+    rules = [
+        (F.col("util") < 90, "utilization", F.when(F.col("util") < 80, "high").otherwise("medium")), (F.col("launches") > 0, "launch_stalls", F.lit("high")), (F.col("dispatch") / F.col("total") > 0.15, "dispatch", F.lit("high")),
+        (F.col("routing") / F.col("total") > 0.05, "routing", F.lit("medium")), (F.col("copies") > 100_000, "copies", F.lit("medium")), (F.col("tiny") > 5, "tiny_kernels", F.lit("low")),
+    ]
+    found = F.array(*[F.when(c, F.struct(F.lit(n).alias("issue"), s.alias("severity"))) for c, n, s in rules])
+    return x.select(by, F.explode(F.filter(found, lambda e: e.isNotNull())).alias("e")).select(by, "e.issue", "e.severity")

@@ -96,17 +96,20 @@ def w6(spark, d):
 
 @op("W7", _GAE)
 def w7(spark, d):
-    """The chunked form gives the same numbers; a sequence stays in one row, so one scan is enough."""
-    return w6(spark, d)
+    """Chunks as small as two tokens, so that the state is handed over inside most sequences."""
+    a, r = tk.gae(F.col("r"), F.col("v"), 0.99, 0.95, 2)
+    return unpack(packed(spark, d), adv=a, ret=r)
 
 
 @op("W8", f"WITH x AS ({_GAE_RAW}), m AS (SELECT max(c) AS width FROM (SELECT count(*) AS c FROM x GROUP BY seq)) SELECT seq, width, round(sum(adv), 4) AS total FROM x, m GROUP BY seq, width")
 def w8(spark, d):
-    """Padding to the longest sequence changes no value: ragged arrays need none."""
+    """Rows padded with zeros to the longest sequence; padding changes no value."""
     x = packed(spark, d)
-    y = x.select("seq", F.round(F.aggregate(tk.gae(F.col("r"), F.col("v"), 0.99, 0.95)[0], F.lit(0.0), lambda a, v: a + v), 4).alias("total"))
     width = x.agg(F.max("n").cast("long").alias("width"))
-    return y.crossJoin(F.broadcast(width)).select("seq", "width", "total")  # one row
+    x = x.crossJoin(F.broadcast(width))  # one row
+    zeros = F.array_repeat(F.lit(0.0), (F.col("width") - F.col("n")).cast("int"))
+    y = x.select("seq", "width", "n", tk.gae(F.concat("r", zeros), F.concat("v", zeros), 0.99, 0.95)[0].alias("a"))
+    return y.select("seq", F.size("a").cast("long").alias("width"), F.round(F.aggregate(F.slice("a", 1, F.col("n")), F.lit(0.0), lambda a, v: a + v), 4).alias("total"))
 
 
 @op("W9", f"""WITH {BASE}, {_SEQ_REWARD}, e AS (SELECT b.seq, pos, mask, CASE WHEN b.seq % 2 = 0 THEN reward ELSE reward - 0.1 * (train - ref) END - 0.05 * (train - rollout) AS a FROM b JOIN f ON b.seq = f.seq),
@@ -169,16 +172,15 @@ def w16(spark, d):
     return x.groupBy("seq").agg(F.sum("off").alias("masked"), r6(tk.masked("mean", F.col("off"), m), "frac"))
 
 
-@op("W17", f"""WITH {BASE}, t AS (SELECT seq, mask, greatest(-{_RATIO} * adv, -least(greatest({_RATIO}, 0.98), 1.03) * adv) AS pg, exp(ref - train) - 1 + (train - ref) AS kl, abs(train - rollout) AS diff, -train AS ent FROM b),
- s AS (SELECT seq, sum(pg * mask) / greatest(sum(mask), 1) AS pg, sum(kl * mask) / greatest(sum(mask), 1) AS kl, sum(diff * mask) / greatest(sum(mask), 1) AS diff, sum(ent * mask) / greatest(sum(mask), 1) AS ent FROM t GROUP BY seq)
- SELECT round(avg(pg), 6) AS pg_loss, round(avg(kl), 6) AS kl_loss, round(avg(ent), 6) AS entropy, round(avg(diff), 6) AS logprob_abs_diff, round(avg(pg) - 0.01 * avg(ent) + 0.1 * avg(kl), 6) AS loss FROM s""")
+@op("W17", f"""WITH {BASE}, q AS (SELECT *, sum((rollout - train) * mask) OVER (PARTITION BY seq) / greatest(sum(mask) OVER (PARTITION BY seq), 1) AS seq_kl, least(greatest(exp(train - ref), 0.97), 1.02) AS tis FROM b),
+ t AS (SELECT seq, mask, CASE WHEN adv < 0 AND seq_kl > 0.0117 THEN 1 ELSE 0 END AS off, greatest(-{_RATIO} * adv, -least(greatest({_RATIO}, 0.98), 1.03) * adv) AS pg, CASE WHEN -least(greatest({_RATIO}, 0.98), 1.03) * adv > -{_RATIO} * adv THEN 1 ELSE 0 END AS clipped,
+  exp(ref - train) - 1 + (train - ref) AS kl, rollout - train AS ppo_kl, tis, exp(train - ref) AS raw, abs(rollout - ref) AS diff, -train AS ent FROM q),
+ s AS (SELECT seq, greatest(sum(mask), 1) AS m, sum(pg * (1 - off) * tis * mask) AS pg, sum(clipped * mask) AS clipped, sum(off) AS off, sum(kl * mask) AS kl, sum(ppo_kl * mask) AS ppo_kl, sum(raw * mask) AS raw, sum(CASE WHEN tis <> raw THEN mask ELSE 0 END) AS tis_clipped, sum(abs(raw - 1) * mask) AS tis_abs, sum(exp(-ppo_kl) * mask) AS ois, sum(diff * mask) AS diff, sum(ent * mask) AS ent FROM t GROUP BY seq)
+ SELECT round(avg(pg / m), 6) AS pg_loss, round(avg(clipped / m), 6) AS pg_clipfrac, round(avg(ppo_kl / m), 6) AS ppo_kl, round(sum(off / m), 6) AS opsm_clipfrac, round(avg(ois / m), 6) AS ois, round(avg(raw / m), 6) AS tis, round(avg(tis_clipped / m), 6) AS tis_clipfrac, round(avg(tis_abs / m), 6) AS tis_abs,
+  round(avg(kl / m), 6) AS kl_loss, round(avg(ent / m), 6) AS entropy, round(avg(diff / m), 6) AS logprob_abs_diff, round(avg(pg / m) - 0.01 * avg(ent / m) + 0.1 * avg(kl / m), 6) AS loss FROM s""")
 def w17(spark, d):
-    x, m = long(spark, d), F.col("mask").cast("double")
-    t, r = F.col("train"), F.col("rollout")
-    loss, _ = tk.policy_loss(r - t, F.col("adv"), 0.02, 0.03)
-    s = x.groupBy("seq").agg(tk.masked("mean", loss, m).alias("pg"), tk.masked("mean", tk.approx_kl(t, F.col("ref"), "k3"), m).alias("kl"), tk.masked("mean", F.abs(t - r), m).alias("diff"), tk.masked("mean", -t, m).alias("ent"))
-    pg, kl, ent = F.avg("pg"), F.avg("kl"), F.avg("ent")
-    return s.agg(r6(pg, "pg_loss"), r6(kl, "kl_loss"), r6(ent, "entropy"), r6(F.avg("diff"), "logprob_abs_diff"), r6(pg - 0.01 * ent + 0.1 * kl, "loss"))
+    """The whole policy loss: clipped surrogate of the new against the old policy, masked sequences, importance weights against a third policy, entropy and KL terms, and what is logged beside them."""
+    return tk.policy_loss_report(long(spark, d), eps=(0.02, 0.03), opsm_delta=0.0117, tis=(0.97, 1.02), entropy_coef=0.01, kl_coef=0.1)
 
 
 @op("W18", f"WITH {BASE} SELECT seq, pos, round(greatest(pow(r + least(greatest(v - r, -0.02), 0.02) - adv, 2), pow(v - adv, 2)), 6) AS loss, CASE WHEN abs(v - r) > 0.02 THEN 1.0 ELSE 0.0 END AS clipped FROM b")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from quillspark.operators import retrieval as rt
 from quillspark.operators import trace as tr
+from quillspark.operators.ordering import exact_percentiles
+from quillspark.operators.recorder import Recorder
 from quillspark.plans.registry import op, table
 from quillspark.plans.tokens import r6
 
@@ -35,19 +37,35 @@ def spans(spark, d):
     return tr.pair_spans(events(spark, d))
 
 
-@op("T1", f"WITH {E} SELECT type, name, count(*) AS n FROM e GROUP BY 1, 2")
-def t1(spark, d):
-    """Recorded events by kind."""
-    return events(spark, d).groupBy("type", "name").agg(F.count(F.lit(1)).alias("n"))
-
-
-#: Entries of a reply's meta data that a trace keeps.
-META_KEYS = ["prompt_tokens", "completion_tokens", "cached_tokens", "e2e_latency", "queue_time", "ttft", "weight_version", "turns"]
+_RECORDED = "SELECT * FROM (VALUES ('span_start', 'rollout', NULL, 0, NULL), ('span_start', 'generate', 'rollout', 0, NULL), ('event', 'token', 'generate', 0, NULL), ('span_end', 'generate', 'rollout', 0, 'ValueError'), ('span_start', 'generate', 'rollout', 1, NULL), ('span_end', 'generate', 'rollout', 1, NULL), ('span_end', 'rollout', NULL, 1, NULL)) AS v(type, name, parent, attempt, error), (SELECT unnest(['a', 'b']) AS trace)"
 
 
-@op("T2", "SELECT DISTINCT sample_index, CASE WHEN len(element_at(metadata, 'turns')) > 0 THEN 'turns=' || element_at(metadata, 'turns')[1] ELSE '' END AS kept FROM samples WHERE metadata IS NOT NULL")
+@op("T1", f"WITH {E} SELECT 'log' AS trace, type, name, CAST(NULL AS VARCHAR) AS parent, 0 AS attempt, CAST(NULL AS VARCHAR) AS error, count(*) AS n FROM e GROUP BY type, name UNION ALL SELECT trace, type, name, parent, attempt, error, 1 FROM ({_RECORDED})")
+def t1(spark, d):
+    """A log's events by kind, and those of a recorder: nested spans of two traces, of which the first attempt fails."""
+    rec = Recorder()
+    with rec.span("rollout", "a", "b"):
+        try:
+            with rec.span("generate", "a", "b"):
+                rec.event("token", "a", "b")
+                raise ValueError
+        except ValueError:
+            for t in ("a", "b"):
+                rec.next_attempt(t)
+        with rec.span("generate", "a", "b"):
+            pass
+    r = rec.table(spark)
+    names = r.where("type = 'span_start'").select("trace", F.col("span_id").alias("parent_id"), F.col("name").alias("parent"))
+    own = r.join(names, ["trace", "parent_id"], "left").select("trace", "type", "name", "parent", "attempt", "error", F.lit(1).cast("long").alias("n"))
+    log = events(spark, d).groupBy("type", "name").agg(F.count(F.lit(1)).alias("n"))
+    return log.select(F.lit("log").alias("trace"), "type", "name", F.lit(None).cast("string").alias("parent"), F.lit(0).alias("attempt"), F.lit(None).cast("string").alias("error"), "n").unionByName(own)
+
+
+@op("T2", "SELECT DISTINCT sample_index, concat_ws(',', 'completion_tokens=' || response_length, 'finish_reason=' || status, 'prompt_tokens=' || length(prompt)) AS kept FROM samples WHERE metadata IS NOT NULL")
 def t2(spark, d):
-    kept = F.map_filter("metadata", lambda k, v: k.isin(*META_KEYS) & v.isNotNull())
+    """Of a reply's meta data the whitelisted entries that are set, and the reason of its end; other entries, as ``turns``, are left out."""
+    own = F.create_map(F.lit("prompt_tokens"), F.length("prompt").cast("string"), F.lit("completion_tokens"), F.col("response_length").cast("string"), F.lit("e2e_latency"), F.lit("1"))
+    kept = tr.reply_attributes(F.map_concat("metadata", own), F.col("status"))
     text = F.array_join(F.array_sort(F.transform(F.map_entries(kept), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
     return table(spark, d, "samples").where("metadata is not null").select("sample_index", text.alias("kept")).distinct()
 
@@ -103,7 +121,7 @@ def t9(spark, d):
 
 _NAMES = ["ncclKernel_AllReduce", "deep_ep_dispatch", "deep_ep_combine", "flash_fwd_attn", "nvjet_hsh", "cutlass_gemm", "topk_transform", "per_token_quant", "rmsnorm_fwd", "triton_poi", "vectorized_elementwise", "softmax_reduce", "embedding_bag", "memcpy_dtod", "index_select", "batched_cat", "cudaGraphLaunch", "aten::copy_", "other"]
 _KERNEL = f"{_NAMES}[event_id % {len(_NAMES)} + 1]"
-_CLASS = "CASE " + " ".join(f"WHEN {' AND '.join(f'contains(lower(name), {chr(39)}{p}{chr(39)})' for p in w.split('&')) if '&' in w else f'regexp_matches(lower(name), {chr(39)}{w}{chr(39)})'} THEN '{label}'" for w, label in tr.KERNELS) + " ELSE 'Other Compute' END"
+_CLASS = "CASE " + " ".join(f"WHEN {(' AND ' if how == 'all' else ' OR ').join(f'contains(lower(name), {chr(39)}{w}{chr(39)})' for w in words)} THEN '{label}'" for how, words, label in tr.KERNELS) + " ELSE 'Other Compute' END"
 K = f"k AS (SELECT event_id, user_id AS rank, event_type AS stream, epoch_us(ts) AS s, epoch_us(ts) + CAST(floor(value * 60000000) AS BIGINT) AS f, CAST(floor(value * 60000000) AS BIGINT) AS dur, {_KERNEL} AS name FROM events)"
 MI = "i AS (SELECT rank, s, f, CASE WHEN s > coalesce(max(f) OVER (PARTITION BY rank ORDER BY s, f ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1) THEN 1 ELSE 0 END AS fresh FROM k), j AS (SELECT rank, s, f, sum(fresh) OVER (PARTITION BY rank ORDER BY s, f ROWS UNBOUNDED PRECEDING) AS island FROM i), m AS (SELECT rank, min(s) AS s, max(f) AS f FROM j GROUP BY rank, island)"
 G = "g AS (SELECT * FROM (SELECT rank, f AS gap_start, lead(s) OVER (PARTITION BY rank ORDER BY s) AS gap_end FROM m) WHERE gap_end > gap_start), h AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rank ORDER BY gap_end - gap_start DESC, gap_start) AS rn FROM g) WHERE rn <= 15)"
@@ -184,11 +202,16 @@ def t18(spark, d):
     return kernels(spark, d).groupBy(b.alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.sum("dur").alias("total"))
 
 
-@op("T19", f"WITH {K}, {MI}, u AS (SELECT rank, 100.0 * sum(f - s) / (max(f) - min(s)) AS util FROM m GROUP BY rank), c AS (SELECT rank, sum(dur) FILTER (name = 'deep_ep_dispatch') / sum(dur) AS share FROM k GROUP BY rank) SELECT rank, 'utilization' AS issue FROM u WHERE util < 90 UNION ALL SELECT rank, 'dispatch' FROM c WHERE share > 0.15")
+@op("T19", f"""WITH {K}, {MI}, u AS (SELECT rank, 100.0 * sum(f - s) / (max(f) - min(s)) AS util FROM m GROUP BY rank), l AS (SELECT *, {_CLASS} AS label, name NOT IN ('cudaGraphLaunch', 'aten::copy_') AS dev FROM k),
+ c AS (SELECT rank, sum(CASE WHEN dev THEN dur ELSE 0 END) AS total, count(*) FILTER (name = 'cudaGraphLaunch' AND dur >= 5000) AS launches, sum(CASE WHEN dev AND label = 'DeepEP Dispatch (MoE)' THEN dur ELSE 0 END) AS dispatch, sum(CASE WHEN dev AND label = 'TopK / MoE Routing' THEN dur ELSE 0 END) AS routing, sum(CASE WHEN name = 'aten::copy_' THEN dur ELSE 0 END) AS copies FROM l GROUP BY rank),
+ y AS (SELECT rank, count(*) FILTER (mean < 3) AS tiny FROM (SELECT rank, name, avg(dur) AS mean, row_number() OVER (PARTITION BY rank ORDER BY sum(dur) DESC, name) AS rn FROM l WHERE dev GROUP BY rank, name) WHERE rn <= 30 GROUP BY rank)
+ SELECT rank, 'utilization' AS issue, CASE WHEN util < 80 THEN 'high' ELSE 'medium' END AS severity FROM u WHERE util < 90 UNION ALL SELECT rank, 'launch_stalls', 'high' FROM c WHERE launches > 0 UNION ALL SELECT rank, 'dispatch', 'high' FROM c WHERE dispatch / total > 0.15 UNION ALL SELECT rank, 'routing', 'medium' FROM c WHERE routing / total > 0.05
+ UNION ALL SELECT rank, 'copies', 'medium' FROM c WHERE copies > 100000 UNION ALL SELECT rank, 'tiny_kernels', 'low' FROM y WHERE tiny > 5""")
 def t19(spark, d):
-    low = t12(spark, d).where("util < 90").select("rank", F.lit("utilization").alias("issue"))
-    share = F.sum(F.when(F.col("name") == "deep_ep_dispatch", F.col("dur"))) / F.sum("dur")
-    return low.unionByName(kernels(spark, d).groupBy("rank").agg(share.alias("x")).where("x > 0.15").select("rank", F.lit("dispatch").alias("issue")))
+    b, span = F.sum(F.col("f") - F.col("s")), F.max("f") - F.min("s")
+    util = busy(spark, d).groupBy("rank").agg((100.0 * b / span).alias("util"))
+    k = kernels(spark, d).select("rank", "name", tr.kernel_class(F.col("name")).alias("label"), "dur")
+    return tr.bottlenecks(k, util, "rank")
 
 
 @op("T20", f"WITH {K}, {MI}, u AS (SELECT rank, 100.0 * sum(f - s) / (max(f) - min(s)) AS util FROM m GROUP BY rank) SELECT round(max(util) - min(util), 4) AS spread, max(util) - min(util) > 5 AS imbalanced FROM u")
@@ -208,8 +231,9 @@ def results(spark, d):
 
 @op("T21", f"WITH {RR} SELECT run_id, round(quantile_cont(latency_ms, 0.5), 5) AS p50, round(quantile_cont(latency_ms, 0.95), 5) AS p95, round(quantile_cont(latency_ms, 0.99), 5) AS p99 FROM rr GROUP BY 1")
 def t21(spark, d):
-    """Exact percentiles with linear interpolation; for large groups see the digests."""
-    return results(spark, d).groupBy("run_id").agg(*[F.round(F.percentile("latency_ms", p), 5).alias(f"p{round(p * 100)}") for p in (0.5, 0.95, 0.99)])
+    """Exact percentiles with linear interpolation; a run of any size is ranked over ranges of its values."""
+    x = exact_percentiles(results(spark, d), "run_id", "latency_ms", {"p50": 0.5, "p95": 0.95, "p99": 0.99})
+    return x.select("run_id", *[F.round(p, 5).alias(p) for p in ("p50", "p95", "p99")])
 
 
 @op("T22", f"WITH {RR} SELECT run_id, count(*) AS completed, count(*) FILTER (ok) AS succeeded, count(*) FILTER (NOT ok) AS failed, count(*) FILTER (stream) AS streams, count(*) FILTER (status_code IS NULL) AS no_status, count(*) FILTER (status_code = 200) AS ok_200, round(quantile_cont(latency_ms, 0.5), 5) AS p50 FROM rr GROUP BY 1")
@@ -246,11 +270,15 @@ def j2(spark, d):
     return rt.bm25_top_k(docs, q, 3)
 
 
-@op("J3", "SELECT label, round(avg(CAST(embedding[1] AS DOUBLE)), 5) AS first, round(avg(CAST(embedding[64] AS DOUBLE)), 5) AS last FROM embeddings WHERE vec_id % 2 = 0 GROUP BY 1")
+@op("J3", """WITH x AS (SELECT label, vec_id, vec_id % 2 AS mask, CAST(unnest(embedding) AS DOUBLE) AS v, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings)
+ SELECT label, CAST(i AS BIGINT) AS i, round(sum(v * mask) / greatest(sum(mask), 1e-9), 5) AS mean, round(arg_min(v, vec_id), 5) AS cls, round(arg_min(v, vec_id) + 1, 5) AS pooler FROM x GROUP BY label, i""")
 def j3(spark, d):
-    """Masked mean over token vectors: a label's vectors are its tokens, even ids are masked in."""
-    x = table(spark, d, "embeddings").where("vec_id % 2 = 0").select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    return x.groupBy("label").agg(F.round(F.max(F.when(F.col("i") == 0, F.col("m"))), 5).alias("first"), F.round(F.max(F.when(F.col("i") == 63, F.col("m"))), 5).alias("last"))
+    """Pooled vectors of sequences of token vectors: a label's vectors are its tokens, odd ids have mask 1; the model's own pooled output is a column."""
+    e = table(spark, d, "embeddings").select("label", "vec_id", (F.col("vec_id") % 2).alias("mask"), F.col("embedding").cast("array<double>").alias("vec"))
+    own = e.groupBy("label").agg(F.transform(F.min_by("vec", "vec_id"), lambda v: v + 1).alias("vec"))
+    kinds = {k: rt.pool(e, "label", "vec_id", "vec", k, "mask", own).select("label", F.posexplode("pooled").alias("i", k)) for k in ("mean", "cls", "pooler")}
+    x = kinds["mean"].join(kinds["cls"], ["label", "i"]).join(kinds["pooler"], ["label", "i"])
+    return x.select("label", F.col("i").cast("long").alias("i"), *[F.round(k, 5).alias(k) for k in kinds])
 
 
 @op("J4", "SELECT s.sample_index, p.prompt_id, p.data_source FROM (SELECT DISTINCT sample_index, prompt_id FROM samples) s JOIN prompts p ON s.prompt_id = p.prompt_id")
