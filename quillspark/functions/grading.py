@@ -46,7 +46,8 @@ def final_answer(text: str) -> str:
     out = str(text).rpartition("=")[2]
     for a, b in REPLACED + [(r, "") for r in REMOVED]:
         out = out.replace(a, b)
-    out = regex.sub(r"^.*?(\$.*?\$).*", r"\1", out, count=1) if out.count("$") > 1 and "\n" not in out else out
+    # of a line with a formula only the first formula is left
+    out = "\n".join(f"${line.split('$')[1]}$" if line.count("$") > 1 else line for line in out.split("\n"))
     for command in ("text", "textbf", "overline"):
         out = regex.sub(rf"\\{command}\{{(.*?)\}}", r"\1", out)
     out = regex.sub(r"\\boxed\{(.*)\}", r"\1", out)

@@ -38,6 +38,50 @@ def turn_spans(df: DataFrame, key: str, messages: str, family: str = "chatml") -
     return x.withColumn("start", start).select(key, "turn", "role", "start", (F.col("start") + F.length("content")).alias("end"), ((F.col("role") == "assistant") & (F.col("step") == 1)).alias("trained"))
 
 
+#: How a conversation is masked: turn by turn, turn by turn behind a fixed first turn, over the whole rendered text, or only the last reply after the first prompt.
+FAMILIES = ("per_turn", "prefixed", "full_text", "last_reply")
+THINK, HEADER, CLOSE = "<think>\n", "<|im_start|>assistant\n", "<|im_end|>\n"
+
+
+def trained_ranges(df: DataFrame, key: str, messages: str, family: str = "per_turn") -> DataFrame:
+    """``key, turn, start, end``: character ranges that are trained on, in the text that the family renders.
+
+    A reply is trained with the mark that closes it, unless its ``step_loss_mask`` is set to anything but 1. Over the whole text an opening ``<think>`` line belongs
+    to the prompt; turn by turn it doesn't. ``last_reply`` renders the first turn and the header of a reply and then the last turn's bare content, whoever speaks.
+    """
+    if family not in FAMILIES:
+        raise ValueError(f"unknown family {family!r}")
+    x = turn_spans(df, key, messages)
+    if family == "last_reply":
+        m = F.col(messages)
+        first, last = F.element_at(m, 1), F.element_at(m, -1)
+        start = F.length("role") + F.length(F.lit("<|im_start|>\n")) + F.length("content") + len(CLOSE) + len(HEADER)
+        y = df.where(F.size(messages) > 0).select(key, (F.size(m) - 1).alias("turn"), first["role"].alias("role"), F.coalesce(first["content"], F.lit("")).alias("content"), F.length(F.coalesce(last["content"], F.lit(""))).alias("n"), F.coalesce(last["step_loss_mask"], F.lit(1)).alias("step"))
+        return y.where("step = 1").select(key, "turn", start.alias("start"), (start + F.col("n")).alias("end"))
+    x = x.where("trained")
+    skip = F.lit(0)
+    if family == "full_text":
+        opening = df.where(F.col(messages).isNotNull()).select(key, F.posexplode(messages).alias("turn", "m")).select(key, "turn", F.coalesce(F.col("m.content"), F.lit("")).startswith(THINK).alias("thinks"))
+        x = x.join(opening, [key, "turn"])
+        skip = F.when(F.col("thinks"), len(THINK)).otherwise(0)
+    return x.select(key, "turn", (F.col("start") + skip).alias("start"), (F.col("end") + len(CLOSE)).alias("end"))
+
+
+def token_masks(df: DataFrame, key: str, messages: str, family: str, token: int = 1) -> DataFrame:
+    """``key, mask``: 1 for every token (``token`` characters each) that overlaps a trained range; a conversation without turns has an empty mask."""
+    ranges = trained_ranges(df, key, messages, family).groupBy(key).agg(F.collect_list(F.struct(F.col("start").cast("long").alias("a"), F.col("end").cast("long").alias("b"))).alias("spans"))
+    if family == "last_reply":
+        first, last = F.element_at(messages, 1), F.element_at(messages, -1)
+        size = F.coalesce(F.length(F.concat(render(F.array(first)), F.lit(HEADER), F.coalesce(last["content"], F.lit("")))), F.lit(0))
+    else:
+        size = F.length(render(F.col(messages)))
+    x = df.where(F.col(messages).isNotNull()).select(key, F.ceil(size / token).cast("int").alias("n")).join(ranges, key, "left")
+    starts = F.when(F.col("n") > 0, F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: i.cast("long") * token)).otherwise(F.array().cast("array<bigint>"))
+    spans = F.coalesce("spans", F.array().cast("array<struct<a:bigint,b:bigint>>"))
+    renamed = F.transform(spans, lambda s: F.struct(s["a"].alias("a"), s["b"].alias("b")))
+    return x.select(key, F.transform(starts, lambda t: F.exists(renamed, lambda s: (t < s["b"]) & (t + token > s["a"])).cast("int")).alias("mask"))
+
+
 def token_budget(df: DataFrame, by: str, order: str, size: Column, budget: int) -> DataFrame:
     """Turns of a conversation while the budget lasts; ``status`` is truncated on the turn that exhausts it, completed on the last."""
     w = Window.partitionBy(by).orderBy(order)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,9 +30,12 @@ def answer_tokens(s: Column) -> Column:
 
 
 def token_f1(prediction: Column, truth: Column) -> Column:
-    """Struct of f1, precision and recall over the multiset of common tokens; yes, no and noanswer must match exactly."""
+    """Struct of f1, precision and recall over the multiset of common tokens; yes, no and noanswer must match exactly.
+
+    Each token is numbered among its equals, so that the common tokens are those of two sets; linear in both texts.
+    """
     p, g = answer_tokens(prediction), answer_tokens(truth)
-    same = F.aggregate(F.array_distinct(g), F.lit(0), lambda a, w: a + F.least(F.size(F.filter(p, lambda x: x == w)), F.size(F.filter(g, lambda x: x == w))))
+    same = F.size(F.array_intersect(_numbered(p), _numbered(g)))
     np_, ng = normalize_answer(prediction), normalize_answer(truth)
     special = ["yes", "no", "noanswer"]
     none = prediction.isNull() | truth.isNull() | ((np_.isin(*special) | ng.isin(*special)) & (np_ != ng)) | (same == 0)
@@ -36,6 +44,20 @@ def token_f1(prediction: Column, truth: Column) -> Column:
     return F.when(none, zero).otherwise(F.struct((2 * precision * recall / (precision + recall)).alias("f1"), precision.alias("precision"), recall.alias("recall")))
 
 
+@F.arrow_udf("array<string>")
+def _numbered(tokens: pa.Array) -> pa.Array:
+    """Each token with its number among its equals."""
+    out = []
+    for row in tokens.to_pylist():
+        seen: Counter = Counter()
+        numbered = []
+        for w in row or ():
+            seen[w] += 1
+            numbered.append(f"{w} {seen[w]}")
+        out.append(numbered)
+    return pa.array(out, pa.list_(pa.string()))
+
+
 def exact_match(prediction: Column, golds: Column) -> Column:
     own = normalize_answer(prediction)
     return F.coalesce(F.exists(golds, lambda g: normalize_answer(g) == own), F.lit(False))
@@ -180,10 +202,96 @@ def first_source(source: Column, meta: Column) -> Column:
     return F.coalesce(F.nullif(source, F.lit("")), entry("source"), entry("source_name"), other)
 
 
-def dense_flops(n: Column, hidden: int, heads: int, kv_heads: int, head: int, ffn: int, layers: int, vocab: int) -> Column:
-    """Forward cost of one sequence of a dense decoder: quadratic in its length."""
+def flops(n: Column, hidden: int, heads: int, kv_heads: int, head: int, ffn: int, layers: int, vocab: int, q_rank: int | None = None, kv_rank: int | None = None, qk_head: int = 0, rope_head: int = 0, v_head: int = 0, experts: int | None = None, expert_ffn: int = 0, top_k: int = 1, shared_ffn: int = 0, moe_every: int | list[int] | None = None) -> Column:
+    """Forward cost of one sequence of a decoder, quadratic in its length.
+
+    Low-rank projections (``q_rank``, ``kv_rank``) and split heads change projections and attention; with ``experts`` the layers that ``moe_every`` names (all
+    without it; every k-th with a number; those above 0 with a list) have ``top_k`` experts and the shared one instead of the dense block.
+    """
     n = n.cast("double")
-    qkv = 2 * n * hidden * heads * head + 4 * n * hidden * kv_heads * head
-    attention = 2 * heads * n * n * head
-    out, mlp = 2 * n * hidden * hidden, 6 * n * hidden * ffn
-    return layers * (qkv + attention + out + mlp) + 2 * n * hidden * vocab
+    q = 2 * hidden * heads * head if q_rank is None else 2 * q_rank * (hidden + heads * (qk_head + rope_head))
+    kv = 4 * hidden * kv_heads * head if kv_rank is None else 2 * (kv_rank * (hidden + heads * (qk_head + v_head)) + hidden * rope_head)
+    attention = heads * ((qk_head + rope_head if rope_head else head) + (v_head or head))
+    if experts is None:
+        dense = layers
+    elif isinstance(moe_every, list):
+        dense = sum(f == 0 for f in moe_every)
+    else:
+        dense = 0 if moe_every is None else layers - -(-layers // moe_every)
+    moe = 0 if experts is None else sum(f > 0 for f in moe_every) if isinstance(moe_every, list) else layers - dense
+    blocks = dense * ffn + moe * (expert_ffn * top_k + shared_ffn)
+    linear = (dense + moe) * (q + kv + 2 * hidden * hidden) + 6 * hidden * blocks + 2 * hidden * vocab
+    return n * F.lit(float(linear)) + n * n * F.lit(float((dense + moe) * attention))
+
+
+@F.arrow_udf("array<int>")
+def _decode(raw: pa.Array) -> pa.Array:
+    return pa.array([None if b is None else np.frombuffer(b[: len(b) // 4 * 4], dtype="<i4") for b in raw.to_pylist()], pa.list_(pa.int32()))
+
+
+def decode_int32(code: Column) -> Column:
+    """Little-endian 32-bit integers from base64; a rest of less than four bytes is left out."""
+    return _decode(F.unbase64(code))
+
+
+def reshape(values: Column, layers: int, top_k: int) -> Column:
+    """Flat values as tokens x layers x top_k; a number that doesn't divide is an error."""
+
+    @F.arrow_udf("array<array<array<int>>>")
+    def shape(flat: pa.Array) -> pa.Array:
+        if any(v is not None and len(v) % (layers * top_k) for v in flat.to_pylist()):
+            raise ValueError("the values don't fill the shape")
+        inner = pa.list_(pa.list_(pa.list_(pa.int32())))
+        return pa.array([None if v is None else np.reshape(v, (-1, layers, top_k)).tolist() for v in flat.to_pylist()], inner)
+
+    return shape(values)
+
+
+def paragraphs(text: Column, snippets: Column) -> Column:
+    """The lines around each snippet that stands in the text (line breaks read as blanks), each once, in the order of the snippets."""
+    flat = F.replace(text, F.lit("\n"), F.lit(" "))
+
+    def around(s: Column) -> Column:
+        pos = F.position(s, flat)
+        before = F.length(F.regexp_extract(F.substr(text, F.lit(1), pos - 1), r"[^\n]*\z", 0))
+        after = F.length(F.regexp_extract(F.substr(text, pos + F.length(s)), r"^[^\n]*", 0))
+        return F.when((F.length(s) > 0) & (pos > 0), strip(F.substr(text, pos - before, before + F.length(s) + after)))
+
+    return F.array_join(F.array_distinct(F.filter(F.transform(snippets, around), lambda p: p.isNotNull())), "\n")
+
+
+def first_call(text: Column) -> tuple[Column, Column]:
+    """Name and arguments (JSON text) of the first tool call; without one, or if its arguments are no JSON object, ``respond`` with the whole text."""
+    raw = F.try_element_at(F.regexp_extract_all(text, F.lit(r"(?s)<tool_call>\s*(\{.*?\})\s*</tool_call>"), F.lit(1)), F.lit(1))
+    args = F.get_json_object(raw, "$.arguments")
+    good = F.try_parse_json(raw).isNotNull() & F.try_parse_json(args).isNotNull() & F.trim(args).startswith("{")
+    return F.when(good, F.coalesce(F.get_json_object(raw, "$.name"), F.lit(""))).otherwise("respond"), F.when(good, args).otherwise(F.to_json(F.struct(text.alias("content"))))
+
+
+def kwargs_list(raw: Column, n: Column) -> Column:
+    """Arguments of ``n`` instructions from JSON text, as JSON objects without nulls: a list is cut or filled up with its last, an object repeated, anything else gives empty ones."""
+    return _kwargs(raw, n)
+
+
+@F.arrow_udf("array<string>")
+def _kwargs(raw: pa.Array, n: pa.Array) -> pa.Array:
+    out = []
+    for text, k in zip(raw.to_pylist(), n.to_pylist(), strict=True):
+        try:
+            value = json.loads(text) if text else None
+        except ValueError:
+            value = None
+        own = [v if isinstance(v, dict) else {} for v in value] if isinstance(value, list) else [value] * k if isinstance(value, dict) else []
+        own = (own + [own[-1] if own else {}] * max(0, k - len(own)))[:k]
+        out.append([json.dumps({a: b for a, b in v.items() if b is not None}, sort_keys=True) for v in own])
+    return pa.array(out, pa.list_(pa.string()))
+
+
+def instruction_ids(ids: Column) -> Column:
+    """Identifiers without blanks around them; null and blank ones are left out."""
+    return F.filter(F.transform(ids, strip), lambda x: x.isNotNull() & (x != ""))
+
+
+def result_length(attribute: Column, mask: Column, tokens: Column) -> Column:
+    """Length of a result: its own attribute, else the number of its mask's entries, else of its tokens, else 0."""
+    return F.coalesce(attribute, F.when(mask.isNotNull(), F.size(mask)), F.when(tokens.isNotNull(), F.size(tokens)), F.lit(0))

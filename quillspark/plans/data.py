@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from quillspark.functions import masks as mk
 from quillspark.operators import balance as bl
 from quillspark.operators.groups import normalize, pass_rates
-from quillspark.operators.ordering import ensure_checkpoint_dir
+from quillspark.functions import tokens as tk
+from quillspark.operators.ordering import ensure_checkpoint_dir, previous, row_index
 from quillspark.plans.groups import samples, sql
 from quillspark.plans.registry import Hooks, op, table
 from quillspark.plans.tokens import r6
@@ -51,11 +52,13 @@ def s4(spark, d):
     return readers.read_rows(spark, f"{d}/eval_items.parquet@[10:50]", order=["item_id"]).select("item_id")
 
 
-@op("S5", "SELECT prompt_id, coalesce(prompt, list_filter(messages, lambda m: m.role = 'user')[-1].content) AS text, label, coalesce(metadata, '{}') AS metadata FROM prompts")
+@op("S5", """WITH x AS (SELECT prompt_id, CASE WHEN prompt IS NOT NULL THEN prompt ELSE array_to_string(list_transform(messages, lambda m: '<|im_start|>' || m.role || chr(10) || coalesce(m.content, '') || '<|im_end|>' || chr(10)), '') || '<|im_start|>assistant' || chr(10) END AS text, prompt IS NOT NULL AS plain, label, coalesce(metadata, '{}') AS metadata, data_source FROM prompts WHERE prompt IS NOT NULL OR messages IS NOT NULL)
+ SELECT prompt_id, text, label, metadata, CASE WHEN data_source IS NULL THEN NULL ELSE 2 END AS tools FROM x WHERE NOT plain OR length(text) <= 400""")
 def s5(spark, d):
-    """A row per prompt: its last user text, label and metadata, by default empty."""
-    last = F.try_element_at(F.filter("messages", lambda m: m["role"] == "user"), F.lit(-1))["content"]
-    return table(spark, d, "prompts").select("prompt_id", F.coalesce("prompt", last).alias("text"), "label", F.coalesce("metadata", F.lit("{}")).alias("metadata"))
+    """The whole dataset step: conversations under a template with the header of a reply, meta data by default empty, tools parsed, long texts dropped."""
+    p = table(spark, d, "prompts").withColumn("tools", F.when(F.col("data_source").isNotNull(), F.concat(F.lit('["search", "'), "data_source", F.lit('"]'))))
+    x = readers.build_dataset(p, "prompt", "messages", template=lambda m: F.concat(mk.render(m), F.lit(mk.HEADER)), tools="tools", max_length=400)
+    return x.select("prompt_id", "text", "label", "metadata", F.when(F.col("tools").isNotNull(), F.size("tools")).alias("tools"))
 
 
 @op("S6", "SELECT prompt_id, 2 AS tools FROM prompts")
@@ -84,7 +87,7 @@ def s9(spark, d):
 @op("S10", "SELECT ds_name, n_samples_per_eval_prompt AS n, temperature, top_p FROM eval_datasets")
 def s10(spark, d):
     """Dataset, defaults, arguments, in this order; an explicit null stays null."""
-    rows = [r.asDict() for r in table(spark, d, "eval_datasets").orderBy("ds_name").limit(1000).collect()]  # a configuration table
+    rows = [r.asDict() for r in configs.table_rows(table(spark, d, "eval_datasets"), "ds_name")]
     defaults, args = {"top_p": 0.7}, {"temperature": 1.0, "n_samples_per_eval_prompt": 1}
     out = [(r["ds_name"], *(configs.resolve(f, r, defaults, args) for f in ("n_samples_per_eval_prompt", "temperature", "top_p"))) for r in rows]
     return spark.createDataFrame(out, "ds_name string, n int, temperature double, top_p double")
@@ -92,17 +95,18 @@ def s10(spark, d):
 
 @op("S11", "SELECT ds_name AS name, path FROM eval_datasets")
 def s11(spark, d):
-    rows = {r["ds_name"]: {"path": r["path"]} for r in table(spark, d, "eval_datasets").orderBy("ds_name").limit(1000).collect()}
+    rows = {r["ds_name"]: {"path": r["path"]} for r in configs.table_rows(table(spark, d, "eval_datasets"), "ds_name")}
     return spark.createDataFrame([(c["name"], c["path"]) for c in configs.dataset_list(rows)], "name string, path string")
 
 
-@op("S12", "SELECT item_id, coalesce(rm_type, 'none') AS rm_type FROM eval_items i JOIN (SELECT path, any_value(rm_type) AS rm_type FROM eval_datasets WHERE rm_type IS NOT NULL GROUP BY path) USING (path)")
+@op("S12", "SELECT item_id, coalesce(rm_type, 'own') AS rm_type, CASE WHEN item_id % 2 = 0 THEN 'over' ELSE 'row' END AS origin, path FROM eval_items i JOIN (SELECT path, max(rm_type) AS rm_type FROM eval_datasets GROUP BY path) USING (path)")
 def s12(spark, d):
-    """Row metadata, then the dataset's scorer, last wins."""
-    types = table(spark, d, "eval_datasets").where("rm_type is not null").groupBy("path").agg(F.max("rm_type").alias("rm_type"))
-    entries = F.array(F.struct(F.lit("path").alias("k"), F.col("path").alias("v")), F.struct(F.lit("rm_type").alias("k"), F.col("rm_type").alias("v")))
-    meta = F.map_from_entries(entries)
-    return table(spark, d, "eval_items").join(types, "path").select("item_id", F.coalesce(meta["rm_type"], F.lit("none")).alias("rm_type"))
+    """Row meta data, then the dataset's scorer, then overrides; the last wins, in the engine and for one row on the driver alike."""
+    types = table(spark, d, "eval_datasets").groupBy("path").agg(F.max("rm_type").alias("rm_type"))
+    own = F.create_map(F.lit("rm_type"), F.lit("own"), F.lit("origin"), F.lit("row"), F.lit("path"), F.col("path"))
+    over = F.when(F.col("item_id") % 2 == 0, F.create_map(F.lit("origin"), F.lit("over")))
+    x = table(spark, d, "eval_items").join(types, "path").select("item_id", configs.merged_column(own, F.col("rm_type"), over).alias("m"))
+    return x.select("item_id", *[F.col("m")[k].alias(k) for k in ("rm_type", "origin", "path")])
 
 
 @op("S13", "SELECT 'aime' AS name, '/data/a.jsonl' AS path UNION ALL SELECT 'x', 'p' UNION ALL SELECT 'y', 'q'")
@@ -148,18 +152,20 @@ def s18(spark, d):
     return good.select("prompt_id", F.lit(True).alias("accepted")).unionByName(bad.select("prompt_id", F.lit(False).alias("accepted")))
 
 
-@op("S19", "SELECT prompt_id, round, NOT json_valid(metadata) AS bad_line FROM prompts, (SELECT unnest([1, 2]) AS round) WHERE metadata IS NOT NULL")
+@op("S19", """WITH l AS (SELECT row_number() OVER (ORDER BY prompt_id) AS line_number, CASE WHEN prompt_id % 11 = 0 THEN '  ' ELSE coalesce(metadata, '[1]') END AS line FROM prompts), b AS (SELECT *, row_number() OVER (ORDER BY line_number) - 1 AS p, count(*) OVER () AS n FROM l WHERE trim(line) <> ''), r AS (SELECT *, unnest([1, 2]) AS replay_round FROM b)
+ SELECT replay_round, line_number, CASE WHEN NOT json_valid(line) THEN 'Invalid JSON' WHEN json_type(TRY_CAST(line AS JSON)) <> 'OBJECT' THEN 'JSON line must be an object' END AS error FROM r WHERE (replay_round - 1) * n + p < 300""")
 def s19(spark, d):
-    """Request lines, replayed in two rounds; lines that are no JSON become error rows."""
-    x = table(spark, d, "prompts").where("metadata is not null").select("prompt_id", F.try_parse_json("metadata").isNull().alias("bad_line"))
-    return x.select("prompt_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("round"), "bad_line")
+    """Request lines in two rounds, at most 300 of all; blank lines are skipped, broken ones become error rows and count as well."""
+    p = row_index(table(spark, d, "prompts").select("prompt_id", F.when(F.col("prompt_id") % 11 == 0, "  ").otherwise(F.coalesce("metadata", F.lit("[1]"))).alias("line")), "prompt_id", name="line_number")
+    x = readers.read_requests(p.withColumn("line_number", F.col("line_number") + 1), "line_number", "line", rounds=2, cap=300)
+    return x.select("replay_round", "line_number", "error")
 
 
 @op("S20", "SELECT event_id, event_type AS name, round(value, 4) AS dur FROM events")
 def s20(spark, d):
-    """Events of trace documents, one for each user."""
+    """Events of trace documents, each of one user and at most 1,000 events."""
     e = F.struct(F.lit("kernel").alias("cat"), F.lit("X").alias("ph"), F.col("event_type").alias("name"), F.col("event_id").cast("double").alias("ts"), F.col("value").alias("dur"), F.col("user_id").cast("string").alias("tid"))
-    docs = table(spark, d, "events").groupBy("user_id").agg(F.to_json(F.struct(F.collect_list(e).alias("traceEvents"))).alias("value"))
+    docs = table(spark, d, "events").groupBy("user_id", F.floor(F.col("event_id") / 1000)).agg(F.to_json(F.struct(F.collect_list(e).alias("traceEvents"))).alias("value"))
     return readers.trace_events(docs).select(F.col("ts").cast("long").alias("event_id"), "name", F.round("dur", 4).alias("dur"))
 
 
@@ -169,11 +175,20 @@ def s21(spark, d):
     return docs.join(docs.where("doc_id % 50 = 0").select("doc_id"), "doc_id", "left_semi")
 
 
-@op("S22", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'data' WHEN 1 THEN 'base64' ELSE 'file' END AS kind, CASE WHEN doc_id % 3 < 2 THEN 12 END AS bytes FROM documents")
+@op("S22", "SELECT doc_id, pos, CASE pos WHEN 0 THEN 'data' WHEN 1 THEN 'base64' ELSE 'file' END AS kind, CASE pos WHEN 0 THEN strlen(text) WHEN 1 THEN 20 END AS bytes FROM documents, (SELECT unnest([0, 1, 2]) AS pos) WHERE text <> ''")
 def s22(spark, d):
-    raw = F.base64(F.lpad(F.col("doc_id").cast("string"), 12, "0").cast("binary"))
-    ref = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("data:image/png;base64,"), raw)).when(F.col("doc_id") % 3 == 1, raw).otherwise("img/a.png")
-    return table(spark, d, "documents").select("doc_id", ref.alias("ref")).select("doc_id", readers.image_kind(F.col("ref")).alias("kind"), F.octet_length(readers.image_bytes(F.col("ref"))).alias("bytes"))
+    """Images of a conversation's parts, in order: a data address of the document's own bytes, bare base64, a file; text parts and parts without an image are none."""
+    def part(kind, text, image):
+        return F.struct(F.lit(kind).alias("type"), text.alias("text"), image.alias("image"))
+
+    no = F.lit(None).cast("string")
+    raw = F.base64(F.encode("text", "UTF-8"))
+    first = F.array(part("text", F.lit("look"), no), part("image", no, F.concat(F.lit("data:image/png;base64,"), raw)), part("image", no, no))
+    second = F.array(part("image", no, F.base64(F.lpad(F.col("doc_id").cast("string"), 20, "0").cast("binary"))), part("image", no, F.lit("img/a.png")), part("text", F.lit("b"), F.lit("img/b.png")))
+    m = F.array(F.struct(F.lit("user").alias("role"), first.alias("content")), F.struct(F.lit("user").alias("role"), second.alias("content")))
+    x = table(spark, d, "documents").where("text <> ''").select("doc_id", m.alias("messages"))
+    i = readers.message_images(x, "doc_id", "messages")
+    return i.select("doc_id", "pos", readers.image_kind(F.col("image")).alias("kind"), F.octet_length(readers.image_bytes(F.col("image"))).cast("long").alias("bytes"))
 
 
 # ---- sinks --------------------------------------------------------------------------------------------------------
@@ -317,7 +332,7 @@ def r26(spark, d):
 
 # ---- conversation masks -------------------------------------------------------------------------------------------
 M = """m AS (SELECT prompt_id, unnest(messages) AS m, generate_subscripts(messages, 1) - 1 AS turn FROM prompts WHERE messages IS NOT NULL),
- n AS (SELECT prompt_id, turn, m.role AS role, length(coalesce(m.content, '')) AS len, 13 + length(m.role) AS pre, m.role = 'assistant' AND coalesce(m.step_loss_mask, 1) = 1 AS trained FROM m),
+ n AS (SELECT prompt_id, turn, m.role AS role, length(coalesce(m.content, '')) AS len, m.content AS content, 13 + length(m.role) AS pre, m.role = 'assistant' AND coalesce(m.step_loss_mask, 1) = 1 AS trained FROM m),
  z AS (SELECT *, CAST(coalesce(sum(pre + len + 11) OVER (PARTITION BY prompt_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + pre AS BIGINT) AS start FROM n)"""
 
 
@@ -325,32 +340,47 @@ def turns(spark, d):
     return mk.turn_spans(table(spark, d, "prompts"), "prompt_id", "messages")
 
 
-@op("W29", f"WITH {M} SELECT prompt_id, turn, role, start, start + len AS finish, trained FROM z")
+_FAMILIES = """f AS (SELECT prompt_id, 'per_turn' AS family, turn, start, start + len + 11 AS finish FROM z WHERE trained UNION ALL SELECT prompt_id, 'prefixed', turn, start, start + len + 11 FROM z WHERE trained
+ UNION ALL SELECT prompt_id, 'full_text', turn, start + CASE WHEN starts_with(coalesce(content, ''), '<think>' || chr(10)) THEN 8 ELSE 0 END, start + len + 11 FROM z WHERE trained
+ UNION ALL SELECT prompt_id, 'last_reply', len(messages) - 1, 13 + length(messages[1].role) + length(coalesce(messages[1].content, '')) + 11 + 22, 13 + length(messages[1].role) + length(coalesce(messages[1].content, '')) + 11 + 22 + length(coalesce(messages[-1].content, '')) FROM prompts WHERE len(messages) > 0 AND coalesce(messages[-1].step_loss_mask, 1) = 1)"""
+
+
+@op("W29", f"WITH {M}, {_FAMILIES} SELECT prompt_id, family, CAST(turn AS BIGINT) AS turn, CAST(start AS BIGINT) AS start, CAST(finish AS BIGINT) AS finish FROM f")
 def w29(spark, d):
-    """Character ranges of the turns in the rendered conversation, and whether they are trained on."""
-    return turns(spark, d).select("prompt_id", F.col("turn").cast("long").alias("turn"), "role", "start", F.col("end").alias("finish"), "trained")
+    """Character ranges that are trained on, by the four ways to mask a conversation."""
+    out, p = None, table(spark, d, "prompts")
+    for family in mk.FAMILIES:
+        one = mk.trained_ranges(p, "prompt_id", "messages", family).select("prompt_id", F.lit(family).alias("family"), F.col("turn").cast("long").alias("turn"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("finish"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
-@op("W30", f"WITH {M} SELECT prompt_id, CAST(sum(CASE WHEN trained AND len > 0 THEN (start + len - 1) // 4 - start // 4 + 1 ELSE 0 END) AS BIGINT) AS tokens FROM z GROUP BY 1")
+@op("W30", f"WITH {M}, {_FAMILIES}, t AS (SELECT DISTINCT prompt_id, family, unnest(range(start // 4, (finish - 1) // 4 + 1)) AS token FROM f WHERE finish > start), c AS (SELECT prompt_id, family, count(*) AS n FROM t GROUP BY 1, 2) SELECT prompt_id, family, coalesce(n, 0) AS tokens FROM (SELECT prompt_id, unnest(['full_text', 'last_reply']) AS family FROM prompts WHERE messages IS NOT NULL) LEFT JOIN c USING (prompt_id, family)")
 def w30(spark, d):
-    """Tokens of four characters that overlap a trained range; each range is counted by itself."""
-    hit = F.when(F.col("trained") & (F.col("end") > F.col("start")), F.floor((F.col("end") - 1) / 4) - F.floor(F.col("start") / 4) + 1).otherwise(0)
-    return turns(spark, d).groupBy("prompt_id").agg(F.sum(hit).cast("long").alias("tokens"))
+    """Tokens of four characters that overlap a trained range, each counted once."""
+    p, out = table(spark, d, "prompts"), None
+    for family in ("full_text", "last_reply"):
+        one = mk.token_masks(p, "prompt_id", "messages", family, 4).select("prompt_id", F.lit(family).alias("family"), F.aggregate("mask", F.lit(0).cast("long"), lambda a, m: a + m).alias("tokens"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
-@op("W37", f"WITH {M} SELECT prompt_id, turn, CAST(pre + len + 11 AS BIGINT) AS added FROM z")
+@op("W37", f"WITH {M} SELECT prompt_id, turn, CAST(pre + len + 11 AS BIGINT) AS added, '<|im_start|>' || role || chr(10) || coalesce(content, '') || '<|im_end|>' || chr(10) AS text FROM z")
 def w37(spark, d):
-    """Text that each turn adds to the rendering of the turns before it."""
-    w = Window.partitionBy("prompt_id").orderBy("turn")
-    until = F.col("end") + len("<|im_end|>\n")
-    return turns(spark, d).select("prompt_id", F.col("turn").cast("long").alias("turn"), (until - F.coalesce(F.lag(until).over(w), F.lit(0))).cast("long").alias("added"))
+    """What each turn adds: the rendering up to it without the rendering up to the turn before."""
+    p = table(spark, d, "prompts").where("size(messages) > 0").select("prompt_id", "messages", F.explode(F.sequence(F.lit(1), F.size("messages"))).alias("k"))
+    now, before = mk.render(F.slice("messages", F.lit(1), F.col("k"))), mk.render(F.slice("messages", F.lit(1), F.col("k") - 1))
+    delta = F.when(now.startswith(before), F.substr(now, F.length(before) + 1)).otherwise(F.raise_error(F.lit("a rendering must begin with the one before")))
+    return p.select("prompt_id", (F.col("k") - 1).cast("long").alias("turn"), delta.alias("text")).select("prompt_id", "turn", F.length("text").cast("long").alias("added"), "text")
 
 
-@op("W38", f"WITH {M}, a AS (SELECT prompt_id, min(start) FILTER (trained) AS first, max(start + len + 11) AS total FROM z GROUP BY 1) SELECT prompt_id, coalesce(total - first, 0) AS response_length, CAST(0 AS DOUBLE) AS reward FROM a")
+@op("W38", f"WITH {M}, a AS (SELECT prompt_id, min(start) FILTER (trained) AS first, max(start + len + 11) AS total, sum(CASE WHEN trained THEN len + 11 ELSE 0 END) AS ones FROM z GROUP BY 1) SELECT prompt_id, CAST(coalesce(total - first, 0) AS BIGINT) AS response_length, CAST(CASE WHEN first IS NULL THEN total ELSE total - first END AS BIGINT) AS kept, CAST(ones AS BIGINT) AS ones, CAST(0 AS DOUBLE) AS reward FROM a")
 def w38(spark, d):
-    """Rows for supervised training: the response runs from the first trained character to the end; the reward is 0."""
-    x = turns(spark, d).groupBy("prompt_id").agg(F.min(F.when(F.col("trained"), F.col("start"))).alias("first"), F.max(F.col("end") + len("<|im_end|>\n")).alias("total"))
-    return x.select("prompt_id", F.coalesce(F.col("total") - F.col("first"), F.lit(0)).cast("long").alias("response_length"), F.lit(0.0).alias("reward"))
+    """Rows for supervised training: the response runs from the first trained token to the end, and as many entries of the mask are kept, which is all of them for a length of 0; the reward is 0."""
+    x = mk.token_masks(table(spark, d, "prompts").where("size(messages) > 0"), "prompt_id", "messages", "per_turn")
+    n = tk.response_length(F.col("mask"))
+    x = x.select("prompt_id", n.cast("long").alias("response_length"), tk.tail(F.col("mask"), n).alias("own"))
+    return x.select("prompt_id", "response_length", F.size("own").cast("long").alias("kept"), F.aggregate("own", F.lit(0).cast("long"), lambda a, m: a + m).alias("ones"), F.lit(0.0).alias("reward"))
 
 
 @op("W39", f"WITH {M}, b AS (SELECT prompt_id, turn, len, CAST(sum(len) OVER (PARTITION BY prompt_id ORDER BY turn) AS BIGINT) AS used, lead(turn) OVER (PARTITION BY prompt_id ORDER BY turn) IS NULL AS last FROM z) SELECT prompt_id, turn, used, CASE WHEN used >= 200 THEN 'truncated' WHEN last THEN 'completed' ELSE 'pending' END AS status FROM b WHERE used - len < 200")
@@ -420,9 +450,10 @@ def x7(spark, d):
 
 @op("X8", sql("SELECT session_id, sample_index, CAST(substr(weight_version, 2) AS INT) - lag(CAST(substr(weight_version, 2) AS INT)) OVER (PARTITION BY session_id ORDER BY finished_at, sample_index) AS staleness FROM s WHERE session_id IS NOT NULL AND weight_version IS NOT NULL"))
 def x8(spark, d):
+    """Staleness: how many versions a session's sample is behind the one before; a session of any size is spread by ranges."""
     v = F.substring("weight_version", 2, 9).cast("int")
-    w = Window.partitionBy("session_id").orderBy("finished_at", "sample_index")
-    return samples(spark, d, "sample_index", "session_id", "weight_version", "finished_at").where("session_id is not null and weight_version is not null").select("session_id", "sample_index", (v - F.lag(v).over(w)).alias("staleness"))
+    s = samples(spark, d, "sample_index", "session_id", "weight_version", "finished_at").where("session_id is not null and weight_version is not null").select("session_id", "sample_index", "finished_at", v.alias("v"))
+    return previous(s, "session_id", ["finished_at", "sample_index"], "v", "before").select("session_id", "sample_index", (F.col("v") - F.col("before")).alias("staleness"))
 
 
 @op("X9", "SELECT prompt_id, epoch, rep FROM prompts, (SELECT unnest([0, 1]) AS epoch), (SELECT unnest([0, 1, 2]) AS rep)")

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import grading as gr
+from quillspark.functions import rewards
 from quillspark.functions import scoring as sc
 from quillspark.functions.remote import remote_reward
 from quillspark.plans.registry import op, table
@@ -111,11 +112,14 @@ def u11(spark, d):
     return texts(spark, d, "response", "label").select("sample_index", sc.choice_reward(F.col("response"), F.col("label")).cast("double").alias("reward"))
 
 
-@op("U12", "SELECT prompt_id, CASE WHEN json_valid(metadata) THEN json_extract_string(metadata, '$.rm_type') END AS rm_type, CASE WHEN json_valid(metadata) THEN CAST(json_extract_string(metadata, '$.level') AS BIGINT) END AS level FROM prompts")
+@op("U12", "SELECT prompt_id, 1 + prompt_id % 3 AS n, CASE WHEN json_type(TRY_CAST(metadata AS JSON)) = 'OBJECT' THEN len(list_filter(json_keys(TRY_CAST(metadata AS JSON)), lambda k: json_type(TRY_CAST(metadata AS JSON), '$.' || k) <> 'NULL')) ELSE 0 END AS keys, (1 + prompt_id % 3 > 1) AS filled FROM prompts")
 def u12(spark, d):
-    """Arguments of a scorer from JSON metadata: coerced to their types, null where the JSON is broken."""
-    m = F.when(F.try_parse_json("metadata").isNotNull(), F.col("metadata"))
-    return table(spark, d, "prompts").select("prompt_id", F.get_json_object(m, "$.rm_type").alias("rm_type"), F.get_json_object(m, "$.level").try_cast("bigint").alias("level"))
+    """Arguments of one to three instructions from JSON meta data: an object is repeated, broken JSON gives empty ones; nulls are dropped."""
+    n = (1 + F.col("prompt_id") % 3).cast("int")
+    x = table(spark, d, "prompts").select("prompt_id", sc.kwargs_list(F.col("metadata"), n).alias("k"))
+    first, last = F.element_at("k", 1), F.element_at("k", -1)
+    same = F.when(first == last, F.size("k") > 1).otherwise(F.raise_error(F.lit("copies differ")))
+    return x.select("prompt_id", F.size("k").cast("long").alias("n"), F.coalesce(F.size(F.json_object_keys(first)), F.lit(0)).cast("long").alias("keys"), same.alias("filled"))
 
 
 _BOX = r"regexp_extract_all(response, '\\boxed\{{((?:[^{{}}]|\{{[^{{}}]*\}})*)\}}', 1)[-1]".replace("{{", "{").replace("}}", "}")
@@ -136,11 +140,24 @@ def u15(spark, d):
     return texts(spark, d, "label").where("label is not null").select("sample_index", gr.final_answer_udf("label").alias("normal"))
 
 
-@op("U16", q(r"SELECT sample_index, coalesce(TRY_CAST(trim(regexp_extract_all(right(response, 300), '(?i)answer\s*:\s*([^\n]+)', 1)[-1]) AS BIGINT) = TRY_CAST(label AS BIGINT), false) AS correct FROM t WHERE regexp_matches(label, '^[0-9]+$') AND regexp_matches(response, '(?i)answer: *[0-9]+\s*$')"))
+# what SQL can tell about a grade: of two whole numbers, of equal texts, and without any answer
+_KIND = "CASE WHEN own IS NULL OR label IS NULL THEN 'none' WHEN regexp_matches(own, '^[0-9]{1,15}$') AND regexp_matches(label, '^[0-9]{1,15}$') THEN 'integers' WHEN own = label AND regexp_matches(own, '^[A-Za-z]+$') THEN 'equal' ELSE 'graded' END"
+_TOLD = "CASE {k} WHEN 'none' THEN false WHEN 'integers' THEN CAST(own AS BIGINT) = CAST(label AS BIGINT) WHEN 'equal' THEN true END".format(k=_KIND)
+
+
+def told(own, label):
+    """The kind of a pair of answer and label, as the SQL sees it."""
+    number = r"^[0-9]{1,15}$"
+    return F.when(own.isNull() | label.isNull(), "none").when(own.rlike(number) & label.rlike(number), "integers").when((own == label) & own.rlike("^[A-Za-z]+$"), "equal").otherwise("graded")
+
+
+@op("U16", q(rf"SELECT sample_index, {_KIND} AS kind, {_TOLD} AS correct FROM (SELECT sample_index, label, trim(regexp_extract_all(right(response, 300), '(?i)answer\s*:\s*([^\n]+)', 1)[-1]) AS own FROM t)"))
 def u16(spark, d):
-    """Integer answers after ``Answer:`` on the last line."""
-    x = texts(spark, d, "response", "label").where(F.col("label").rlike(r"^[0-9]+$") & F.col("response").rlike(r"(?i)answer: *[0-9]+\s*$"))
-    return x.select("sample_index", gr.score_udf("response", "label")["acc"].alias("correct"))
+    """The last ``Answer:`` of every response against its label; where SQL can't tell the grade (other than whole numbers, equal words, no answer) it is left out of the result after grading."""
+    x = texts(spark, d, "response", "label")
+    own = F.trim(F.try_element_at(F.regexp_extract_all(F.substring("response", -300, 300), F.lit(r"(?i)answer\s*:\s*([^\n]+)"), F.lit(1)), F.lit(-1)))
+    graded = F.coalesce(gr.score_udf("response", "label")["acc"], F.lit(False))
+    return x.select("sample_index", told(own, F.col("label")).alias("kind"), graded.alias("g")).select("sample_index", "kind", F.when(F.col("kind") != "graded", F.col("g")).alias("correct"))
 
 
 @op("U17", q(rf"SELECT sample_index, CASE WHEN coalesce({_BOX.replace('response', 'right(response, 100)')} = label, false) THEN 1.0 ELSE -1.0 END AS score FROM t WHERE label IS NOT NULL"))
@@ -170,17 +187,29 @@ def u21(spark, d):
     return texts(spark, d, "label").where("label is not null").select("sample_index", gr.value_form_udf("label").alias("normal"))
 
 
-@op("U22", "SELECT DISTINCT response_length AS n, true AS same FROM samples WHERE response_length IS NOT NULL")
+_PAIRS = "SELECT response_length AS n, unnest(['product', 'sum', 'off', 'power', 'word']) AS kind FROM (SELECT DISTINCT response_length FROM samples WHERE response_length IS NOT NULL)"
+
+
+@op("U22", f"SELECT n, kind, kind IN ('product', 'sum') OR (kind = 'power' AND n IN (0, 1)) AS same FROM ({_PAIRS})")
 def u22(spark, d):
-    """Exact evaluation: (n^2 - 1) equals (n - 1)(n + 1)."""
-    n = F.col("response_length").cast("string")
-    x = table(spark, d, "samples").where("response_length is not null").select("response_length").distinct()
-    return x.select(F.col("response_length").alias("n"), gr.same_value_udf(F.concat(n, F.lit("^2-1")), F.concat(F.lit("("), n, F.lit("-1)("), n, F.lit("+1)"))).alias("same"))
+    """Equality of value of pairs of expressions: identities in one letter and in numbers, unequal ones, ones that are equal for some numbers only, and what can't be read."""
+    n = F.col("n").cast("string")
+    x = table(spark, d, "samples").where("response_length is not null").select(F.col("response_length").alias("n")).distinct()
+    pairs = [("product", F.concat(n, F.lit("*x^2-"), n), F.concat(n, F.lit("(x-1)(x+1)"))), ("sum", F.concat(n, F.lit("/4+"), n, F.lit("/4")), F.concat(n, F.lit("/2"))), ("off", n, F.concat(n, F.lit("+1"))), ("power", F.concat(n, F.lit("^2")), n), ("word", n, F.concat(n, F.lit(" or more things")))]
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), a.alias("a"), b.alias("b")) for k, a, b in pairs]))
+    return x.select("n", rows.alias("p")).select("n", "p.kind", gr.same_value_udf("p.a", "p.b").alias("same"))
+
 
+_TUPLES = "SELECT doc_id, unnest(['pair', 'open', 'nested', 'thousands', 'bare', 'empty']) AS kind, n_chars AS n FROM documents"
 
-@op("U23", "SELECT item_id, CAST(row_no AS VARCHAR) || '|' || CAST(item_id AS VARCHAR) AS parts FROM eval_items")
+
+@op("U23", f"SELECT doc_id, kind, CASE kind WHEN 'pair' THEN n || '|' || doc_id WHEN 'open' THEN n || '|x' WHEN 'nested' THEN '((' || n || '), 1)' WHEN 'thousands' THEN '1234567' WHEN 'bare' THEN n || ', 2' ELSE '' END AS parts FROM ({_TUPLES})")
 def u23(spark, d):
-    return table(spark, d, "eval_items").select("item_id", gr.tuple_parts_udf(F.concat(F.lit("("), F.col("row_no").cast("string"), F.lit(", "), F.col("item_id").cast("string"), F.lit(")"))).alias("parts"))
+    """Members of tuples and intervals; nested brackets, bare lists and thousands are one member."""
+    n = F.col("n_chars").cast("string")
+    forms = [("pair", F.concat(F.lit("("), n, F.lit(", "), F.col("doc_id").cast("string"), F.lit(")"))), ("open", F.concat(F.lit("["), n, F.lit(",x)"))), ("nested", F.concat(F.lit("(("), n, F.lit("), 1)"))), ("thousands", F.lit("1,234,567")), ("bare", F.concat(n, F.lit(", 2"))), ("empty", F.lit(""))]
+    x = table(spark, d, "documents").select("doc_id", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), s.alias("s")) for k, s in forms])).alias("f"))
+    return x.select("doc_id", "f.kind", gr.tuple_parts_udf("f.s").alias("parts"))
 
 
 @op("U24")
@@ -188,19 +217,22 @@ def u24(spark, d):
     return texts(spark, d, "response", "label").select("sample_index", gr.grade_udf(gr.unbox_udf("response"), "label").alias("correct"))
 
 
-@op("U25", q(f"SELECT sample_index, {_BOX} = label AS correct FROM t WHERE regexp_matches(label, '^[0-9]+$') AND regexp_matches({_BOX}, '^[0-9]+$')"))
+def _box(text):
+    return F.try_element_at(F.regexp_extract_all(text, F.lit(r"\\boxed\{((?:[^{}]|\{[^{}]*\})*)\}"), F.lit(1)), F.lit(-1))
+
+
+@op("U25", q(f"SELECT sample_index, {_KIND} AS kind, {_TOLD} AS correct FROM (SELECT sample_index, label, {_BOX} AS own FROM t)"))
 def u25(spark, d):
-    x = texts(spark, d, "response", "label").where(F.col("label").rlike("^[0-9]+$"))
-    x = x.where(F.try_element_at(F.regexp_extract_all("response", F.lit(r"\\boxed\{((?:[^{}]|\{[^{}]*\})*)\}"), F.lit(1)), F.lit(-1)).rlike("^[0-9]+$"))
-    return x.select("sample_index", gr.math_reward_udf("response", "label").alias("correct"))
+    """The last box of every response against its label, as U16."""
+    x = texts(spark, d, "response", "label").select("sample_index", told(_box(F.col("response")), F.col("label")).alias("kind"), gr.math_reward_udf("response", "label").alias("g"))
+    return x.select("sample_index", "kind", F.when(F.col("kind") != "graded", F.col("g")).alias("correct"))
 
 
-@op("U26", q(f"SELECT sample_index, CASE WHEN {_BOX.replace('response', 'own')} = label THEN 1.0 ELSE 0.0 END AS reward FROM (SELECT sample_index, label, string_split(response, '</think>')[-1] AS own FROM t WHERE contains(response, '</think>')) WHERE regexp_matches(label, '^[0-9]+$') AND regexp_matches({_BOX.replace('response', 'own')}, '^[0-9]+$')"))
+@op("U26", q(f"SELECT sample_index, {_KIND} AS kind, CASE WHEN thought THEN CASE WHEN {_TOLD} THEN 1.0 WHEN {_KIND} <> 'graded' THEN 0.0 END ELSE 0.0 END AS reward FROM (SELECT sample_index, label, contains(response, '</think>') AS thought, {_BOX.replace('response', chr(39).join(['string_split(response, ', '</think>', ')[-1]']))} AS own FROM t)"))
 def u26(spark, d):
-    own = sc.after_reasoning(F.col("response"))
-    x = texts(spark, d, "response", "label").where(F.col("response").contains("</think>") & F.col("label").rlike("^[0-9]+$"))
-    x = x.where(F.try_element_at(F.regexp_extract_all(own, F.lit(r"\\boxed\{((?:[^{}]|\{[^{}]*\})*)\}"), F.lit(1)), F.lit(-1)).rlike("^[0-9]+$"))
-    return x.select("sample_index", gr.reasoned_reward_udf("response", "label").alias("reward"))
+    """The same after finished reasoning; without it the reward is 0."""
+    x = texts(spark, d, "response", "label").select("sample_index", F.col("response").contains("</think>").alias("thought"), told(_box(sc.after_reasoning(F.col("response"))), F.col("label")).alias("kind"), gr.reasoned_reward_udf("response", "label").alias("g"))
+    return x.select("sample_index", "kind", F.when((F.col("kind") != "graded") | ~F.col("thought"), F.col("g")).alias("reward"))
 
 
 @op("U27", q("SELECT sample_index, nullif(CASE WHEN s <> '' THEN 'search' WHEN a <> '' THEN 'answer' ELSE '' END, '') AS action, CASE WHEN s <> '' THEN trim(regexp_extract(s, '(?s)<search>(.*?)</search>', 1)) WHEN a <> '' THEN trim(regexp_extract(a, '(?s)<answer>(.*?)</answer>', 1)) ELSE '' END AS content FROM (SELECT sample_index, regexp_extract(m, '(?s)^<search>.*') AS s, regexp_extract(m, '(?s)^<answer>.*') AS a FROM (SELECT sample_index, regexp_extract(response, '(?s)<search>.*?</search>|<answer>.*?</answer>') AS m FROM t))"))
@@ -250,11 +282,16 @@ def u34(spark, d):
     return texts(spark, d, "prompt").where("prompt is not null").select("sample_index", sc.sanitize_query(F.col("prompt")).alias("query"))
 
 
-@op("U35", r"SELECT doc_id, list_filter(string_split(text, chr(10)), lambda l: contains(l, 'rollout worker'))[1] AS paragraph FROM documents WHERE contains(text, 'rollout worker')")
+_SNIPPETS = "[replace(substr(text, 11, 20), chr(10), ' '), replace(substr(text, 16, 40), chr(10), ' '), 'rollout worker', '']"
+
+
+@op("U35", rf"""WITH s AS (SELECT doc_id, text, unnest({_SNIPPETS}) AS s, unnest([1, 2, 3, 4]) AS k FROM documents WHERE text IS NOT NULL), p AS (SELECT *, instr(replace(text, chr(10), ' '), s) AS pos FROM s WHERE s <> ''),
+ c AS (SELECT doc_id, k, regexp_replace(regexp_extract(substr(text, 1, pos - 1), '[^\n]*\z') || substr(text, pos, length(s)) || regexp_extract(substr(text, pos + length(s)), '^[^\n]*'), '^\s+|\s+$', '', 'g') AS para FROM p WHERE pos > 0),
+ u AS (SELECT doc_id, para, min(k) AS k FROM c GROUP BY 1, 2), j AS (SELECT doc_id, string_agg(para, chr(10) ORDER BY k) AS context FROM u GROUP BY 1) SELECT d.doc_id, coalesce(context, '') AS context FROM documents d LEFT JOIN j ON d.doc_id = j.doc_id WHERE text IS NOT NULL""")
 def u35(spark, d):
-    """The line around a snippet."""
-    lines = F.filter(F.split("text", "\n"), lambda x: F.contains(x, F.lit("rollout worker")))
-    return table(spark, d, "documents").where(F.col("text").contains("rollout worker")).select("doc_id", F.element_at(lines, 1).alias("paragraph"))
+    """The lines around each of several snippets, each once."""
+    flat = [F.replace(F.substring("text", a, n), F.lit("\n"), F.lit(" ")) for a, n in ((11, 20), (16, 40))]
+    return table(spark, d, "documents").where("text is not null").select("doc_id", sc.paragraphs(F.col("text"), F.array(*flat, F.lit("rollout worker"), F.lit(""))).alias("context"))
 
 
 @op("U36", "SELECT item_id, 'Doc 1(Title: ' || string_split(prompt, chr(10))[1] || ') ' || CASE WHEN contains(prompt, chr(10)) THEN substr(prompt, instr(prompt, chr(10)) + 1) ELSE '' END || chr(10) AS passage FROM eval_items")
@@ -294,26 +331,29 @@ def u41(spark, d):
     return table(spark, d, "embeddings").select("vec_id", F.round(F.element_at(F.transform(pairs, lambda p: p["lp"]), 1), 5).alias("first"), F.size(F.transform(pairs, lambda p: p["id"])).cast("long").alias("n"))
 
 
-@op("U42", "SELECT event_id, CAST(event_id % 256 AS BIGINT) AS expert, user_id AS second FROM events")
+@op("U42", "SELECT event_id, 2 AS tokens, '-' || event_id || ',' || user_id || ';7,8|' || event_id % 256 || ',0;' || user_id || ',' || CAST(2147483647 AS BIGINT) AS experts FROM events WHERE event_id > 0")
 def u42(spark, d):
-    """Little-endian 32-bit integers from base64, decoded in the JVM."""
+    """Routed experts: base64 of little-endian 32-bit integers, as tokens x layers x experts."""
     def word(x):
-        h = F.lpad(F.hex(x), 8, "0")
+        h = F.lpad(F.hex(F.when(x < 0, x + 2**32).otherwise(x)), 8, "0")
         return F.concat(h.substr(7, 2), h.substr(5, 2), h.substr(3, 2), h.substr(1, 2))
 
-    code = F.base64(F.unhex(F.concat(word(F.col("event_id") % 256), word(F.col("user_id")))))
-    raw = F.hex(F.unbase64(code))
-
-    def number(at):
-        return F.conv(F.concat(raw.substr(at + 6, 2), raw.substr(at + 4, 2), raw.substr(at + 2, 2), raw.substr(at, 2)), 16, 10).cast("long")
+    e = F.col("event_id").cast("long")
+    numbers = [-e, F.col("user_id").cast("long"), F.lit(7).cast("long"), F.lit(8).cast("long"), e % 256, F.lit(0).cast("long"), F.col("user_id").cast("long"), F.lit(2**31 - 1).cast("long")]
+    code = F.base64(F.unhex(F.concat(*map(word, numbers))))
+    x = table(spark, d, "events").where("event_id > 0").select("event_id", sc.reshape(sc.decode_int32(code), 2, 2).alias("r"))
+    flat = F.flatten(F.flatten("r"))
+    text = F.concat_ws("|", *[F.concat_ws(";", *[F.concat_ws(",", *[F.element_at(F.element_at(F.element_at("r", t), k), e).cast("string") for e in (1, 2)]) for k in (1, 2)]) for t in (1, 2)])
+    return x.where(F.size(flat) == 8).select("event_id", F.size("r").alias("tokens"), text.alias("experts"))
 
-    return table(spark, d, "events").select("event_id", number(1).alias("expert"), number(9).alias("second"))
 
-
-@op("U43", q("SELECT round(sum(4 * (2 * n * 64 * 4 * 16 + 4 * n * 64 * 2 * 16 + 2 * 4 * n * n * 16 + 2 * n * 64 * 64 + 6 * n * 64 * 256) + 2 * n * 64 * 1000) / 1e9, 4) AS gflops FROM (SELECT CAST(coalesce(response_length, 0) AS DOUBLE) AS n FROM t)"))
+@op("U43", q("SELECT round(sum(4 * (2 * n * 64 * 4 * 16 + 4 * n * 64 * 2 * 16 + 2 * 4 * n * n * 16 + 2 * n * 64 * 64 + 6 * n * 64 * 256) + 2 * n * 64 * 1000) / 1e9, 4) AS dense, round(sum(4 * (2 * n * 24 * (64 + 4 * (12 + 8)) + 2 * n * (16 * (64 + 4 * (12 + 10)) + 64 * 8) + 4 * n * n * (12 + 8) + 4 * n * n * 10 + 2 * n * 64 * 64) + 2 * 6 * n * 64 * 256 + 2 * 6 * n * 64 * (32 * 3 + 48) + 2 * n * 64 * 1000) / 1e9, 4) AS experts FROM (SELECT CAST(coalesce(response_length, 0) AS DOUBLE) AS n FROM t)"))
 def u43(spark, d):
-    f = sc.dense_flops(F.coalesce("response_length", F.lit(0)), 64, 4, 2, 16, 256, 4, 1000)
-    return texts(spark, d, "response_length").agg(F.round(F.sum(f) / 1e9, 4).alias("gflops"))
+    """A dense decoder, and one with low-rank attention whose every second layer has experts."""
+    n = F.coalesce("response_length", F.lit(0))
+    dense = sc.flops(n, 64, 4, 2, 16, 256, 4, 1000)
+    experts = sc.flops(n, 64, 4, 2, 16, 256, 4, 1000, q_rank=24, kv_rank=16, qk_head=12, rope_head=8, v_head=10, experts=8, expert_ffn=32, top_k=3, shared_ffn=48, moe_every=2)
+    return texts(spark, d, "response_length").agg(F.round(F.sum(dense) / 1e9, 4).alias("dense"), F.round(F.sum(experts) / 1e9, 4).alias("experts"))
 
 
 @op("U44", "SELECT prompt_id, prompt_id * 32 * 4 // 128 AS step FROM prompts")
@@ -326,18 +366,22 @@ def u45(spark, d):
     return table(spark, d, "replay_results").select("result_id", F.coalesce(F.nullif(F.trim("model"), F.lit("")), F.lit("default-model")).alias("model"), F.lit(False).alias("stream"))
 
 
-@op("U46", "SELECT prompt_id, CASE WHEN json_valid(metadata) THEN coalesce(json_extract_string(metadata, '$.rm_type'), 'respond') ELSE 'respond' END AS action FROM prompts")
+@op("U46", "SELECT prompt_id, CASE WHEN json_type(TRY_CAST(metadata AS JSON)) = 'OBJECT' THEN 'lookup' ELSE 'respond' END AS action, CASE WHEN json_type(TRY_CAST(metadata AS JSON)) = 'OBJECT' THEN json_extract_string(TRY_CAST(metadata AS JSON), '$.rm_type') END AS rm_type FROM prompts")
 def u46(spark, d):
-    """A call's name, or ``respond`` where the call can't be read."""
-    m = F.when(F.try_parse_json("metadata").isNotNull(), F.col("metadata"))
-    return table(spark, d, "prompts").select("prompt_id", F.coalesce(F.get_json_object(m, "$.rm_type"), F.lit("respond")).alias("action"))
+    """The first of two tool calls in a reply; without a call, or with arguments that can't be read, the reply itself is the action."""
+    call = F.concat(F.lit('Let me see. <tool_call>{"name": "lookup", "arguments": '), F.col("metadata"), F.lit('}</tool_call> <tool_call>{"name": "second", "arguments": {}}</tool_call>'))
+    name, args = sc.first_call(F.coalesce(call, F.lit("no call")))
+    return table(spark, d, "prompts").select("prompt_id", name.alias("action"), args.alias("a")).select("prompt_id", "action", F.when(F.col("action") == "lookup", F.get_json_object("a", "$.rm_type")).alias("rm_type"))
 
 
-@op("U47", "SELECT DISTINCT sample_index, CAST(coalesce(response_length, length(response), 0) AS BIGINT) AS n, coalesce(status, 'completed') AS status FROM samples")
+@op("U47", "SELECT DISTINCT sample_index, CAST(CASE sample_index % 4 WHEN 0 THEN response_length WHEN 1 THEN coalesce(response_length, 0) + 1 WHEN 2 THEN len(string_split(response, ' ')) ELSE 0 END AS BIGINT) AS n, coalesce(status, 'completed') AS status FROM samples WHERE response IS NOT NULL AND (sample_index % 4 > 0 OR response_length IS NOT NULL)")
 def u47(spark, d):
-    """A result as a sample: its length from the attribute, the text, or 0."""
-    s = table(spark, d, "samples")
-    return s.select("sample_index", F.coalesce(F.col("response_length"), F.length("response"), F.lit(0)).cast("long").alias("n"), F.coalesce("status", F.lit("completed")).alias("status")).distinct()
+    """A result as a sample: its length from the attribute, else the mask, else the tokens, else 0."""
+    s, k = table(spark, d, "samples").where("response is not null and (sample_index % 4 > 0 or response_length is not null)"), F.col("sample_index") % 4
+    attribute = F.when(k == 0, F.col("response_length"))
+    mask = F.when(k == 1, F.array_repeat(F.lit(1), F.coalesce("response_length", F.lit(0)) + 1))
+    tokens = F.when(k == 2, F.split("response", " "))
+    return s.select("sample_index", sc.result_length(attribute, mask, tokens).cast("long").alias("n"), F.coalesce("status", F.lit("completed")).alias("status")).distinct()
 
 
 @op("U48", q("SELECT sample_index, CASE sample_index % 4 WHEN 0 THEN 'no_call' WHEN 1 THEN 'unsupported' WHEN 2 THEN 'missing' ELSE 'scored' END AS step, sample_index % 4 = 0 OR sample_index % 3 = 2 AS done FROM t"))
@@ -351,11 +395,11 @@ def u48(spark, d):
     return texts(spark, d).select("sample_index", step.alias("step"), (c.isNull() | (F.col("sample_index") % 3 == 2)).alias("done"))
 
 
-@op("U49", q("SELECT any_value(prompt) || chr(10) || string_agg('#### Solution ' || rn || chr(10) || response, chr(10) ORDER BY rn) AS prompt_text, g FROM (SELECT sample_index % 1000 AS g, 'Solve.' AS prompt, response, row_number() OVER (PARTITION BY sample_index % 1000 ORDER BY sample_index) AS rn FROM t) GROUP BY g"))
+@op("U49", q("SELECT any_value(prompt) || chr(10) || string_agg('#### Solution ' || rn || chr(10) || response, chr(10) ORDER BY rn) AS prompt_text, g FROM (SELECT sample_index // 1000 AS g, 'Solve.' AS prompt, response, row_number() OVER (PARTITION BY sample_index // 1000 ORDER BY sample_index) AS rn FROM t) GROUP BY g"))
 def u49(spark, d):
-    """A prompt with all candidate solutions, numbered."""
+    """A prompt with all candidate solutions, numbered; a group holds at most 1,000 of them."""
     rn = F.row_number().over(Window.partitionBy("g").orderBy("sample_index"))
-    x = texts(spark, d, "response").withColumn("g", F.col("sample_index") % 1000).withColumn("rn", rn)
+    x = texts(spark, d, "response").withColumn("g", F.floor(F.col("sample_index") / 1000)).withColumn("rn", rn)
     parts = F.transform(F.sort_array(F.collect_list(F.struct("rn", "response"))), lambda s: F.concat(F.lit("#### Solution "), s["rn"].cast("string"), F.lit("\n"), s["response"]))
     return x.groupBy("g").agg(F.concat(F.lit("Solve.\n"), F.array_join(parts, "\n")).alias("prompt_text"))
 
@@ -379,12 +423,12 @@ def u52(spark, d):
     return texts(spark, d, "prompt").where(room > 0).select("sample_index", F.least(F.lit(64), room).cast("long").alias("max_new"))
 
 
-@op("U1", q(f"SELECT sample_index, round(CASE WHEN sample_index % 3 = 0 THEN {_F1} WHEN sample_index % 3 = 1 THEN CASE WHEN coalesce(np = ng, false) THEN 1 ELSE 0 END ELSE 0 END, 6) AS reward FROM c", _N, _K, _C))
+@op("U1", q(f"SELECT sample_index, round({_F1}, 6) AS reward FROM c", f"n AS (SELECT sample_index, response, label, {norm('own')} AS np, {norm('label')} AS ng FROM (SELECT sample_index, label, response, CASE WHEN sample_index % 3 = 1 THEN coalesce({_BOX}, '') ELSE response END AS own FROM t))", _K, _C))
 def u1(spark, d):
-    """Scorer by the row's type; rows of an unknown type score 0 here."""
-    kind = F.col("sample_index") % 3
+    """Scorer by the row's type, its meta data or a default; ``boxed_`` scores the last box's content."""
+    kind = F.when(F.col("sample_index") % 3 == 1, "boxed_f1").when(F.col("sample_index") % 3 == 2, " f1 ")
     x = texts(spark, d, "response", "label")
-    return x.select("sample_index", r6(F.when(kind == 0, sc.token_f1(F.col("response"), F.col("label"))["f1"]).when(kind == 1, sc.exact_match(F.col("response"), F.array("label")).cast("double")).otherwise(F.lit(0.0)), "reward"))
+    return x.select("sample_index", r6(rewards.reward(kind, F.col("response"), F.col("label"), default="f1"), "reward"))
 
 
 @op("U2", q(f"SELECT sample_index // 4 AS batch, round(sum({_F1}), 6) AS reward FROM c GROUP BY 1", _N, _K, _C))

@@ -34,3 +34,27 @@ def resolve(field: str, dataset: dict, defaults: dict, args: dict):
 def merged_metadata(metadata: dict | None, rm_type: str | None, overrides: dict | None) -> dict:
     """Row metadata, then the scorer's type, then overrides; the last wins."""
     return {**(metadata or {}), **({"rm_type": rm_type} if rm_type else {}), **(overrides or {})}
+
+
+#: Most rows of a configuration table.
+MOST_ROWS = 10_000
+
+
+def table_rows(config, order: str) -> list:
+    """All rows of a configuration table; more than ``MOST_ROWS`` are an error."""
+    rows = config.orderBy(order).limit(MOST_ROWS + 1).collect()
+    if len(rows) > MOST_ROWS:
+        raise ValueError(f"a configuration of more than {MOST_ROWS} rows")
+    return rows
+
+
+def merged_column(metadata, rm_type, overrides):
+    """:func:`merged_metadata` for columns of string maps."""
+    from pyspark.sql import functions as F
+
+    empty = F.create_map().cast("map<string,string>")
+    typed = F.when(rm_type.isNotNull() & (rm_type != ""), F.create_map(F.lit("rm_type"), rm_type)).otherwise(empty)
+    parts = [F.coalesce(metadata, empty), typed, F.coalesce(overrides, empty)]
+    keys = F.array_distinct(F.flatten(F.array(*map(F.map_keys, parts))))
+    # the last map that has the key
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.coalesce(*[F.try_element_at(p, k) for p in reversed(parts)])))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -99,3 +100,36 @@ def image_kind(ref: Column) -> Column:
 
 def image_bytes(ref: Column) -> Column:
     return F.when(image_kind(ref) == "data", F.try_to_binary(F.substring_index(ref, ",", -1), F.lit("base64"))).when(image_kind(ref) == "base64", F.try_to_binary(ref, F.lit("base64")))
+
+
+def message_images(df: DataFrame, key: str, messages: str) -> DataFrame:
+    """``key, pos, image`` of the parts of type image that have one, over all messages in order."""
+    parts = F.flatten(F.transform(messages, lambda m: m["content"]))
+    images = F.transform(F.filter(parts, lambda p: (p["type"] == "image") & p["image"].isNotNull()), lambda p: p["image"])
+    return df.select(key, F.posexplode(images).alias("pos", "image"))
+
+
+def build_dataset(df: DataFrame, prompt: str, messages: str, template: Callable[[Column], Column], tools: str | None = None, max_length: int | None = None) -> DataFrame:
+    """``df`` with ``text`` (the prompt, or the conversation under the template), ``metadata`` by default ``{}``, and ``tools`` as a list.
+
+    Rows with neither prompt nor conversation are dropped, and text prompts longer than ``max_length``; conversations are not measured.
+    """
+    x = df.where(F.col(prompt).isNotNull() | F.col(messages).isNotNull())
+    if max_length is not None:
+        x = x.where(F.col(prompt).isNull() | (F.length(prompt) <= max_length))
+    x = x.withColumn("text", F.coalesce(F.col(prompt), template(F.col(messages)))).withColumn("metadata", F.coalesce("metadata", F.lit("{}")))
+    return x.withColumn("tools", tool_list(F.col(tools))) if tools else x
+
+
+def read_requests(lines: DataFrame, number: str, line: str, rounds: int = 1, cap: int | None = None) -> DataFrame:
+    """``replay_round, line_number, payload, error``: every line that isn't blank, ``rounds`` times in order and at most ``cap`` in all.
+
+    A line that is no JSON, or no object, has an error and no payload, and counts against the cap.
+    """
+    x = row_index(lines.where(F.trim(line) != "").select(F.col(number).alias("line_number"), F.trim(line).alias("_line")), "line_number", name="_place")
+    x = x.select("line_number", "_line", "_place", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("replay_round"))
+    if cap is not None:
+        n = lines.where(F.trim(line) != "").agg(F.count(F.lit(1)).alias("_n"))
+        x = x.crossJoin(F.broadcast(n)).where((F.col("replay_round") - 1) * F.col("_n") + F.col("_place") < cap)  # one row
+    error = F.when(F.try_parse_json("_line").isNull(), "Invalid JSON").when(~F.col("_line").startswith("{"), "JSON line must be an object")
+    return x.select("replay_round", "line_number", F.when(error.isNull(), F.col("_line")).alias("payload"), error.alias("error"))
