@@ -268,3 +268,15 @@ def sublist_positions(a: Column, b: Column) -> Column:
     n = F.size(b)
     at = F.when((n > 0) & (F.size(a) >= n), F.sequence(F.lit(0), F.size(a) - n)).otherwise(F.array().cast("array<int>"))
     return F.filter(at, lambda i: F.slice(a, i + 1, n) == b)
+
+
+# ---- context-parallel layout --------------------------------------------------------------------------------------
+def zigzag_rank(pos: Column, n: Column, ranks: int) -> Column:
+    """Rank that owns a position of a sequence of n tokens in 2 x ranks equal chunks: rank r owns chunks r and 2 ranks - 1 - r."""
+    chunk = F.least(F.floor(pos / F.greatest(F.ceil(n / F.lit(2.0 * ranks)), F.lit(1))), F.lit(2 * ranks - 1)).cast("int")
+    return F.when(chunk < ranks, chunk).otherwise(2 * ranks - 1 - chunk)
+
+
+def response_rank(j: Column, n: Column, m: Column, ranks: int) -> Column:
+    """Rank that owns the log-probability of response token j (of m, the last of n tokens): that of the position before it, which predicts it."""
+    return zigzag_rank(n - m - 1 + j, n, ranks)

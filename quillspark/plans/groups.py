@@ -11,9 +11,10 @@ from pyspark.sql.types import BooleanType
 
 from quillspark.functions import tokens as tk
 from quillspark.operators import groups as gp
-from quillspark.operators.ordering import round_label, row_index
+from quillspark.operators.ordering import round_label, row_index, running_sum
 from quillspark.plans.registry import Hooks, op, table
 from quillspark.plans.tokens import BASE, long, packed, r6
+from quillspark.sources.cursor import PromptSource, State
 
 COLS = ["sample_index", "group_index", "prompt_id", "response_length", "label", "reward", "status", "remove_sample", "session_id", "weight_version", "finished_at"]
 S = f"s AS (SELECT DISTINCT {', '.join(COLS)} FROM samples)"
@@ -58,14 +59,12 @@ def f5(spark, d):
     return gp.collect_first(s, gp.reward_filter(s), 100, "finished_at").select("group_index", "first_index")
 
 
-@op("F6", sql("SELECT b AS batch, CAST(count(*) AS BIGINT) AS submitted, CAST(sum(sum(CASE WHEN keep THEN 1 ELSE 0 END)) OVER (ORDER BY b) AS BIGINT) AS passed, coalesce(sum(sum(CASE WHEN keep THEN 1 ELSE 0 END)) OVER (ORDER BY b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 256 AS needed FROM (SELECT (row_number() OVER (ORDER BY group_index) - 1) // 64 AS b, keep FROM v) GROUP BY b", V))
+@op("F6", sql("""SELECT b AS batch, count(*) AS submitted, CAST(sum(k) AS BIGINT) AS accepted, b * 64 < 256 + any_value(rejected) AS needed FROM (SELECT *, (SELECT count(*) FILTER (k = 0) FROM z WHERE p <= coalesce((SELECT min(p) FROM z WHERE a = 256), 1e18)) AS rejected FROM z) GROUP BY b""", V,
+ "z AS (SELECT p, p // 64 AS b, k, sum(k) OVER (ORDER BY p) AS a FROM (SELECT row_number() OVER (ORDER BY group_index) - 1 AS p, CASE WHEN keep THEN 1 ELSE 0 END AS k FROM v))"))
 def f6(spark, d):
-    """Batches of 64 groups are submitted while fewer than 256 groups have passed."""
+    """Batches of 64 groups for 256 accepted ones."""
     v = gp.reward_filter(samples(spark, d, "sample_index", "group_index", "reward"))
-    b = row_index(v, "group_index").groupBy(F.floor(F.col("row") / 64).alias("batch")).agg(F.count(F.lit(1)).alias("submitted"), F.sum(F.col("keep").cast("int")).alias("k"))
-    w = Window.orderBy("batch")  # one row per batch
-    before = F.coalesce(F.sum("k").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return b.select("batch", "submitted", F.sum("k").over(w).alias("passed"), (before < 256).alias("needed"))
+    return gp.over_sampling(v, "group_index", 64, 256)
 
 
 @op("F7", sql("SELECT sample_index, coalesce(remove_sample, false) OR coalesce(status = 'truncated', false) AS remove_sample FROM s"))
@@ -146,14 +145,48 @@ def f18(spark, d):
 
 #: Modules that code may import, and text that it may not hold.
 SAFE_MODULES = ["math", "random", "datetime", "collections", "itertools", "functools", "operator", "statistics", "decimal", "fractions"]
-UNSAFE = r"(import\s+os|import\s+sys|import\s+subprocess|__import__|eval\s*\(|exec\s*\(|open\s*\(|globals\s*\(|getattr\s*\()"
-
-
-@op("F19", f"SELECT doc_id, NOT (regexp_matches(text, '{UNSAFE}') OR len(list_filter(regexp_extract_all(text, '(?m)^\\s*(?:import|from)\\s+([A-Za-z_]+)', 1), lambda m: NOT list_contains({SAFE_MODULES}, m))) > 0) AS safe FROM documents WHERE text LIKE '%```python%'")
+#: What code must not hold, in any case.
+UNSAFE = [
+    r"import\s+os",
+    r"import\s+sys",
+    r"import\s+subprocess",
+    r"import\s+shutil",
+    r"import\s+glob",
+    r"import\s+pathlib",
+    r"__import__",
+    r"eval\s*\(",
+    r"exec\s*\(",
+    r"open\s*\(",
+    r"file\s*\(",
+    r"input\s*\(",
+    r"raw_input\s*\(",
+    r"compile\s*\(",
+    r"execfile\s*\(",
+    r"getattr\s*\(",
+    r"setattr\s*\(",
+    r"delattr\s*\(",
+    r"hasattr\s*\(",
+    r"globals\s*\(",
+    r"locals\s*\(",
+    r"vars\s*\(",
+    r"dir\s*\(",
+    r"type\s*\(",
+    r"isinstance\s*\(",
+    r"issubclass\s*\(",
+    r"super\s*\(",
+    r"property\s*\(",
+    r"staticmethod\s*\(",
+    r"classmethod\s*\(",
+    r"__\w+__",
+]
+
+
+@op("F19", f"SELECT doc_id, NOT (regexp_matches(text, '(?i)(?:{'|'.join(UNSAFE)})') OR len(list_filter(list_concat(regexp_extract_all(text, 'import\\s+(\\w+)', 1), regexp_extract_all(text, 'from\\s+(\\w+)', 1)), lambda m: NOT list_contains({SAFE_MODULES}, m))) > 0) AS safe FROM documents WHERE text IS NOT NULL")
 def f19(spark, d):
-    modules = F.regexp_extract_all("text", F.lit(r"(?m)^\s*(?:import|from)\s+([A-Za-z_]+)"), F.lit(1))
-    other = F.size(F.array_except(modules, F.array(*map(F.lit, SAFE_MODULES)))) > 0
-    return table(spark, d, "documents").where(F.col("text").contains("```python")).select("doc_id", (~(F.col("text").rlike(UNSAFE) | other)).alias("safe"))
+    """Texts as code: denied patterns, and any name after ``import`` or ``from`` that is no allowed module, are unsafe."""
+    names = F.array_union(F.regexp_extract_all("text", F.lit(r"import\s+(\w+)"), F.lit(1)), F.regexp_extract_all("text", F.lit(r"from\s+(\w+)"), F.lit(1)))
+    other = F.size(F.array_except(names, F.array(*map(F.lit, SAFE_MODULES)))) > 0
+    return table(spark, d, "documents").where("text is not null").select("doc_id", (~(F.col("text").rlike(f"(?i)(?:{'|'.join(UNSAFE)})") | other)).alias("safe"))
 
 
 @op("F20", "SELECT result_id, coalesce(status_code = 429 OR status_code >= 500, false) AS retry FROM replay_results")
@@ -207,13 +240,16 @@ def a4(spark, d):
 _ROLE = "CASE sample_index % 4 WHEN 0 THEN 'selector' WHEN 1 THEN 'rewriter' ELSE 'solver' END"
 
 
-@op("A5", sql(f"SELECT sample_index, role, round(reward * CASE WHEN coalesce(sel, 0) = 1 THEN 1.2 ELSE 0.8 END, 6) AS reward FROM (SELECT sample_index, {_ROLE} AS role, coalesce(reward, 0) AS reward, max(CASE WHEN sample_index % 4 = 0 THEN coalesce(reward, 0) END) OVER (PARTITION BY group_index) AS sel FROM s)"))
+@op("A5", sql(f"""SELECT sample_index, role, round(CASE WHEN role = 'selector' THEN sel ELSE reward END * CASE WHEN stage = 3 AND sel = 1 THEN 1.2 ELSE 0.8 END, 6) AS reward FROM y JOIN w USING (group_index) WHERE role = 'solver' OR role = 'rewriter' AND stage >= 2 OR stage = 3""",
+ f"y AS (SELECT group_index, sample_index, {_ROLE} AS role, coalesce(reward, 0) AS reward, CASE WHEN status = 'completed' THEN 'solution ' || sample_index END AS solution, sample_index // 4 % 2 AS pick FROM s)",
+ "w AS (SELECT *, CASE WHEN sols = 0 THEN 1 WHEN rews = 0 OR sel IS NULL THEN 2 ELSE 3 END AS stage FROM (SELECT group_index, count(solution) FILTER (role = 'solver') AS sols, count(solution) FILTER (role = 'rewriter') AS rews, CASE WHEN count(*) FILTER (role = 'selector') > 0 THEN CASE WHEN min(pick) FILTER (role = 'selector') = 0 AND count(solution) FILTER (role = 'rewriter') > 0 THEN arg_min(reward, sample_index) FILTER (role = 'rewriter' AND solution IS NOT NULL) ELSE 0 END END AS sel FROM y GROUP BY 1))"))
 def a5(spark, d):
-    """Roles of a group: all rewards x 1.2 if the selector was right, else (no selector too) x 0.8."""
+    """Runs of solvers, a rewriter and a selector: stages that give nothing end them early, the selector's pick decides the factor."""
     role = F.when(F.col("sample_index") % 4 == 0, "selector").when(F.col("sample_index") % 4 == 1, "rewriter").otherwise("solver")
-    x = samples(spark, d, "sample_index", "group_index", "reward").withColumn("role", role).withColumn("reward", F.coalesce("reward", F.lit(0.0)))
-    sel = F.max(F.when(F.col("role") == "selector", F.col("reward"))).over(Window.partitionBy("group_index"))
-    return x.select("sample_index", "role", r6(F.col("reward") * F.when(F.coalesce(sel, F.lit(0.0)) == 1, 1.2).otherwise(0.8), "reward"))
+    solution = F.when(F.col("status") == "completed", F.concat(F.lit("solution "), F.col("sample_index").cast("string")))
+    s = samples(spark, d, "sample_index", "group_index", "reward", "status")
+    x = s.select("group_index", "sample_index", role.alias("role"), F.coalesce("reward", F.lit(0.0)).alias("reward"), F.concat(F.lit("text of "), F.coalesce(solution, F.lit("none"))).alias("text"), solution.alias("solution"), (F.floor(F.col("sample_index") / 4) % 2).cast("int").alias("pick"))
+    return gp.agent_rewards(x).select("sample_index", "role", r6(F.col("reward"), "reward"))
 
 
 @op("A6", f"WITH {BASE} SELECT round(sum(adv * mask) / sum(mask), 6) AS metric FROM b")
@@ -292,10 +328,12 @@ def m5(spark, d):
 
 @op("M6", sql("SELECT weight_version, round(sum(response_length) / 100.0 / 8, 6) AS tokens_per_gpu_per_sec, round(any_value(top) / 100.0, 6) AS longest_tokens_per_sec, round(avg(CASE WHEN response_length = top THEN wait END), 6) AS longest_wait, round(any_value(top) / (100.0 - avg(CASE WHEN response_length = top THEN wait END)), 6) AS longest_without_wait FROM (SELECT weight_version, response_length, sample_index % 7 AS wait, max(response_length) OVER (PARTITION BY weight_version) AS top FROM s) GROUP BY weight_version"))
 def m6(spark, d):
-    """A rollout takes 100 s on 8 devices; ties of the longest sample share their mean waiting time."""
-    s = samples(spark, d, "sample_index", "weight_version", "response_length").withColumn("top", F.max("response_length").over(Window.partitionBy("weight_version"))).withColumn("wait", F.col("sample_index") % 7)
-    wait, top = F.avg(F.when(F.col("response_length") == F.col("top"), F.col("wait"))), F.max("top")
-    return s.groupBy("weight_version").agg(r6(F.sum("response_length") / 100.0 / 8, "tokens_per_gpu_per_sec"), r6(top / 100.0, "longest_tokens_per_sec"), r6(wait, "longest_wait"), r6(top / (100.0 - wait), "longest_without_wait"))
+    """A rollout takes 100 s on 8 devices; ties of the longest sample share their mean waiting time. The longest is one aggregate for each version, joined back."""
+    s = samples(spark, d, "sample_index", "weight_version", "response_length").withColumn("wait", F.col("sample_index") % 7)
+    g = s.groupBy("weight_version", "response_length").agg(F.sum("response_length").alias("sum"), F.sum("wait").alias("waits"), F.count(F.lit(1)).alias("k"))  # few lengths for each version
+    v = g.groupBy("weight_version").agg(F.sum("sum").alias("sum"), F.max("response_length").alias("top"), F.max_by("waits", "response_length").alias("waits"), F.max_by("k", "response_length").alias("k"))
+    wait, top = F.when(F.col("top").isNotNull(), F.col("waits") / F.col("k")), F.col("top")
+    return v.select("weight_version", r6(F.col("sum") / 100.0 / 8, "tokens_per_gpu_per_sec"), r6(top / 100.0, "longest_tokens_per_sec"), r6(wait, "longest_wait"), r6(top / (100.0 - wait), "longest_without_wait"))
 
 
 @op("M7", sql("SELECT 'error_cat/' || coalesce(status, 'none') AS metric, round(count(*) / (SELECT count(*) FROM s), 6) AS value FROM s GROUP BY 1"))
@@ -323,10 +361,14 @@ def m9(spark, d):
     return _stats(spark, d).agg(r6(F.coalesce(F.sum("stream_requests") / F.nullif(F.sum("submitted"), F.lit(0)), F.lit(0.0)), "hit_rate"), r6(F.sum("stream_requests") / F.count(F.lit(1)), "per_row"))
 
 
-@op("M10", "WITH t AS (SELECT DISTINCT sample_index, element_at(metadata, 'data_source')[1] AS ds, reward, status, response_length FROM samples WHERE metadata IS NOT NULL) SELECT ds, round(avg(reward), 6) AS reward, round(avg(CASE WHEN status = 'truncated' THEN 1.0 ELSE 0.0 END), 6) AS truncated_ratio, median(response_length) AS median_length FROM t GROUP BY ds")
+@op("M10", """WITH t AS (SELECT DISTINCT sample_index, group_index, element_at(metadata, 'data_source')[1] AS ds, reward, status, response_length FROM samples WHERE metadata IS NOT NULL), g AS (SELECT ds, count(*) AS n, count(*) FILTER (reward = 1) AS c FROM t GROUP BY group_index, ds HAVING count(*) = 4),
+ p AS (SELECT ds, avg(CASE WHEN n - c < k THEN 1 WHEN c = 0 THEN 0 ELSE 1 - list_product(list_transform(range(n - c + 1, n + 1), lambda i: 1 - k / i)) END) AS p, k FROM g, (VALUES (1), (2), (4)) t(k) GROUP BY ds, k)
+ SELECT ds, round(avg(reward), 6) AS reward, round(avg(CASE WHEN status = 'truncated' THEN 1.0 ELSE 0.0 END), 6) AS truncated_ratio, median(response_length) AS median_length, (SELECT round(p, 6) FROM p WHERE p.ds = t.ds AND k = 1) AS pass_1, (SELECT round(p, 6) FROM p WHERE p.ds = t.ds AND k = 2) AS pass_2, (SELECT round(p, 6) FROM p WHERE p.ds = t.ds AND k = 4) AS pass_4 FROM t GROUP BY ds""")
 def m10(spark, d):
-    s = table(spark, d, "samples").where("metadata is not null").select("sample_index", F.try_element_at("metadata", F.lit("data_source")).alias("ds"), "reward", "status", "response_length").distinct()
-    return s.groupBy("ds").agg(r6(F.avg("reward"), "reward"), r6(F.avg(F.when(F.col("status") == "truncated", 1.0).otherwise(0.0)), "truncated_ratio"), F.median("response_length").alias("median_length"))
+    s = table(spark, d, "samples").where("metadata is not null").select("sample_index", "group_index", F.try_element_at("metadata", F.lit("data_source")).alias("ds"), "reward", "status", "response_length").distinct()
+    means = s.groupBy("ds").agg(r6(F.avg("reward"), "reward"), r6(F.avg(F.when(F.col("status") == "truncated", 1.0).otherwise(0.0)), "truncated_ratio"), F.median("response_length").alias("median_length"))
+    p = gp.pass_rates(s, 4, by="ds").groupBy("ds").pivot("k", [1, 2, 4]).agg(F.first("pass_rate"))
+    return means.join(p, means["ds"].eqNullSafe(p["ds"]), "left").select(means["ds"], "reward", "truncated_ratio", "median_length", *[r6(F.col(str(k)), f"pass_{k}") for k in (1, 2, 4)])
 
 
 @op("M11", f"WITH {BASE}, q AS (SELECT seq, sum(train * mask) / greatest(sum(mask), 1) AS t, sum(adv * mask) / greatest(sum(mask), 1) AS a, any_value(n) AS n FROM b GROUP BY seq) SELECT round(avg(t), 6) AS log_probs, round(avg(a), 6) AS advantages, round(avg(n), 6) AS total_lengths FROM q")
@@ -345,10 +387,11 @@ def m12(spark, d):
     return x.select("bin", r6(F.col("n") / (F.sum("n").over(Window.partitionBy()) + 1e-9), "share"))  # four rows
 
 
-@op("M13", f"WITH {BASE}, q AS (SELECT seq, sum(-train * mask) / greatest(sum(mask), 1) AS e FROM b GROUP BY seq) SELECT round(sum(e), 5) AS correct_entropy FROM q WHERE seq % 3 = 0")
+@op("M13", f"WITH {BASE}, q AS (SELECT seq, sum(-train * mask) / greatest(sum(mask), 1) AS e, max(r) AS reward FROM b GROUP BY seq) SELECT round(sum(e), 5) AS correct_entropy FROM q WHERE reward >= 0.1")
 def m13(spark, d):
-    q = long(spark, d).where("seq % 3 = 0").groupBy("seq").agg(tk.masked("mean", -F.col("train"), F.col("mask").cast("double")).alias("e"))
-    return q.agg(F.round(F.sum("e"), 5).alias("correct_entropy"))
+    """Sum of the masked mean entropies of the correct sequences: those that reach the full reward, here the largest discount."""
+    q = long(spark, d).groupBy("seq").agg(tk.masked("mean", -F.col("train"), F.col("mask").cast("double")).alias("e"), F.max("r").alias("reward"))
+    return q.where("reward >= 0.1").agg(F.round(F.sum("e"), 5).alias("correct_entropy"))
 
 
 @op("M14", f"WITH {BASE}, q AS (SELECT seq, count(*) AS n, sum(mask) AS k FROM b GROUP BY seq) SELECT round(avg(n), 6) AS raw_mean, max(n) AS raw_max, min(n) AS raw_min, round(avg(CASE WHEN n >= 6 THEN 1.0 ELSE 0.0 END), 6) AS clip_ratio, round(avg(k), 6) AS own_mean, CAST(max(k) AS BIGINT) AS own_max, CAST(min(k) AS BIGINT) AS own_min FROM q")
@@ -357,19 +400,28 @@ def m14(spark, d):
     return q.agg(r6(F.avg("n"), "raw_mean"), F.max("n").alias("raw_max"), F.min("n").alias("raw_min"), r6(F.avg(F.when(F.col("n") >= 6, 1.0).otherwise(0.0)), "clip_ratio"), r6(F.avg("k"), "own_mean"), F.max("k").alias("own_max"), F.min("k").alias("own_min"))
 
 
-@op("M15", sql("SELECT weight_version, round(avg(CASE WHEN c >= 1 THEN 1.0 ELSE 0.0 END), 6) AS pass_all FROM (SELECT group_index, max(weight_version) AS weight_version, count(*) AS n, count(*) FILTER (reward = 1) AS c FROM s GROUP BY 1 HAVING count(*) = 4) GROUP BY 1"))
+@op("M15", sql("SELECT weight_version, k, round(avg(CASE WHEN n - c < k THEN 1 WHEN c = 0 THEN 0 ELSE 1 - list_product(list_transform(range(n - c + 1, n + 1), lambda i: 1 - k / i)) END), 6) AS pass_rate FROM (SELECT max(weight_version) AS weight_version, count(*) AS n, count(*) FILTER (reward = 1) AS c FROM s GROUP BY group_index HAVING count(*) = 4), (VALUES (1), (2), (4)) t(k) GROUP BY 1, 2"))
 def m15(spark, d):
-    g = samples(spark, d, "sample_index", "group_index", "reward", "weight_version").groupBy("group_index").agg(F.max("weight_version").alias("weight_version"), F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("reward") == 1, 1)).alias("c")).where("n = 4")
-    return g.groupBy("weight_version").agg(r6(F.avg(gp.pass_at(F.col("n"), F.col("c"), 4)), "pass_all"))
+    return gp.pass_rates(samples(spark, d, "sample_index", "group_index", "reward", "weight_version"), 4, by="weight_version").select("weight_version", "k", r6(F.col("pass_rate"), "pass_rate"))
 
 
-@op("M16", "SELECT user_id, round(sum(value) FILTER (event_type = 'view'), 4) AS view_time, round(sum(value) FILTER (event_type = 'click'), 4) AS click_time, CASE WHEN sum(value) > 0 THEN round(coalesce(sum(value) FILTER (event_type = 'error'), 0) / sum(value), 6) END AS wait_ratio FROM events GROUP BY 1")
-def m16(spark, d):
-    def part(k):
-        return F.sum(F.when(F.col("event_type") == k, F.col("value")))
+_TIMERS = "CASE event_type WHEN 'view' THEN 'actor_train' WHEN 'click' THEN 'log_probs' WHEN 'error' THEN 'train_wait' WHEN 'purchase' THEN 'train' ELSE 'ref_log_probs' END"
 
-    total = F.sum("value")
-    return table(spark, d, "events").groupBy("user_id").agg(F.round(part("view"), 4).alias("view_time"), F.round(part("click"), 4).alias("click_time"), F.when(total > 0, F.round(F.coalesce(part("error"), F.lit(0.0)) / total, 6)).alias("wait_ratio"))
+
+@op("M16", f"""WITH t AS (SELECT user_id, {_TIMERS} AS key, sum(value) AS s FROM events GROUP BY 1, 2), w AS (SELECT user_id, sum(event_id % 100) AS tokens, sum(2.0 * (event_id % 100)) AS flops FROM events GROUP BY 1), p AS (SELECT user_id, max(s) FILTER (key = 'actor_train') AS a, max(s) FILTER (key = 'log_probs') AS l, max(s) FILTER (key = 'ref_log_probs') AS r, max(s) FILTER (key = 'train_wait') AS wait, max(s) FILTER (key = 'train') AS train FROM t GROUP BY 1),
+ m AS (SELECT user_id, 'perf/' || key || '_time' AS metric, s AS value FROM t UNION ALL SELECT user_id, 'perf/log_probs_tflops', CASE WHEN a IS NOT NULL THEN flops / nullif(l, 0) END FROM p JOIN w USING (user_id) UNION ALL SELECT user_id, 'perf/ref_log_probs_tflops', CASE WHEN a IS NOT NULL THEN flops / nullif(r, 0) END FROM p JOIN w USING (user_id)
+ UNION ALL SELECT user_id, 'perf/actor_train_tflops', CASE WHEN a > 0 THEN 3 * flops / a END FROM p JOIN w USING (user_id) UNION ALL SELECT user_id, 'perf/actor_train_tok_per_s', CASE WHEN a > 0 THEN tokens / a END FROM p JOIN w USING (user_id) UNION ALL SELECT user_id, 'perf/step_time', CASE WHEN wait + train > 0 THEN wait + train END FROM p UNION ALL SELECT user_id, 'perf/wait_time_ratio', CASE WHEN wait + train > 0 THEN wait / (wait + train) END FROM p)
+ SELECT user_id, metric, round(value, 5) AS value FROM m WHERE value IS NOT NULL""")
+def m16(spark, d):
+    """Timers by step (users are steps, event types timers), and the rates that need them."""
+    e = table(spark, d, "events")
+    names = {"view": "actor_train", "click": "log_probs", "error": "train_wait", "purchase": "train"}
+    key = F.lit("ref_log_probs")
+    for k, v in names.items():
+        key = F.when(F.col("event_type") == k, v).otherwise(key)
+    timers = e.groupBy("user_id", key.alias("key")).agg(F.sum("value").alias("seconds"))
+    work = e.groupBy("user_id").agg(F.sum(F.col("event_id") % 100).alias("tokens"), F.sum(2.0 * (F.col("event_id") % 100)).alias("flops"))
+    return gp.perf_metrics(timers, work, "user_id").select("user_id", "metric", F.round("value", 5).alias("value"))
 
 
 @op("M17", sql("SELECT 'rollout/' || coalesce(status, 'none') AS metric, count(*) AS value FROM s GROUP BY 1"))
@@ -392,12 +444,16 @@ def epoch(spark, d, e: int):
     return row_index(table(spark, d, "prompts").select("prompt_id", key.alias("k")), "k", "prompt_id", name="pos").select("prompt_id", "pos")
 
 
-@op("R1", f"WITH a AS ({_PERM.format(e=0)}), b AS ({_PERM.format(e=1)}), n AS (SELECT count(*) AS n FROM prompts) SELECT 0 AS epoch, prompt_id FROM a, n WHERE pos >= n - 20 UNION ALL SELECT 1, prompt_id FROM b WHERE pos < 44")
+@op("R1", f"""WITH a AS ({_PERM.format(e=0)}), b AS ({_PERM.format(e=1)}), c AS ({_PERM.format(e=2)}), n AS (SELECT count(*) AS n FROM prompts) SELECT 0 AS take, 0 AS epoch, prompt_id, pos - (n - 20) AS group_index FROM a, n WHERE pos >= n - 20 UNION ALL SELECT 0, 1, prompt_id, 20 + pos FROM b WHERE pos < 44
+ UNION ALL SELECT 1, 1, prompt_id, 20 + least(n, 44) + pos - 44 FROM b, n WHERE pos >= 44 AND pos < 54 UNION ALL SELECT 1, 2, prompt_id, 20 + least(n, 44) + greatest(n - 44, 0) + pos FROM c, n WHERE n < 54 AND pos < 10 - greatest(n - 44, 0)""")
 def r1(spark, d):
-    """The next 64 prompts from a cursor 20 before the end: the tail, then the head of the next epoch."""
-    n = table(spark, d, "prompts").agg(F.count(F.lit(1)).alias("n"))
-    tail = epoch(spark, d, 0).crossJoin(F.broadcast(n)).where("pos >= n - 20").select(F.lit(0).alias("epoch"), "prompt_id")  # one row
-    return tail.unionByName(epoch(spark, d, 1).where("pos < 44").select(F.lit(1).alias("epoch"), "prompt_id"))
+    """A cursor, saved 20 prompts before the end of an epoch and restored: a take of 64 over the end, then one of 10."""
+    p = table(spark, d, "prompts").select("prompt_id")
+    saved = PromptSource(p, "prompt_id", state=State(offset=p.count() - 20)).saved()
+    source = PromptSource(p, "prompt_id", state=State(**saved))
+    a, b = source.take(64), source.take(10)
+    cols = ["epoch", "prompt_id", "group_index"]
+    return a.select(F.lit(0).alias("take"), *cols).unionByName(b.select(F.lit(1).alias("take"), *cols))
 
 
 @op("R2", "SELECT prompt_id, g AS group_index, g * 4 + j AS index FROM (SELECT prompt_id, row_number() OVER (ORDER BY prompt_id) - 1 AS g FROM prompts), (SELECT unnest(range(4)) AS j)")
@@ -422,12 +478,12 @@ def r4(spark, d):
     return epoch(spark, d, 3)
 
 
-@op("R5", sql("SELECT * FROM (SELECT 'buffer' AS origin, group_index AS id FROM s WHERE status = 'aborted' GROUP BY 2 ORDER BY 2 LIMIT 16) UNION ALL SELECT * FROM (SELECT 'dataset' AS origin, prompt_id AS id FROM prompts ORDER BY 2 LIMIT 48)"))
+@op("R5", sql("SELECT origin, id FROM (SELECT *, row_number() OVER (ORDER BY rank, id) AS rn FROM (SELECT 0 AS rank, 'buffer' AS origin, group_index AS id FROM s WHERE status = 'aborted' GROUP BY 3 UNION ALL SELECT 1, 'dataset', prompt_id FROM prompts)) WHERE rn <= 64"))
 def r5(spark, d):
-    """64 groups: at most 16 from the buffer of recycled groups, the rest from the dataset."""
-    buffer = samples(spark, d, "group_index", "status").where("status = 'aborted'").select(F.col("group_index").alias("id")).distinct().orderBy("id").limit(16)
-    data = table(spark, d, "prompts").select(F.col("prompt_id").alias("id")).orderBy("id").limit(48)
-    return buffer.select(F.lit("buffer").alias("origin"), "id").unionByName(data.select(F.lit("dataset").alias("origin"), "id"))
+    """64 groups: what the buffer of recycled groups has, the rest from the dataset."""
+    source = PromptSource(table(spark, d, "prompts").select(F.col("prompt_id").alias("id")), "id", seed=None)
+    source.add(samples(spark, d, "group_index", "status").where("status = 'aborted'").select(F.col("group_index").alias("id")).distinct())
+    return source.take(64).select("origin", "id")
 
 
 @op("R6", sql("SELECT group_index, count(*) AS n, count(*) = 4 AS accepted FROM s GROUP BY 1"))
@@ -471,22 +527,27 @@ def r15(spark, d):
 
 @op("R20", sql("SELECT sample_index, CAST(coalesce(sum(len) OVER (PARTITION BY weight_version ORDER BY sample_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, CAST(sum(len) OVER (PARTITION BY weight_version) + (128 - sum(len) OVER (PARTITION BY weight_version) % 128) % 128 AS BIGINT) AS padded, max(len) OVER (PARTITION BY weight_version) AS longest FROM (SELECT *, coalesce(response_length, 0) AS len FROM s WHERE weight_version IS NOT NULL)"))
 def r20(spark, d):
-    """Packed sequences: where each begins, the padded total, the longest."""
-    s = samples(spark, d, "sample_index", "weight_version", "response_length").where("weight_version is not null").withColumn("len", F.coalesce("response_length", F.lit(0)))
-    w = Window.partitionBy("weight_version")
-    total = F.sum("len").over(w)
-    return s.select("sample_index", F.coalesce(F.sum("len").over(w.orderBy("sample_index").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"), (total + (128 - total % 128) % 128).alias("padded"), F.max("len").over(w).alias("longest"))
+    """Packed sequences: where each begins, the padded total, the longest. Versions are few and large: running sums over ranges, aggregates joined back."""
+    s = samples(spark, d, "sample_index", "weight_version", "response_length").where("weight_version is not null").select("sample_index", "weight_version", F.coalesce("response_length", F.lit(0)).alias("len"))
+    v = s.groupBy("weight_version").agg(F.sum("len").alias("total"), F.max("len").alias("longest"))
+    x = running_sum(s, "weight_version", ["sample_index"], "len", "start").join(v, "weight_version")
+    return x.select("sample_index", "start", (F.col("total") + (128 - F.col("total") % 128) % 128).alias("padded"), "longest")
+
+
+def _zig(pos: str, ranks: int) -> str:
+    chunk = f"least(({pos}) // greatest(CAST(ceil(n / {2.0 * ranks}) AS BIGINT), 1), {2 * ranks - 1})"
+    return f"CASE WHEN {chunk} < {ranks} THEN {chunk} ELSE {2 * ranks - 1} - {chunk} END"
 
 
-_ZIG = "least(pos // greatest(CAST(ceil(n / 4.0) AS BIGINT), 1), 3)"
+_RANKS = (2, 3, 8)
 
 
-@op("R21", f"WITH {BASE} SELECT seq, pos, CASE WHEN {_ZIG} < 2 THEN {_ZIG} ELSE 3 - {_ZIG} END AS rank FROM b")
+@op("R21", f"WITH {BASE} " + " UNION ALL ".join(f"SELECT {k} AS ranks, seq, pos, CAST({_zig('pos', k)} AS INT) AS rank FROM b" for k in _RANKS))
 def r21(spark, d):
-    """Zig-zag split over two ranks: of four chunks, rank r owns chunks r and 3 - r."""
+    """Zig-zag split over two, three and eight ranks: of 2n chunks, rank r owns chunks r and 2n - 1 - r."""
     x = packed(spark, d).select("seq", "n", F.posexplode("tok").alias("pos", "t"))
-    chunk = F.least(F.floor(F.col("pos") / F.greatest(F.ceil(F.col("n") / 4.0), F.lit(1))), F.lit(3))
-    return x.select("seq", F.col("pos").cast("long").alias("pos"), F.when(chunk < 2, chunk).otherwise(3 - chunk).cast("long").alias("rank"))
+    ranks = F.explode(F.array(*[F.struct(F.lit(k).alias("ranks"), tk.zigzag_rank(F.col("pos"), F.col("n"), k).alias("rank")) for k in _RANKS]))
+    return x.select("seq", F.col("pos").cast("long").alias("pos"), ranks.alias("z")).select("z.ranks", "seq", "pos", "z.rank")
 
 
 @op("R25", "SELECT event_type, min(event_id) AS first_seen, count(*) AS n FROM events GROUP BY 1")
@@ -503,23 +564,21 @@ def r27(spark, d):
     return whole.select("seq", F.array_join(F.transform("all", lambda s: s["t"].cast("string")), ",").alias("tokens"))
 
 
-@op("R28", f"WITH {BASE}, z AS (SELECT seq, pos, {_ZIG} AS chunk, pos // greatest(CAST(ceil(n / 2.0) AS BIGINT), 1) AS src FROM b) SELECT src, CASE WHEN chunk < 2 THEN chunk ELSE 3 - chunk END AS dst, count(*) AS tokens FROM z GROUP BY 1, 2")
+@op("R28", f"WITH {BASE} SELECT ranks, src, dst, count(*) AS tokens FROM (" + " UNION ALL ".join(f"SELECT {k} AS ranks, CAST(pos // greatest(CAST(ceil(n / {float(k)}) AS BIGINT), 1) AS INT) AS src, CAST({_zig('pos', k)} AS INT) AS dst FROM b" for k in _RANKS) + ") GROUP BY 1, 2, 3")
 def r28(spark, d):
     """Contiguous to zig-zag: tokens that each rank sends to each other."""
     x = packed(spark, d).select("n", F.posexplode("tok").alias("pos", "t"))
-    chunk = F.least(F.floor(F.col("pos") / F.greatest(F.ceil(F.col("n") / 4.0), F.lit(1))), F.lit(3))
-    src = F.floor(F.col("pos") / F.greatest(F.ceil(F.col("n") / 2.0), F.lit(1)))
-    return x.groupBy(src.cast("long").alias("src"), F.when(chunk < 2, chunk).otherwise(3 - chunk).cast("long").alias("dst")).agg(F.count(F.lit(1)).alias("tokens"))
+    move = F.explode(F.array(*[F.struct(F.lit(k).alias("ranks"), F.floor(F.col("pos") / F.greatest(F.ceil(F.col("n") / F.lit(float(k))), F.lit(1))).cast("int").alias("src"), tk.zigzag_rank(F.col("pos"), F.col("n"), k).alias("dst")) for k in _RANKS]))
+    return x.select(move.alias("z")).groupBy("z.ranks", "z.src", "z.dst").agg(F.count(F.lit(1)).alias("tokens"))
 
 
-@op("R29", f"WITH {BASE} SELECT seq, pos, round(train, 6) AS lp FROM b WHERE {_ZIG} IN (0, 3)")
+@op("R29", f"WITH {BASE}, c AS (SELECT *, n - (n + 1) // 2 AS m FROM b) " + " UNION ALL ".join(f"SELECT {k} AS ranks, seq, pos - (n - m) AS j, CAST({_zig('pos - 1', k)} AS INT) AS rank, round(train, 6) AS lp FROM c WHERE pos >= n - m" for k in _RANKS))
 def r29(spark, d):
-    """Rank 0's part of the log-probabilities: the first and the last of four chunks."""
-    x = packed(spark, d)
-    size = F.greatest(F.ceil(F.col("n") / 4.0).cast("int"), F.lit(1))
-    z = x.select("seq", size.alias("size"), F.posexplode("train").alias("pos", "lp"))
-    chunk = F.least(F.floor(F.col("pos") / F.col("size")), F.lit(3))
-    return z.where(chunk.isin(0, 3)).select("seq", F.col("pos").cast("long").alias("pos"), F.round("lp", 6).alias("lp"))
+    """Every rank's part of the response's log-probabilities (the second half of a sequence): that of the positions that predict them."""
+    m = F.col("n") - F.floor((F.col("n") + 1) / 2)
+    x = packed(spark, d).select("seq", "n", m.alias("m"), F.posexplode("train").alias("pos", "lp")).where("pos >= n - m").withColumn("j", F.col("pos") - (F.col("n") - F.col("m")))
+    ranks = F.explode(F.array(*[F.struct(F.lit(k).alias("ranks"), tk.response_rank(F.col("j"), F.col("n"), F.col("m"), k).alias("rank")) for k in _RANKS]))
+    return x.select("seq", "j", "lp", ranks.alias("z")).select("z.ranks", "seq", F.col("j").cast("long").alias("j"), "z.rank", F.round("lp", 6).alias("lp"))
 
 
 @op("R31", sql("SELECT sample_index, 42 + row_number() OVER (PARTITION BY group_index ORDER BY sample_index) - 1 AS seed FROM s"))
