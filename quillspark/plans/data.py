@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillspark.functions import masks as mk
 from quillspark.operators import balance as bl
-from quillspark.operators.groups import normalize, pass_rates
+from quillspark.operators.groups import normalize, pass_rates, reward_filter
 from quillspark.functions import tokens as tk
 from quillspark.operators.ordering import ensure_checkpoint_dir, previous, row_index
 from quillspark.plans.groups import samples, sql
@@ -18,6 +18,7 @@ from quillspark.plans.registry import Hooks, op, table
 from quillspark.plans.tokens import r6
 from quillspark.sources import configs, pull, readers, sinks
 from quillspark.streaming import buffer as bf
+from quillspark.streaming.store import GroupStore, collect_and_recycle, poll
 
 
 def shared(spark, name: str) -> str:
@@ -412,34 +413,57 @@ def x2(spark, d):
     return _buffered(spark, d).groupBy("group_index").agg(F.count_distinct("emission").alias("emissions"), F.count(F.lit(1)).alias("rows"))
 
 
+_ITEMS = "group_index bigint, sample_index bigint, reward double, arrived_at timestamp"
+
+
+def _store(spark, d, filled: bool = True) -> GroupStore:
+    """A store, by default with all that the stream of deliveries has."""
+    store = GroupStore(spark, shared(spark, "store"), _ITEMS, 4)
+    if filled:
+        src = bf.file_stream(spark, f"{d}/samples.parquet").select("group_index", "sample_index", "reward", F.col("arrived_at").cast("timestamp").alias("arrived_at"))
+        store.drain(src, shared(spark, "store-offsets"))
+    return store
+
+
 @op("X3", "SELECT group_index, count(*) AS n FROM samples GROUP BY 1 HAVING count(*) < 4 AND max(arrived_at) < (SELECT max(arrived_at) FROM samples) - INTERVAL 1 DAY")
 def x3(spark, d):
-    """Time-out, an option: groups still incomplete a day after their last member, at the time of the last arrival.
+    """Time-out, an option: groups in the store that are still incomplete a day after their last member, at the time of the last arrival.
 
     In a stream ``group_buffer(wait_ms=...)`` does the same by processing time.
     """
-    s = table(spark, d, "samples")
-    now = s.agg(F.max("arrived_at").alias("now"))
-    g = s.groupBy("group_index").agg(F.count(F.lit(1)).alias("n"), F.max("arrived_at").alias("last")).where("n < 4")
-    return g.crossJoin(F.broadcast(now)).where(F.col("last") < F.col("now") - F.expr("INTERVAL 1 DAY")).select("group_index", "n")  # one row
+    return _store(spark, d).expired("arrived_at", "1 DAY")
 
 
-@op("X4", "SELECT arrived_at::DATE::VARCHAR AS day, count(*) AS samples, count(DISTINCT group_index) AS groups FROM samples GROUP BY 1")
+@op("X4", """WITH c AS (SELECT group_index, sample_index % 2 AS chunk, reward FROM samples), v AS (SELECT group_index, count(*) FILTER (chunk = 0) AS n0, count(*) AS n FROM c GROUP BY 1), e AS (SELECT count(*) FILTER (n0 >= 4) > 0 AS early FROM v)
+ SELECT 0 AS read_no, count(*) AS total_samples, count(DISTINCT group_index) AS num_groups, round(avg(reward), 6) AS avg_reward, (SELECT CAST(coalesce(sum(n0) FILTER (n0 >= 4), 0) AS BIGINT) FROM v) AS rows FROM c WHERE chunk = 0
+ UNION ALL SELECT 1, count(*), count(DISTINCT group_index), round(avg(reward), 6), (SELECT CAST(coalesce(sum(CASE WHEN n0 >= 4 THEN CASE WHEN n - n0 >= 4 THEN n - n0 ELSE 0 END WHEN n >= 4 THEN n ELSE 0 END), 0) AS BIGINT) FROM v) FROM c, e WHERE chunk = 1 OR NOT early""")
 def x4(spark, d):
-    """Meta data since the last reading; a reading closes with each day."""
-    return table(spark, d, "samples").groupBy(F.to_date("arrived_at").cast("string").alias("day")).agg(F.count(F.lit(1)).alias("samples"), F.count_distinct("group_index").alias("groups"))
+    """Two reads, each after half of the deliveries: rows given, and meta data since the last read that gave any."""
+    store, out = _store(spark, d, False), None
+    s = table(spark, d, "samples").select("group_index", "sample_index", "reward", F.col("arrived_at").cast("timestamp").alias("arrived_at"))
+    for k in (0, 1):
+        store.append(s.where(F.col("sample_index") % 2 == k))
+        data, report = store.read()
+        one = report.crossJoin(data.agg(F.count(F.lit(1)).alias("rows"))).select(F.lit(k).alias("read_no"), "total_samples", "num_groups", F.round("avg_reward", 6).alias("avg_reward"), "rows")  # one row each
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @op("X5", "SELECT CAST(sum(n) AS BIGINT) AS queued FROM (SELECT count(*) AS n FROM samples GROUP BY group_index HAVING count(*) >= 4)")
 def x5(spark, d):
-    return table(spark, d, "samples").groupBy("group_index").agg(F.count(F.lit(1)).alias("n")).where("n >= 4").agg(F.sum("n").alias("queued"))
+    """Rows of the valid groups that wait in the store."""
+    return spark.createDataFrame([(_store(spark, d).queued(),)], "queued bigint")
 
 
-@op("X6", sql("SELECT group_index, aborted, CASE WHEN aborted THEN 7 END AS start_rollout_id FROM (SELECT group_index, coalesce(bool_or(status = 'aborted'), false) AS aborted FROM s GROUP BY 1)"))
+@op("X6", """WITH s AS (SELECT DISTINCT sample_index, group_index, response, reward, finished_at FROM samples), e AS (SELECT group_index, max(finished_at) AS done, coalesce(stddev_samp(reward) > 1e-6, false) AS keep FROM s GROUP BY 1), f AS (SELECT *, row_number() OVER (ORDER BY done NULLS FIRST, group_index) AS rn FROM e WHERE keep), l AS (SELECT done, group_index AS g FROM f WHERE rn = 32)
+ SELECT 'collected' AS fate, sample_index, CAST(NULL AS INT) AS start_rollout_id FROM s WHERE group_index IN (SELECT group_index FROM f WHERE rn <= 32) AND (SELECT count(*) FROM l) >= 0
+ UNION ALL SELECT 'recycled', sample_index, CASE WHEN length(response) > 0 THEN 7 END FROM s JOIN e USING (group_index), l WHERE e.done > l.done OR e.done = l.done AND e.group_index > l.g""")
 def x6(spark, d):
-    """Aborted groups go back to the buffer, marked once with the rollout that began them."""
-    g = samples(spark, d, "sample_index", "group_index", "status").groupBy("group_index").agg((F.coalesce(F.max((F.col("status") == "aborted").cast("int")), F.lit(0)) == 1).alias("aborted"))
-    return g.select("group_index", "aborted", F.when(F.col("aborted"), F.lit(7)).alias("start_rollout_id"))
+    """The first 32 groups with differing rewards; what completes later is aborted and goes back, marked with the rollout that began it."""
+    s = samples(spark, d, "sample_index", "group_index", "response", "reward", "finished_at").withColumn("start_rollout_id", F.lit(None).cast("int"))
+    kept = reward_filter(s).where("keep").select("group_index")
+    got, back = collect_and_recycle(s, kept, 32, "finished_at", 7)
+    return got.select(F.lit("collected").alias("fate"), "sample_index", "start_rollout_id").unionByName(back.select(F.lit("recycled").alias("fate"), "sample_index", "start_rollout_id"))
 
 
 @op("X7", _EMIT)
@@ -458,23 +482,31 @@ def x8(spark, d):
 
 @op("X9", "SELECT prompt_id, epoch, rep FROM prompts, (SELECT unnest([0, 1]) AS epoch), (SELECT unnest([0, 1, 2]) AS rep)")
 def x9(spark, d):
-    """A file read for two epochs, each row three times."""
-    n = F.explode(F.sequence(F.lit(0), F.lit(5)))
-    return table(spark, d, "prompts").select("prompt_id", n.alias("i")).select("prompt_id", F.floor(F.col("i") / 3).cast("int").alias("epoch"), (F.col("i") % 3).alias("rep"))
+    """Files of lines, read for two epochs by a Python data source, each line three times."""
+    path = shared(spark, "epochs")
+    sinks.write_lines(table(spark, d, "prompts").select("prompt_id"), path)
+    spark.dataSource.register(pull.RepeatSource)
+    x = spark.read.format("repeated_lines").option("path", path if "://" in path else "file://" + path.removeprefix("file:")).option("epochs", 2).option("repeats", 3).load()
+    return x.select(F.get_json_object("value", "$.prompt_id").cast("long").alias("prompt_id"), "epoch", "rep")
 
 
-@op("X10", "SELECT count(*) >= 100 AS enough FROM samples")
+@op("X10", "WITH c AS (SELECT count(*) AS n, count(*) FILTER (sample_index % 3 = 0) AS a, count(*) FILTER (sample_index % 3 < 2) AS b FROM samples) SELECT CASE WHEN a * 2 >= n THEN 1 WHEN b * 2 >= n THEN 2 ELSE 3 END AS polls, CASE WHEN a * 2 >= n THEN a WHEN b * 2 >= n THEN b ELSE n END AS rows, false AS gave_up FROM c UNION ALL SELECT 2, b, true FROM c")
 def x10(spark, d):
-    """Polls the buffer's table until it has enough rows."""
-    path, state = shared(spark, "poll"), shared(spark, "poll-state")
-    src = bf.file_stream(spark, f"{d}/samples.parquet").select("sample_index")
-    rows = 0
-    for _ in range(3):
-        bf.run_to_end(src, path, state)
-        rows = spark.read.schema("sample_index bigint").parquet(path).count()
-        if rows >= 100:
-            break
-    return spark.createDataFrame([(rows >= 100,)], "enough boolean")
+    """Polls a store that grows by a third of the deliveries with each poll, until half of them are there; and for more than there are, but only twice."""
+    s = table(spark, d, "samples").select("group_index", "sample_index", "reward", F.col("arrived_at").cast("timestamp").alias("arrived_at"))
+    n = s.count()
+
+    def grown(limit: int, retries: int) -> tuple[int, int]:
+        store = _store(spark, d, False)
+
+        def step() -> int:
+            store.append(s.where(F.col("sample_index") % 3 == store.batches))
+            return store.waiting().count()
+
+        return poll(step, limit, retries)
+
+    (rows, calls), (few, tries) = grown(-(-n // 2), -1), grown(n + 1, 1)
+    return spark.createDataFrame([(calls, rows, False), (tries, few, few < n + 1)], "polls int, rows bigint, gave_up boolean")
 
 
 # ---- hooks --------------------------------------------------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import json
 from collections.abc import Callable, Iterator
 from urllib.request import urlopen
@@ -53,3 +54,42 @@ def checked(items: DataFrame, column: str = "item") -> tuple[DataFrame, DataFram
     lacks = F.array_except(F.array(*map(F.lit, REQUIRED)), F.coalesce(keys, F.array().cast("array<string>")))
     x = items.withColumn("missing", lacks)
     return x.where(F.size("missing") == 0).drop("missing"), x.where(F.size("missing") > 0)
+
+
+class RepeatReader(DataSourceReader):
+    """Lines of the files of a folder, for every epoch, each ``repeats`` times; a partition is one file of one epoch."""
+
+    def __init__(self, options: dict):
+        self.path, self.epochs, self.repeats = options["path"], int(options.get("epochs", 1)), int(options.get("repeats", 1))
+
+    def partitions(self) -> list[InputPartition]:
+        from pyarrow import fs
+
+        system, at = fs.FileSystem.from_uri(self.path)
+        files = sorted(f.path for f in system.get_file_info(fs.FileSelector(at)) if f.is_file and not f.base_name.startswith(("_", ".")))
+        return [InputPartition((e, f)) for e in range(self.epochs) for f in files]
+
+    def read(self, partition: InputPartition) -> Iterator[tuple]:
+        from pyarrow import fs
+
+        epoch, file = partition.value
+        system, _ = fs.FileSystem.from_uri(self.path)
+        with system.open_input_stream(file) as f:
+            for line in io.TextIOWrapper(f, encoding="utf-8"):
+                if line.strip():
+                    for k in range(self.repeats):
+                        yield epoch, k, line.rstrip("\n")
+
+
+class RepeatSource(DataSource):
+    """``spark.read.format("repeated_lines").option("path", uri)``: ``epoch, rep, value``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "repeated_lines"
+
+    def schema(self) -> str:
+        return "epoch int, rep int, value string"
+
+    def reader(self, schema) -> RepeatReader:
+        return RepeatReader(self.options)
