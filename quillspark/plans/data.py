@@ -13,7 +13,7 @@ from quillspark.operators import balance as bl
 from quillspark.operators.groups import normalize, pass_rates, reward_filter
 from quillspark.functions import tokens as tk
 from quillspark.operators.ordering import ensure_checkpoint_dir, previous, row_index
-from quillspark.plans.groups import samples, sql
+from quillspark.plans.groups import S, samples, sql
 from quillspark.plans.registry import Hooks, op, table
 from quillspark.plans.tokens import r6
 from quillspark.sources import configs, pull, readers, sinks
@@ -275,6 +275,21 @@ def r11(spark, d):
     return g.where("each = least").select("step", "n", "each")
 
 
+_FOLD = "i AS (SELECT step, sample_index, len, row_number() OVER (PARTITION BY step ORDER BY sample_index) AS k FROM x)"
+
+
+def folded(start: str, update: str, part: str, out: str) -> str:
+    """SQL of a fold over the items of each step: state, its update by an item of ``len``, and the item's part by the state before."""
+    return (
+        f"WITH RECURSIVE {S}, {_STEP}, {_FOLD}, r AS (SELECT step, 0 AS k, CAST(NULL AS BIGINT) AS sample_index, CAST(NULL AS BIGINT) AS len, {start} AS state, CAST(NULL AS BIGINT) AS part FROM (SELECT DISTINCT step FROM x)"
+        f" UNION ALL SELECT i.step, i.k, i.sample_index, i.len, {update}, {part} FROM r JOIN i ON i.step = r.step AND i.k = r.k + 1) {out}"
+    )
+
+
+_LEAST = "list_position(r.state, list_min(r.state))"
+_ROOM = "coalesce(list_filter(range(1, len(r.state) + 1), lambda p: r.state[p] >= i.len)[1], len(r.state) + 1)"
+
+
 @op("R12")
 def r12(spark, d):
     return bl.per_group(steps(spark, d), ["step"], "sample_index", "len", lambda v: bl.balanced(v, 8))
@@ -286,12 +301,12 @@ def r13(spark, d):
     return r12(spark, d).groupBy("step").agg(F.count_distinct("sample_index").alias("n"), F.sum("len").alias("total"))
 
 
-@op("R14")
+@op("R14", folded("[CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]", f"list_transform(r.state, lambda v, p: v + CASE WHEN p = {_LEAST} THEN i.len ELSE 0 END)", f"{_LEAST} - 1", "SELECT step, sample_index, len, CAST(part AS INT) AS part FROM r WHERE k > 0"))
 def r14(spark, d):
     return bl.per_group(steps(spark, d), ["step"], "sample_index", "len", lambda v: bl.least_loaded(v, 8))
 
 
-@op("R16")
+@op("R16", folded("CAST([] AS BIGINT[])", f"CASE WHEN {_ROOM} > len(r.state) THEN list_append(r.state, 512 - i.len) ELSE list_transform(r.state, lambda v, p: v - CASE WHEN p = {_ROOM} THEN i.len ELSE 0 END) END", f"{_ROOM} - 1", "SELECT step, CAST(max(part) + 1 AS INT) AS bins FROM r WHERE k > 0 GROUP BY step"))
 def r16(spark, d):
     return bl.per_group(steps(spark, d), ["step"], "sample_index", "len", lambda v: bl.first_fit(v, 512)).groupBy("step").agg((F.max("part") + 1).alias("bins"))
 
@@ -318,7 +333,7 @@ def r19(spark, d):
     return _scheduled(spark, d).orderBy("sample_index").select("sample_index", "len")
 
 
-@op("R24")
+@op("R24", folded("[CAST(0 AS BIGINT), 0]", "CASE WHEN r.state[2] > 0 AND r.state[2] + i.len >= 1024 THEN [r.state[1] + 1, i.len] ELSE [r.state[1], r.state[2] + i.len] END", "r.state[1] + CASE WHEN r.state[2] > 0 AND r.state[2] + i.len >= 1024 THEN 1 ELSE 0 END", "SELECT step, sample_index, len, CAST(part AS INT) AS part FROM r WHERE k > 0"))
 def r24(spark, d):
     return bl.per_group(steps(spark, d), ["step"], "sample_index", "len", lambda v: bl.chunks_by_size(v, 1024))
 

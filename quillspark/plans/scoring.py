@@ -135,9 +135,47 @@ def u14(spark, d):
     return texts(spark, d, "response").select("sample_index", gr.unbox_udf("response").alias("content")).where("content is not null")
 
 
-@op("U15")
+def text_sql(s: str) -> str:
+    """A text as an SQL literal."""
+    return "chr(10)".join(f"'{p}'" for p in s.replace("'", "''").split("\n")).replace("'chr(10)'", "' || chr(10) || '")
+
+
+def final_sql(c: str) -> str:
+    """The final answer's canonical form in SQL."""
+    out = f"string_split({c}, '=')[-1]"
+    for a, b in [*gr.REPLACED, *((r, "") for r in gr.REMOVED)]:
+        out = f"replace({out}, {text_sql(a)}, {text_sql(b)})"
+    out = f"regexp_replace({out}, '[^\\n$]*\\$([^\\n$]*)\\$[^\\n]*', '$\\1$', 'g')"
+    for command in ("text", "textbf", "overline"):
+        out = f"regexp_replace({out}, '\\\\{command}\\{{([^\\n]*?)\\}}', '\\1', 'g')"
+    out = f"regexp_replace({out}, '\\\\boxed\\{{([^\\n]*)\\}}', '\\1', 'g')"
+    out = f"replace(regexp_replace(regexp_replace({out}, 'frac([^{{])([^\\n])', 'frac{{\\1}}{{\\2}}', 'g'), 'sqrt([^{{])', 'sqrt{{\\1}}', 'g'), '$', '')"
+    return f"(SELECT regexp_replace(CASE WHEN regexp_matches(replace(o, ',', ''), '^[0-9]+$') THEN replace(o, ',', '') ELSE o END, '^\\s+|\\s+$', '', 'g') FROM (SELECT {out} AS o))"
+
+
+#: Answers and their normal forms: final, plain and by value.
+CASES = [
+    ("x = 5", "5", "5", "x=5"), ("\\frac12", "\\frac{1}{2}", "\\frac{1}{2}", "12"), ("\\sqrt3", "\\sqrt{3}", "\\sqrt{3}", "3"), ("1,234", "1234", "1,234", "1234"), ("$5$ dollars", "5", "$5$dollars", "5dollars"),
+    ("12 cm", "12", "12cm", "12"), ("\\boxed{7}", "7", "\\boxed{7}", "7"), ("\\textbf{A}", "A", "\\textbf{A}", "a"), ("the value $x+1$ holds\nand $y$", "x+1\ny", "thevalue$x+1$holdsand$y$", "thevaluex+1holds\nandy"),
+    ("0.5", "0.5", "\\frac{1}{2}", "0.5"), ("3/4", "3/4", "\\frac{3}{4}", "3/4"), ("2 million", "2million", "2million", "2*10^6"), ("7 1/2", "71/2", "\\frac{71}{2}", "7+1/2"), ("\\text{yes}", "yes", "yes", "yes"), ("40\\%", "40\\%", "40", "40"), ("\\frac{3}{4}", "\\frac{3}{4}", "\\frac{3}{4}", "3/4"),
+]
+
+
+def _normal(kind: int, label: str) -> str:
+    """SQL of the labels' normal forms (they hold no TeX), and of the cases."""
+    cases = ", ".join(f"({-i - 1}, {text_sql(c[kind])})" for i, c in enumerate(CASES))
+    return q(f"SELECT sample_index, {label} AS normal FROM t WHERE label IS NOT NULL UNION ALL SELECT * FROM (VALUES {cases}) AS v(a, b)")
+
+
+def _with_cases(spark, d, fn):
+    cases = spark.createDataFrame([(-i - 1, c[0]) for i, c in enumerate(CASES)], "sample_index bigint, label string")
+    return texts(spark, d, "label").where("label is not null").unionByName(cases).select("sample_index", fn("label").alias("normal"))
+
+
+@op("U15", _normal(1, final_sql("label")))
 def u15(spark, d):
-    return texts(spark, d, "label").where("label is not null").select("sample_index", gr.final_answer_udf("label").alias("normal"))
+    """Canonical final answers of all labels, and of cases with TeX."""
+    return _with_cases(spark, d, gr.final_answer_udf)
 
 
 # what SQL can tell about a grade: of two whole numbers, of equal texts, and without any answer
@@ -165,7 +203,7 @@ def u17(spark, d):
     return texts(spark, d, "response", "label").where("label is not null").select("sample_index", gr.strict_score_udf("response", "label")["score"].alias("score"))
 
 
-@op("U18")
+@op("U18", q(f"SELECT sample_index, CASE WHEN ok THEN 1.0 ELSE -1.0 END AS score, ok AS acc, pred FROM (SELECT sample_index, pred, coalesce(CAST(CAST(trunc(TRY_CAST(want AS DOUBLE)) AS BIGINT) AS VARCHAR) = pred, false) AS ok FROM (SELECT sample_index, {final_sql('own')} AS pred, {final_sql('lab')} AS want FROM (SELECT sample_index, coalesce(label, '') AS lab, coalesce(regexp_extract_all(right(response, 300), '(?i)answer\\s*:\\s*([^\\n]+)', 1)[-1], '[INVALID]') AS own FROM t)))"))
 def u18(spark, d):
     return texts(spark, d, "response", "label").select("sample_index", gr.score_udf("response", "label").alias("s")).select("sample_index", "s.*")
 
@@ -177,14 +215,14 @@ def u19(spark, d):
     return texts(spark, d, "reward").select("sample_index", r6(F.when(F.coalesce("reward", F.lit(0.0)) == 1, 1.0).otherwise(F.least(F.lit(-0.6), -1 + (turns - 2) / 2.0 * 0.1)), "score"))
 
 
-@op("U20")
+@op("U20", _normal(2, "replace(trim(label), ' ', '')"))
 def u20(spark, d):
-    return texts(spark, d, "label").where("label is not null").select("sample_index", gr.plain_form_udf("label").alias("normal"))
+    return _with_cases(spark, d, gr.plain_form_udf)
 
 
-@op("U21")
+@op("U21", _normal(3, f"lower(replace(regexp_replace(label, '({'|'.join(gr.UNITS)})(es)?s? *(\\^[0-9]+)?', '', 'g'), ' ', ''))"))
 def u21(spark, d):
-    return texts(spark, d, "label").where("label is not null").select("sample_index", gr.value_form_udf("label").alias("normal"))
+    return _with_cases(spark, d, gr.value_form_udf)
 
 
 _PAIRS = "SELECT response_length AS n, unnest(['product', 'sum', 'off', 'power', 'word']) AS kind FROM (SELECT DISTINCT response_length FROM samples WHERE response_length IS NOT NULL)"
@@ -212,9 +250,11 @@ def u23(spark, d):
     return x.select("doc_id", "f.kind", gr.tuple_parts_udf("f.s").alias("parts"))
 
 
-@op("U24")
+@op("U24", q(f"SELECT sample_index, {_KIND} AS kind, {_TOLD} AS correct FROM (SELECT sample_index, label, {_BOX} AS own FROM t)"))
 def u24(spark, d):
-    return texts(spark, d, "response", "label").select("sample_index", gr.grade_udf(gr.unbox_udf("response"), "label").alias("correct"))
+    """The last box's content against the label, as U16."""
+    x = texts(spark, d, "response", "label").select("sample_index", told(_box(F.col("response")), F.col("label")).alias("kind"), gr.grade_udf(gr.unbox_udf("response"), "label").alias("g"))
+    return x.select("sample_index", "kind", F.when(F.col("kind") != "graded", F.col("g")).alias("correct"))
 
 
 def _box(text):

@@ -70,7 +70,10 @@ def t2(spark, d):
     return table(spark, d, "samples").where("metadata is not null").select("sample_index", text.alias("kept")).distinct()
 
 
-@op("T3")
+_STACK = "CASE WHEN e.type = 'span_start' AND e.span_id IS NOT NULL THEN list_append(r.stack, e.span_id) WHEN e.type = 'span_end' AND list_contains(r.stack, e.span_id) THEN list_filter(r.stack, lambda v, p: p <> len(r.stack) + 1 - list_position(list_reverse(r.stack), e.span_id)) ELSE r.stack END"
+
+
+@op("T3", f"WITH RECURSIVE {E}, r AS (SELECT trace, CAST(-1 AS BIGINT) AS ord, CAST([] AS BIGINT[]) AS stack, CAST(NULL AS BIGINT) AS inferred_parent FROM (SELECT DISTINCT trace FROM e) UNION ALL SELECT e.trace, e.ord, {_STACK}, r.stack[len(r.stack)] FROM r JOIN e ON e.trace = r.trace AND e.ord = r.ord + 1) SELECT trace, ord, inferred_parent FROM r WHERE ord >= 0")
 def t3(spark, d):
     return tr.infer_parents(events(spark, d).select("trace", "ord", "type", "span_id")).select("trace", "ord", "inferred_parent")
 
