@@ -54,7 +54,7 @@ def trained_ranges(df: DataFrame, key: str, messages: str, family: str = "per_tu
     x = turn_spans(df, key, messages)
     if family == "last_reply":
         m = F.col(messages)
-        first, last = F.element_at(m, 1), F.element_at(m, -1)
+        first, last = F.try_element_at(m, F.lit(1)), F.try_element_at(m, F.lit(-1))
         start = F.length("role") + F.length(F.lit("<|im_start|>\n")) + F.length("content") + len(CLOSE) + len(HEADER)
         y = df.where(F.size(messages) > 0).select(key, (F.size(m) - 1).alias("turn"), first["role"].alias("role"), F.coalesce(first["content"], F.lit("")).alias("content"), F.length(F.coalesce(last["content"], F.lit(""))).alias("n"), F.coalesce(last["step_loss_mask"], F.lit(1)).alias("step"))
         return y.where("step = 1").select(key, "turn", start.alias("start"), (start + F.col("n")).alias("end"))
@@ -71,8 +71,8 @@ def token_masks(df: DataFrame, key: str, messages: str, family: str, token: int
     """``key, mask``: 1 for every token (``token`` characters each) that overlaps a trained range; a conversation without turns has an empty mask."""
     ranges = trained_ranges(df, key, messages, family).groupBy(key).agg(F.collect_list(F.struct(F.col("start").cast("long").alias("a"), F.col("end").cast("long").alias("b"))).alias("spans"))
     if family == "last_reply":
-        first, last = F.element_at(messages, 1), F.element_at(messages, -1)
-        size = F.coalesce(F.length(F.concat(render(F.array(first)), F.lit(HEADER), F.coalesce(last["content"], F.lit("")))), F.lit(0))
+        first, last = F.try_element_at(messages, F.lit(1)), F.try_element_at(messages, F.lit(-1))
+        size = F.when(F.size(messages) > 0, F.length(F.concat(render(F.array(first)), F.lit(HEADER), F.coalesce(last["content"], F.lit(""))))).otherwise(0)
     else:
         size = F.length(render(F.col(messages)))
     x = df.where(F.col(messages).isNotNull()).select(key, F.ceil(size / token).cast("int").alias("n")).join(ranges, key, "left")

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 TAGS = "think|search|information|answer"
@@ -44,7 +45,7 @@ def token_f1(prediction: Column, truth: Column) -> Column:
     return F.when(none, zero).otherwise(F.struct((2 * precision * recall / (precision + recall)).alias("f1"), precision.alias("precision"), recall.alias("recall")))
 
 
-@F.arrow_udf("array<string>")
+@F.arrow_udf(ArrayType(StringType()))
 def _numbered(tokens: pa.Array) -> pa.Array:
     """Each token with its number among its equals."""
     out = []
@@ -224,7 +225,7 @@ def flops(n: Column, hidden: int, heads: int, kv_heads: int, head: int, ffn: int
     return n * F.lit(float(linear)) + n * n * F.lit(float((dense + moe) * attention))
 
 
-@F.arrow_udf("array<int>")
+@F.arrow_udf(ArrayType(IntegerType()))
 def _decode(raw: pa.Array) -> pa.Array:
     return pa.array([None if b is None else np.frombuffer(b[: len(b) // 4 * 4], dtype="<i4") for b in raw.to_pylist()], pa.list_(pa.int32()))
 
@@ -273,7 +274,7 @@ def kwargs_list(raw: Column, n: Column) -> Column:
     return _kwargs(raw, n)
 
 
-@F.arrow_udf("array<string>")
+@F.arrow_udf(ArrayType(StringType()))
 def _kwargs(raw: pa.Array, n: pa.Array) -> pa.Array:
     out = []
     for text, k in zip(raw.to_pylist(), n.to_pylist(), strict=True):

@@ -478,7 +478,7 @@ def r4(spark, d):
     return epoch(spark, d, 3)
 
 
-@op("R5", sql("SELECT origin, id FROM (SELECT *, row_number() OVER (ORDER BY rank, id) AS rn FROM (SELECT 0 AS rank, 'buffer' AS origin, group_index AS id FROM s WHERE status = 'aborted' GROUP BY 3 UNION ALL SELECT 1, 'dataset', prompt_id FROM prompts)) WHERE rn <= 64"))
+@op("R5", sql("SELECT origin, id FROM (SELECT *, row_number() OVER (ORDER BY rank, id) AS rn FROM (SELECT 0 AS rank, 'buffer' AS origin, group_index AS id FROM s WHERE status = 'aborted' GROUP BY 3 UNION ALL SELECT 1, 'dataset', prompt_id FROM prompts UNION ALL SELECT 2, 'dataset', prompt_id FROM prompts)) WHERE rn <= 64"))
 def r5(spark, d):
     """64 groups: what the buffer of recycled groups has, the rest from the dataset."""
     source = PromptSource(table(spark, d, "prompts").select(F.col("prompt_id").alias("id")), "id", seed=None)
