@@ -37,6 +37,7 @@ MARKED = re.compile(r"[<&\\`\[]")
 THINK = regex.compile(r"(?is)<(think|thinking|reasoning|scratchpad)>.*?</\1>")
 INVISIBLE = regex.compile(r"[\p{Cf}\p{Cc}\p{Zs}\p{Zl}\p{Zp}\uFFFD]+")
 TOKEN = regex.compile(r"[\p{Han}]|[\p{L}\p{M}&&[^\p{Han}]]+|\p{N}+", regex.V1)
+CONTROLS = re.compile(r"[\x00-\x09\x0b-\x1f\x7f]|  ")
 ASCII_TOKEN = re.compile(r"[a-z]+|[0-9]+")
 SENTENCE = regex.compile(r"(?<=[.!?。！？…])[\s\"'”’*_)]*|\n+|(?<=[:：])\s+")
 #: What a remark beside a refusal must not hold: options, code or an answer frame; and digits and names that the prompt does not have.
@@ -185,8 +186,8 @@ def is_copy(prompt: str, answer: str, instructions: regex.Pattern = NO_INSTRUCTI
         r = r[1:]
     if len(r) < 3:
         return False
-    have = set(p)
-    if sum(w in have or w in WRAPPERS for w in r) < share * len(r):
+    have = set(p) | WRAPPERS
+    if len([w for w in r if w in have]) < share * len(r):
         return False  # too many words that the prompt does not have
     shingles = {tuple(p[i : i + 5]) for i in range(len(p) - 4)}
     own = [tuple(r[i : i + 5]) for i in range(len(r) - 4)]
@@ -276,14 +277,14 @@ def is_truncated(prompt: str, text: str) -> bool:
     answer, _, unfinished = split_reasoning(whole)
     if unfinished:
         return True
-    t = rx(r"(?V1)[[\p{Cf}\p{Cc}\p{Zs}\p{Zl}\p{Zp}\uFFFD]--[\n]]+").sub(" ", answer).strip()
+    # plain text has nothing to clean but runs of blanks
+    t = (answer if answer.isascii() and not CONTROLS.search(answer) else rx(r"(?V1)[[\p{Cf}\p{Cc}\p{Zs}\p{Zl}\p{Zp}\uFFFD]--[\n]]+").sub(" ", answer)).strip()
     if not t:
         return False
-    if t.count("```") % 2 or rx(r"</?[A-Za-z]{0,12}$").search(t):
+    if t.count("```") % 2 or "<" in t[-14:] and rx(r"</?[A-Za-z]{0,12}$").search(t):
+        return True
+    if "<" in t and any(t.count(f"<{tag}>") > t.count(f"</{tag}>") for tag in ("answer", "search", "information", "tool_call", "code")):
         return True
-    for tag in ("answer", "search", "information", "tool_call", "code"):
-        if len(rx(rf"<{tag}>").findall(t)) > len(rx(rf"</{tag}>").findall(t)):
-            return True
     box = t.rfind("\\boxed")
     if box >= 0 and t[box:].count("{") > t[box:].count("}") or t.endswith("\\boxed"):
         return True
@@ -293,7 +294,7 @@ def is_truncated(prompt: str, text: str) -> bool:
     last = lines[-1].strip()
     if t.endswith("```"):
         return False
-    if rx(r"\\[a-zA-Z]*$").search(t):
+    if "\\" in last and rx(r"\\[a-zA-Z]*$").search(t):
         return True
     if last.startswith("|"):
         first = next((x.strip() for x in lines if x.strip().startswith("|")), last)
@@ -337,10 +338,10 @@ def defect(prompt: str | None, response: str | None, instructions: regex.Pattern
         return "empty"
     if not unfinished and is_refusal(answer, ask):
         return "refusal"
-    if copied or ask and not unfinished and is_copy(ask, answer, instructions):
+    if copied or ask and not unfinished and answer != text and is_copy(ask, answer, instructions):
         return "copy"
     want = wanted_language(ask, instructions)
-    got = language(answer)[0] or language(text)[0]
+    got = language(answer)[0] or answer != text and language(text)[0]
     if want and got and want != got:
         return "other_language"
     return "truncated" if is_truncated(ask, text) else None

@@ -117,18 +117,35 @@ def judge(sentence: str) -> tuple[str, int]:
     words = _WORD.findall(text)
     if not words:
         return "none", 0
-    best = "remark"
-    for lang in _LANGS:
-        got = _verdict(lang, "".join(_concept(lang, w) for w in words))
+    best, rows = "remark", [_concepts[w] for w in words]
+    for i, lang in enumerate(_LANGS):
+        kinds = "".join([r[i] for r in rows])
+        n = len(words) - kinds.count("-")
+        if n == 0 or n - kinds.count("?") < COVER * n:
+            continue
+        got = _verdict(lang, kinds)
         if got == "refusal":
             return got, len(words)
         best = got or best
     return best, len(words)
 
 
+class _Concepts(dict):
+    """A word's concept in every alphabetic language; kept for the words seen last."""
+
+    def __missing__(self, word: str) -> str:
+        if len(self) > 100_000:
+            self.clear()
+        self[word] = out = "".join(_concept(lang, word) for lang in _LANGS)
+        return out
+
+
+_concepts = _Concepts()
+
+
 @lru_cache(maxsize=100_000)
 def _may(word: str) -> bool:
-    return any(_concept(lang, word) in tuple("XnDLK") for lang in _LANGS)
+    return any(c in "XnDLK" for c in _concepts[word])
 
 
 def may_refuse(words: list[str], text: str) -> bool:
