@@ -22,8 +22,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 _WRITTEN: list[str] = []
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the folder that all executors share; it is deleted with :func:`drop_tables`, or when the driver's JVM ends."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.conf.get('spark.checkpoint.dir', '') or spark.sparkContext.getCheckpointDir()}/quillspark-{name}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(at)
+    files.deleteOnExit(at)
+    _WRITTEN.append(path)
+    return path
+
+
 def drop_tables(spark: SparkSession) -> None:
-    """Deletes the tables that :func:`materialize` wrote in this process; frames that read them are no longer usable."""
+    """Deletes what was written to scratch paths in this process; frames that read it are no longer usable."""
     while _WRITTEN:
         at = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
@@ -34,12 +46,9 @@ def materialize(df: DataFrame) -> DataFrame:
 
     ``checkpoint()`` keeps the size estimate of the plan it cuts, which squares with every join of a loop.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    spark = df.sparkSession
-    path = f"{spark.conf.get('spark.checkpoint.dir', '') or spark.sparkContext.getCheckpointDir()}/quillspark-table-{uuid.uuid4().hex}"
+    path = f"{scratch(df.sparkSession, 'table')}/data"
     df.write.parquet(path)
-    _WRITTEN.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def row_index(df: DataFrame, *order: str | Column, name: str = "row") -> DataFrame:

@@ -92,7 +92,15 @@ def close_open(spans: DataFrame) -> DataFrame:
 
 
 def merge_intervals(df: DataFrame, by: list[str], start: str, end: str) -> DataFrame:
-    """Union of the intervals of each group; touching intervals merge."""
+    """Union of the intervals of each group; touching intervals merge.
+
+    Intervals are merged inside ranges of (group, start) first, so that a group of any size is spread, and what is left of them once more.
+    """
+    ranged = df.select(*by, start, end).repartitionByRange(*by, start, end).withColumn("_range", F.spark_partition_id())
+    return _islands(_islands(ranged, ["_range", *by], start, end), by, start, end).select(*by, start, end)
+
+
+def _islands(df: DataFrame, by: list[str], start: str, end: str) -> DataFrame:
     w = Window.partitionBy(*by).orderBy(start, end)
     before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
     x = df.withColumn("_new", (before.isNull() | (F.col(start) > before)).cast("int")).withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-
-import uuid
-
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quillspark.functions import masks as mk
+from quillspark.functions import tokens as tk
 from quillspark.operators import balance as bl
 from quillspark.operators.groups import normalize, pass_rates, reward_filter
-from quillspark.functions import tokens as tk
-from quillspark.operators.ordering import ensure_checkpoint_dir, previous, row_index
+from quillspark.operators.ordering import previous, row_index, scratch
 from quillspark.plans.groups import S, samples, sql
 from quillspark.plans.registry import Hooks, op, table
 from quillspark.plans.tokens import r6
@@ -23,8 +20,7 @@ from quillspark.streaming.store import GroupStore, collect_and_recycle, poll
 
 def shared(spark, name: str) -> str:
     """A new path in the folder that all executors share."""
-    ensure_checkpoint_dir(spark)
-    return f"{spark.conf.get('spark.checkpoint.dir', '') or spark.sparkContext.getCheckpointDir()}/quillspark-{name}-{uuid.uuid4().hex}"
+    return f"{scratch(spark, name)}/data"
 
 
 # ---- sources ------------------------------------------------------------------------------------------------------
