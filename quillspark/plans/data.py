@@ -15,6 +15,7 @@ from quillspark.plans.registry import Hooks, op, table
 from quillspark.plans.tokens import r6
 from quillspark.sources import configs, pull, readers, sinks
 from quillspark.streaming import buffer as bf
+from quillspark.streaming.health import health_events
 from quillspark.streaming.store import GroupStore, collect_and_recycle, poll
 
 
@@ -520,6 +521,17 @@ def x10(spark, d):
     return spark.createDataFrame([(calls, rows, False), (tries, few, few < n + 1)], "polls int, rows bigint, gave_up boolean")
 
 
+@op("X11", """WITH c AS (SELECT worker AS engine, date_diff('day', (SELECT min(sent_at) FROM replay_results)::DATE, sent_at::DATE) AS round, avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) >= 0.9 AS ok FROM replay_results WHERE worker IS NOT NULL GROUP BY 1, 2), t AS (SELECT *, coalesce(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY engine, round // 3 ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bad FROM c)
+ SELECT engine, CAST(round AS INT) AS round, CASE WHEN bad > 0 THEN 'skipped' WHEN NOT ok THEN 'killed' ELSE 'passed' END AS event FROM t""")
+def x11(spark, d):
+    """Workers checked once a day: one with less than nine of ten good results is killed, and recovered before every third round."""
+    r = table(spark, d, "replay_results").where("worker is not null").select("worker", F.to_date("sent_at").alias("day"), "ok")
+    first = table(spark, d, "replay_results").agg(F.to_date(F.min("sent_at")).alias("first"))
+    good = F.avg(F.when(F.col("ok"), 1.0).otherwise(0.0)) >= 0.9
+    c = r.crossJoin(F.broadcast(first)).groupBy(F.col("worker").alias("engine"), F.date_diff("day", "first").alias("round")).agg(good.alias("ok"))  # one row
+    return health_events(c, recover_every=3)
+
+
 # ---- hooks --------------------------------------------------------------------------------------------------------
 @op("H1", sql("SELECT sample_index FROM s WHERE status = 'completed'"))
 def h1(spark, d):
@@ -623,6 +635,20 @@ def h13(spark, d):
     return out[0].unionByName(out[1])
 
 
+@op("H14", sql("SELECT step, round(sum(lp), 6) AS lp, 'ref' AS prefix FROM (SELECT sample_index // 64 AS step, -coalesce(response_length, 0) * 0.5 + 1 AS lp FROM s) GROUP BY step"))
+def h14(spark, d):
+    """Model hooks on what a pipeline has of a model, its input columns: at the start, before log-probabilities and before each training step; each gets only the arguments it accepts."""
+    hook = Hooks(
+        model_init=lambda df: df.withColumn("lp", -F.coalesce("response_length", F.lit(0)) * 0.5),
+        before_log_prob=lambda df, store_prefix: df.withColumn("prefix", F.lit(store_prefix)),
+        before_train_step=lambda df, step_id, rollout_id=0: df.withColumn("lp", F.col("lp") + 1).withColumn("step", step_id),
+    )
+    x = hook.table("model_init", samples(spark, d, "sample_index", "response_length"), model="unused")
+    x = hook.table("before_log_prob", x, store_prefix="ref")
+    x = hook.table("before_train_step", x, rollout_id=3, step_id=F.floor(F.col("sample_index") / 64).cast("long"), optimizer=None)
+    return x.groupBy("step", "prefix").agg(r6(F.sum("lp"), "lp"))
+
+
 @op("H15", sql("SELECT k, round(avg(CASE WHEN c > 0 THEN 1.0 ELSE 0.0 END), 6) AS pass_rate FROM (SELECT count(*) FILTER (reward = 1) AS c FROM s GROUP BY group_index HAVING count(*) = 4), (SELECT 4 AS k) GROUP BY k"))
 def h15(spark, d):
     """A hook gets only the arguments it accepts."""

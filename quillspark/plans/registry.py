@@ -60,7 +60,7 @@ class Hooks:
     A hook that is not set leaves its input as it is. Arguments that a function doesn't accept are not passed to it.
     """
 
-    TABLE = ("rollout", "generate", "dynamic_filter", "buffer_filter", "sample_filter", "all_samples", "reward_post_process", "convert", "data_post_process", "data_source")
+    TABLE = ("rollout", "generate", "dynamic_filter", "buffer_filter", "sample_filter", "all_samples", "reward_post_process", "convert", "data_post_process", "data_source", "model_init", "before_log_prob", "before_train_step")
     COLUMN = ("reward", "loss", "importance")
 
     def __init__(self, **hooks: str | Callable):

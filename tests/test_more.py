@@ -21,6 +21,7 @@ from quillspark.operators import trace as tr
 from quillspark.operators.recorder import Recorder
 from quillspark.sources import configs, readers
 from quillspark.sources.cursor import PromptSource, State
+from quillspark.streaming.health import Monitor, health_events
 from quillspark.streaming.store import GroupStore, collect_and_recycle, poll
 
 
@@ -299,3 +300,28 @@ def test_written_tables_are_dropped(spark):
     assert t.count() == 5 and od._WRITTEN
     od.drop_tables(spark)
     assert not od._WRITTEN
+
+
+def test_health(spark):
+    rows = [("a", k, ok) for k, ok in enumerate([True, False, True, True, None, True])] + [("b", 0, True)]
+    df = spark.createDataFrame(rows, "engine string, round int, ok boolean")
+    got = {(r["engine"], r["round"]): r["event"] for r in health_events(df, recover_every=3).collect()}
+    assert [got[("a", k)] for k in range(6)] == ["passed", "killed", "skipped", "passed", "killed", "skipped"] and got[("b", 0)] == "passed"
+    assert health_events(df.limit(0)).count() == 0
+    calls, waits = [], []
+
+    def kill(part):
+        calls.append(part)
+        if part == "y2":
+            raise OSError
+
+    m = Monitor({"x": ["x1"], "y": ["y1", "y2"]}, lambda w: w == "x", kill, lambda p: calls.append("+" + p), 1.0, 5.0, waits.append)
+    m.run(1)
+    assert m.log == []  # paused at first
+    m.resume()
+    m.run(2)
+    assert m.log == [("x", "passed"), ("y", "killed"), ("y2", "kill failed"), ("x", "passed"), ("y", "skipped")] and waits == [5.0, 1.0, 1.0]
+    assert m.recover() == ["y"] and calls == ["y1", "y2", "+y1", "+y2"]
+    m.pause()
+    m.run(1)
+    assert len(m.log) == 5
