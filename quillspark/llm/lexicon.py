@@ -14,7 +14,7 @@ import regex
 FUNCTION = {
     "en": "a an the of and or to is are was were be been being it its this that these those there here in on at by for from with as if so but we you i he she they them our your my their us me him her what which who when where why how has have had do does did will would can could should may might must than then too very just only also some any all each both such into out up about over",
     "de": "der die das den dem des ein eine einer einem einen und oder ist sind war waren wird werden wurde es sie er wir ihr ich in im an am auf für von vom zu zum zur mit bei beim als wenn dass daher auch nur noch sich ihnen ihre ihren diese dieser dieses etwas man hat haben hier da so aus nach um",
-    "fr": "le la les l un une des de du d et ou est sont était été être il elle nous vous je on à au aux en dans pour par sur avec ce cette ces que qu qui se s votre vos notre nos ici y a si mais donc comme ne n peut doit être actuellement moment momentanément lors",
+    "fr": "le la les l un une des de du d et ou est sont était été être il elle nous vous je on à au aux en dans pour par sur avec ce cette ces que qu qui se s votre vos notre nos ici y a si mais donc comme ne n avez avons ont ai as eu peut doit être actuellement moment momentanément lors",
     "es": "el la los las un una de del y o es son era fue ser se en a al por para con que lo su sus este esta esto estos le les ha hay he nos usted si pero como más está están puede pudo debe momento estamos",
     "ru": "и в на с по к у за из от о для что это как вы мы он она они ваш наш этот эта эту эти при",
 }
@@ -47,7 +47,7 @@ CONCEPTS = {
     "en": {
         "T": "page site website content$ rate$ profile account country region password username email server resource document file$ files$ address url link request connection gateway host backend upstream service app$ application browser session account permission right$ rights access quota record$ database network system login article video image photo item message item dashboard viewer portal domain proxy certificate endpoint folder directory client http https",
         "F": "error fail fault crash broke wrong unavailab unreachab inaccessib denied deny refus forbidden unauthori prohibit missing gone$ expired timeout timed$ busy overload down$ offline exceed exhaust outage maintenance moved$ removed$ deleted$ suspend restrict disconnect corrupt dead$ discontinued decommissioned hiccup snag lack$ lacks$ unable oops whoops exception malfunction mistyped",
-        "f": "not$ no$ nothing cannot can't couldn't doesn't didn't isn't wasn't won't never unexpected bad$ internal temporar unknown closed$ reset$ lost$ old$ quota invalid limit interrupt too$ long$ longer$ yet$ hit$ unsupported incomplete never suspend stopped$",
+        "f": "not$ no$ nothing cannot can't couldn't doesn't didn't isn't wasn't won't never unexpected bad$ internal temporar unknown closed$ reset$ lost$ old$ quota invalid limit interrupt too$ many$ long$ longer$ yet$ hit$ unsupported incomplete never suspend stopped$",
         "A": "load open view display show shown render find found$ exist availab accessib reach process complet handl fetch get$ reply respond response look ask serve start stop stopped use$ used$ enter type perform connect happen occur appear visit receiv took$ take$ download upload save play$ edit verify submit follow current momentar early went$ gave$ give$ given$ something$ closed made$ try$",
         "H": "try$ again$ later retry reload refresh check spelling contact support admin webmaster help home$ homepage back$ go$ return please report notif team$ engineer staff apolog sorry inconvenien reference code$ minute moment soon$ shortly wait problem persist keep keeps$ tell write quote below hour issue technical difficult thank patience search instead box$ number end$ side$ sign$ attempt once contacting resolve fix$ working$ know$",
         "R": "support need requir comment see$ interface feature modern compatible enabl turn$ turned$ switch allow activat disabl on$ off$ block without must support setting work run$ runs$ continu blank appear seem seems$ drawn$ board$",
@@ -85,9 +85,9 @@ CONCEPTS = {
     },
     "zh": {
         "T": "页面 网页 网站 应用 程序 服务器 服务 地址 资源 文件 链接 请求 连接 权限 网关 浏览器 系统 网络 访问 本站 会话 账号 账户 登录 登陆 密码 视频 图片 文章",
-        "F": "错误 不存在 失败 出错 无法 不可用 拒绝 禁止 超时 未找到 找不到 过期 故障 维护 异常 没有权限 没有响应 无响应 已删除 已移动 繁忙 中断", "f": "没有 暂时 不能 未", "A": "打开 加载 显示 查看 响应 发生 返回 处理 您 您的 当前 内容", "-": "了 的 是 在 该 此 时 到 也 和 与 被 会 中 于 地", "S": "脚本",
+        "F": "错误 不存在 失败 出错 无法 不可用 拒绝 禁止 超时 未找到 找不到 过期 故障 维护 异常 没有权限 没有响应 无响应 已删除 已移动 繁忙 中断", "f": "没有 暂时 不能 未", "A": "打开 加载 显示 查看 响应 发生 返回 处理 您 您的 当前 内容", "-": "了 的 是 在 该 此 时 到 也 和 与 被 会 中 于 地 后 本 上", "S": "脚本",
         "H": "请 稍后 重试 再试 刷新 重新 首页 检查 正确 是否 联系 管理员 帮助 客服 分钟 抱歉 或",
-        "R": "运行 使用 启用 激活 开启 打开 需要 禁用 关闭 必须 支持 允许 后 本 才能", "P": "占位 待补充 待填写 敬请期待 即将上线", "p": "示例 测试 此处 这里 填写 请 在 输入 为", "N": "文本 文字 正文 标题 内容 段落 符",
+        "R": "运行 使用 启用 激活 开启 打开 需要 禁用 关闭 必须 支持 允许 才能", "P": "占位 待补充 待填写 敬请期待 即将上线", "p": "示例 测试 此处 这里 填写 请 在 输入 为", "N": "文本 文字 正文 标题 内容 段落 符",
     },
 }
 #: Names of scripts.
@@ -117,7 +117,7 @@ def concepts(word: str) -> tuple[str, ...]:
     for lang in ALPHABETIC:
         own, found = _CLASSES[lang], ""
         bare = regex.sub(r"^[a-z]{1,2}['’]", "", word) if lang == "fr" else word.replace("’", "'")
-        found = own.get(bare + "$", "") or next((own[bare[:n]] for n in range(len(bare), 2, -1) if bare[:n] in own), "")
+        found = own.get(bare + "$", "") or "".join(own[bare[:n]] for n in range(3, len(bare) + 1) if bare[:n] in own)
         out.append(found + "-" if bare in _FUNCTION[lang] else found)
     return tuple(out)
 
