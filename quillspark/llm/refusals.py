@@ -48,9 +48,9 @@ CONCEPTS = {
 }
 # ---- fixed values: templates; each is a sequence of concepts with anything between
 TEMPLATES = {
-    "en": "I X V|X V Q|I X M V|I n M V|I n M Q|I M n V|I D|D Q|Q L|L K V|L K I|n V M|n V I|V n I M|Q n I M|n M V Q|I n V Q|I M D|X V I|I X Q",
-    "de": "M I n V|I M n V|I D|Q D|D I|I V n|V I n|n M V|Q M n V|Q L|M Q n V|I n M V|I n V M",
-    "fr": "I n M V|I n V|I M D|I D|Q L|n M V|I n M|Q n M V", "es": "n J V|n J M V|n V Q|J D|I D|Q n M|n L|Q L|n M V|I n L|Q n L|J n V|J V n", "ru": "I n M V|I n V|M D|I D|Q X|X V|X Q|I Q n|Q L|Q n V|n M V", "zh": "I X V|X V Q|Q X V|D Q|I D|I M D|Q I X|L L|X V|I n V",
+    "en": "I X V|X V Q|I X M V|I n M V|I n M Q|I M n V|I D|D Q|Q I L|Q L I|Q L M|Q L V|L K V|L K I|n V M|n V I|V n I M|Q n I M|n M V Q|I n V Q|I M D|X V I|I X Q",
+    "de": "M I n V|I M n V|I D|Q D|D I|I V n|V I n|n M V|Q M n V|Q I L|Q L I|Q L M|Q L V|M Q n V|I n M V|I n V M",
+    "fr": "I n M V|I n V|I M D|I D|Q I L|Q L I|Q L M|Q L V|n M V|I n M|Q n M V", "es": "n J V|n J M V|n V Q|J D|I D|Q n M|n L|Q I L|Q L I|Q L M|Q L V|n M V|I n L|Q n L|J n V|J V n", "ru": "I n M V|I n V|M D|I D|Q X|X V|X Q|I Q n|Q I L|Q L I|Q L M|Q L V|Q n V|n M V", "zh": "I X V|X V Q|Q X V|D Q|I D|I M D|Q I X|L L|X V|I n V",
 }
 #: Least share of a sentence's words, function words aside, that must belong to concepts.
 COVER = 0.7
