@@ -99,6 +99,7 @@ LATIN_MARKS = frozenset("lorem ipsum dolor amet consectetur adipiscing eiusmod i
 #: Rows of a keyboard.
 KEY_ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "qwertzuiop", "yxcvbnm", "azertyuiop", "qsdfghjklm")
 ALPHABETIC = tuple(FUNCTION)
+_ELISION = regex.compile(r"^[a-z]{1,2}['’]")
 _FUNCTION = {k: frozenset(v.split()) for k, v in FUNCTION.items()}
 #: Common words of three letters or more, of any language: text has some of them, random letters hardly any.
 COMMON = frozenset(w for v in FUNCTION_WORDS.values() for w in v if len(w) > 2) | frozenset(w for v in _FUNCTION.values() for w in v if len(w) > 2)
@@ -116,7 +117,7 @@ def concepts(word: str) -> tuple[str, ...]:
     out = []
     for lang in ALPHABETIC:
         own, found = _CLASSES[lang], ""
-        bare = regex.sub(r"^[a-z]{1,2}['’]", "", word) if lang == "fr" else word.replace("’", "'")
+        bare = _ELISION.sub("", word) if lang == "fr" else word.replace("’", "'")
         found = own.get(bare + "$", "") or "".join(own[bare[:n]] for n in range(3, len(bare) + 1) if bare[:n] in own)
         out.append(found + "-" if bare in _FUNCTION[lang] else found)
     return tuple(out)
