@@ -105,12 +105,22 @@ def balanced(lengths: list[int], k: int, equal: bool = False) -> list[int]:
     if len(lengths) < k:
         return list(range(len(lengths)))
     out = [0] * len(lengths)
-    for p, items in enumerate(largest_differencing(lengths, k, equal)):
+    for p, items in enumerate(checked_partitions(lengths, k, equal)):
         for i in items:
             out[i] = p
     return out
 
 
+def checked_partitions(lengths: list[int], k: int, equal: bool = False) -> list[list[int]]:
+    """Largest differencing, checked: k partitions, none empty, every item in exactly one, each in ascending order. Fewer items than partitions are an error."""
+    if len(lengths) < k:
+        raise ValueError(f"{len(lengths)} items for {k} partitions")
+    parts = [sorted(p) for p in largest_differencing(lengths, k, equal)]
+    if len(parts) != k or not all(parts) or sorted(i for p in parts for i in p) != list(range(len(lengths))):
+        raise ValueError("the partitions don't cover the items")
+    return parts
+
+
 def micro_batches(df: DataFrame, step: str, rank: str, order: str, length: str, capacity: int, least: int = 1) -> DataFrame:
     """Adds ``mb``: the micro-batches of each rank and step. All ranks of a step get the same number, the most that any rank needs by
     first fit; lengths are then balanced within each rank. One step is one bounded batch."""

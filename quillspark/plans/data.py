@@ -292,10 +292,24 @@ def r12(spark, d):
     return bl.per_group(steps(spark, d), ["step"], "sample_index", "len", lambda v: bl.balanced(v, 8))
 
 
-@op("R13", sql("SELECT step, count(*) AS n, CAST(sum(len) AS BIGINT) AS total FROM x GROUP BY 1", _STEP))
+@op("R13", sql("SELECT step, sample_index, count(*) OVER w AS n, CAST(sum(len) OVER w AS BIGINT) AS total, CAST(8 AS BIGINT) AS parts, count(*) OVER w // 8 * 8 = count(*) OVER w AS equal FROM x WHERE step IN (SELECT step FROM x GROUP BY 1 HAVING count(*) >= 8) WINDOW w AS (PARTITION BY step)", _STEP))
 def r13(spark, d):
-    """Every sample is in exactly one partition."""
-    return r12(spark, d).groupBy("step").agg(F.count_distinct("sample_index").alias("n"), F.sum("len").alias("total"))
+    """Checked partitions of every step with enough samples, with equal numbers where the samples allow it: no partition is empty, and every sample comes back once."""
+    w = Window.partitionBy("step")  # one step is one bounded batch
+    x = steps(spark, d).withColumn("_n", F.count(F.lit(1)).over(w)).where("_n >= 8").drop("_n")
+
+    def part(lengths):
+        out = [0] * len(lengths)
+        for p, items in enumerate(bl.checked_partitions(lengths, 8, len(lengths) % 8 == 0)):
+            for i in items:
+                out[i] = p
+        return out
+
+    y = bl.per_group(x, ["step"], "sample_index", "len", part)
+    sizes = y.groupBy("step", "part").agg(F.count(F.lit(1)).alias("k")).groupBy("step").agg(F.count(F.lit(1)).alias("parts"), (F.min("k") == F.max("k")).alias("same"))
+    n, total = F.count(F.lit(1)).over(w), F.sum("len").over(w)
+    z = y.select("step", "sample_index", n.alias("n"), total.alias("total")).join(sizes, "step")
+    return z.select("step", "sample_index", "n", "total", "parts", (F.col("same") & (F.col("n") % 8 == 0)).alias("equal"))
 
 
 @op("R14", folded("[CAST(0 AS BIGINT), 0, 0, 0, 0, 0, 0, 0]", f"list_transform(r.state, lambda v, p: v + CASE WHEN p = {_LEAST} THEN i.len ELSE 0 END)", f"{_LEAST} - 1", "SELECT step, sample_index, len, CAST(part AS INT) AS part FROM r WHERE k > 0"))

@@ -14,6 +14,7 @@ from quillspark.functions import masks as mk
 from quillspark.functions import rewards as rw
 from quillspark.functions import scoring as sc
 from quillspark.functions.scans import reverse_scan, reverse_scan_flat
+from quillspark.operators import balance as bl
 from quillspark.operators import groups as gp
 from quillspark.operators import ordering as od
 from quillspark.operators import retrieval as rt
@@ -325,3 +326,14 @@ def test_health(spark):
     m.pause()
     m.run(1)
     assert len(m.log) == 5
+
+
+def test_checked_partitions():
+    lengths = [5, 4, 3, 3, 3]
+    assert abs(sum(lengths[i] for i in bl.checked_partitions(lengths, 2)[0]) - 9) <= 1
+    parts = bl.checked_partitions([5, 4, 3, 3, 2, 1], 3, True)
+    assert sorted(i for p in parts for i in p) == list(range(6)) and all(len(p) == 2 for p in parts)
+    with pytest.raises(ValueError, match="items"):
+        bl.checked_partitions([1], 2)
+    with pytest.raises(ValueError, match="equal"):
+        bl.checked_partitions([1, 2, 3], 2, True)
