@@ -34,8 +34,8 @@ SHARE = 0.5
 BITS, BLOCK_BITS = 256, 16
 #: Fingerprints within this Hamming distance are found without exception: one less than there are blocks.
 RADIUS = BITS // BLOCK_BITS - 1
-#: Words of the smallest windows; the others are twice as large each, up to the question's size.
-SMALLEST = 4
+#: Words of the smallest windows: as few as the shortest run that counts, so that every shared run has a window at distance 0. The others are twice as large each, up to the question's size.
+SMALLEST = SHINGLE
 #: Positions of known shingles in a text that are held at once.
 SEGMENT = 16_384
 #: Questions of one index, and indexes that are searched in one pass over the corpus.
@@ -85,8 +85,7 @@ def question_words(prompt: str | None, instructions: regex.Pattern = NO_INSTRUCT
 class Index:
     """Fingerprints and shingles of the questions.
 
-    A leak whose shared runs are all shorter than ``SMALLEST`` words is found only where a window lies within the radius (of 8,228 leaks of the larger
-    check input the shortest longest run has five words).
+    Every leak is among the candidates: it shares a run of at least ``SMALLEST`` words with the question, and equal windows have equal fingerprints.
     """
 
     def __init__(self, items: list[tuple[int, list[str]]]):
@@ -111,8 +110,6 @@ class Index:
         self.least = min((math.ceil(SHARE * len(w) / SHINGLE) for w in self.words), default=1)
         longest = max((len(w) for w in self.words), default=0)
         self.sizes = [n for n in (SMALLEST << k for k in range(32)) if n <= longest]
-        if longest and (not self.sizes or min(len(w) for w in self.words) < SMALLEST):
-            self.sizes = [SHINGLE, *self.sizes]  # questions shorter than the smallest window
         self.prints, self.owner = self._windows(grams)
         blocks = self.prints.view("<u2")
         self.order = [np.argsort(blocks[:, b], kind="stable").astype(np.int32) for b in range(BITS // BLOCK_BITS)]
