@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -217,8 +217,11 @@ def is_title(message: str, position: int) -> bool:
 
 
 # ---- letters typed at random -------------------------------------------------------------------------------------
-#: Most documents that the trigram model is fitted on.
-FIT_ROWS = 2048
+#: All letters of all documents are counted. A longer document weighs as much as one of so many letters, or it would explain itself; and all documents
+#: together weigh as much as so many, or short sentences would be judged by a model that is sharper the larger the corpus.
+DOCUMENT_WEIGHT, CORPUS_WEIGHT = 4096, 1_500_000
+#: What a letter of a document below that weight counts: sums of whole numbers don't depend on their order.
+_UNIT = 1 << 20
 #: Least words and letters of a message that can be judged.
 LEAST_WORDS, LEAST_LETTERS = 5, 16
 #: By how many nats a letter the model must be worse. Random typing lies 1.2 to 4.5 below a random draw, code, names and foreign texts at most 0.7 (1.0 without any corpus).
@@ -237,16 +240,36 @@ def _codes(words: list[str]) -> np.ndarray:
     return np.array([_ALPHABET.get(c, 0) for c in plain if not unicodedata.combining(c)], dtype=np.int64)
 
 
+def _text_codes(text: str) -> np.ndarray:
+    """Codes of the text's words as ``_codes`` gives them; ASCII needs no look at each word."""
+    low = text.lower()
+    if not low.isascii():
+        return _codes(_LETTERS.findall(low))
+    c = _TABLE[np.frombuffer(f" {low} ".encode(), dtype=np.uint8)]
+    return c[np.append(True, (c[1:] != 0) | (c[:-1] != 0))]
+
+
+def _trigrams(codes: np.ndarray) -> np.ndarray:
+    return np.bincount((codes[:-2] * _SIDE + codes[1:-1]) * _SIDE + codes[2:], minlength=_SIDE**3)
+
+
+def count_letters(texts: Iterable[str | None]) -> np.ndarray:
+    """Weighted counts of all trigrams of the texts, in units."""
+    out = np.zeros(_SIDE**3, dtype=np.int64)
+    for t in texts:
+        if t and len(c := _text_codes(t)) > 2:
+            n = len(c) - 2
+            out += _trigrams(c) * max(1, _UNIT * min(n, DOCUMENT_WEIGHT) // n)
+    return out
+
+
 class Letters:
-    """Trigram model of letters, smoothed with bigrams and single letters; the vocabularies of the package are always part of it."""
+    """Trigram model of letters of texts, or of their counts, smoothed with bigrams and single letters; the vocabularies of the package are always part of it."""
 
-    def __init__(self, texts: list[str]):
+    def __init__(self, texts: Iterable[str | None], counts: np.ndarray | None = None):
         own = sorted(lx.COMMON) + [w.strip("$") for v in lx.CONCEPTS.values() for x in v.values() for w in x.split()] + sorted(lx.LATIN)
-        tri = np.zeros((_SIDE, _SIDE, _SIDE))
-        for words in [own, *(_LETTERS.findall(t.lower()) for t in texts if t)]:
-            c = _codes(words)
-            if len(c) > 2:
-                tri += np.bincount((c[:-2] * _SIDE + c[1:-1]) * _SIDE + c[2:], minlength=_SIDE**3).reshape(tri.shape)
+        found = (count_letters(texts) if counts is None else counts) / _UNIT
+        tri = (_trigrams(_codes(own)) + found * min(1.0, CORPUS_WEIGHT / max(1.0, found.sum()))).reshape(_SIDE, _SIDE, _SIDE)
         bi = tri.sum(axis=0)
         one = (bi.sum(axis=0) + 1) / (bi.sum() + _SIDE)
         p2 = (bi + 8 * one) / (bi.sum(axis=1, keepdims=True) + 8)
@@ -269,11 +292,20 @@ def _strange(words: list[str]) -> float:
     return sum(w not in lx.COMMON for w in words) / len(words)
 
 
-def letters_of(documents: DataFrame, id_col: str, text_col: str, rows: int = FIT_ROWS) -> Letters:
-    """The model of at most ``rows`` documents, chosen by the hash of the id; only their first 4,096 characters are counted."""
-    every = max(1, documents.count() * 3 // (4 * rows))
-    some = documents.select(F.substring(text_col, 1, 4096).alias("t"), F.xxhash64(id_col).alias("h")).where(F.col("t").isNotNull() & (F.pmod("h", F.lit(every)) == 0)).orderBy("h", "t").limit(rows)
-    return Letters([r[0] for r in some.collect()])
+def letters_of(documents: DataFrame, text_col: str) -> Letters:
+    """The model of all letters of all documents; each task counts its own, and one sum for each trigram (at most 19,683) comes to the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_SIDE**3, dtype=np.int64)
+        for batch in batches:
+            total += count_letters(t.as_py() for t in batch.column(0))
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"at": at, "n": total[at]})
+
+    counts = np.zeros(_SIDE**3, dtype=np.int64)
+    for at, n in spread(documents.select(text_col)).mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n")).collect():
+        counts[at] = n
+    return Letters([], counts)
 
 
 # ---- unfilled slots ----------------------------------------------------------------------------------------------
@@ -419,7 +451,7 @@ def residue(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     their key only (and their words, if none of them is common), all others are mined. Repeated ids give one row; other columns are ignored.
     """
     kind = dict(documents.dtypes)[id_col]
-    model = documents.sparkSession.sparkContext.broadcast(letters_of(documents, id_col, text_col))  # a table of fixed size
+    model = documents.sparkSession.sparkContext.broadcast(letters_of(documents, text_col))  # a table of fixed size
 
     def scan(batch: pa.RecordBatch):
         ids, slot, key, path, width, shapes, size, rest, odd = [], [], [], [], [], [], [], [], []

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -149,6 +150,28 @@ def test_letters_typed_at_random():
         assert not any(map(model.random, [CONTENT, "Kluwe Strzelczyk Nguyen Oyelaran Brzezinski", "def pebble_cache(xs, k=97) onyx tap", "", "El servidor lee el archivo y escribe", "szybko przeczytaj cały dokument teraz proszę"]))
 
 
+def test_the_letters_of_all_documents_are_counted(spark):
+    rng = random.Random(4)
+    names = ["krzwt", "vlptk", "zdrkw", "ptkvz", "wkrzd", "tkvlp", "drkwz", "lptkv"]  # a language of the corpus that stands behind the first 4,096 characters
+    say = lambda k: f"{' '.join(rng.choice(names) for _ in range(k))}.".capitalize()
+    texts = [CONTENT * 40 + "\n" + "\n".join(say(12) for _ in range(90)) for _ in range(40)] + [CONTENT, None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert rs.residue(df).count() == 0
+    model, one = rs.letters_of(df.repartition(3), "text"), say(12)
+    assert np.array_equal(model.log, rs.Letters(texts).log) and rs.Letters([CONTENT] * 40).random(one) and not model.random(one)
+
+
+def test_counts_of_letters():
+    texts = ["", "1 - 2", "a", "Don't stop: it's 5 o'clock!", "naïve Straße 漢字 abc", CONTENT]
+    for t in texts:
+        assert rs._text_codes(t).tolist()[1:-1] == rs._codes(rs._LETTERS.findall(t.lower())).tolist()[1:-1]
+    assert rs.count_letters(texts).sum() == sum(max(0, len(rs._text_codes(t)) - 2) for t in texts) * rs._UNIT
+    rng = random.Random(1)
+    typed = [" ".join("".join(rng.choices("asdfjklqwert", k=rng.randint(2, 7))) for _ in range(20)) for _ in range(1000)]
+    whole = rs.count_letters(["\n".join(typed)]).sum() / rs._UNIT
+    assert whole == pytest.approx(rs.DOCUMENT_WEIGHT, rel=0.01)  # a long document counts whole, but weighs no more than others
+
+
 def test_menus_are_no_content():
     cut = rs.cut("Home | Docs | Help\n\nSearch\nLog in\nRuns\n\nOne line here\nIt is a sentence. And one more.")
     assert [m for m, menu in cut if menu] == ["Home", "Docs", "Help", "Search", "Log in", "Runs"]
